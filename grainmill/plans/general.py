@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainmill.operators.drift import consistent_table, field_catalogue, field_lifespans, schema_changes
+from grainmill.operators.logs import parse_log_entries
+from grainmill.operators.nested import unnest_reports
 from grainmill.operators.timestamps import normalize_timestamps
 from grainmill.session import table
 
@@ -35,4 +36,64 @@ def p3_inferred(spark: SparkSession, d: str) -> DataFrame:
     return got.where("not canonical").select("table_name", "row_id", "field_name", "epoch_us").distinct()
 
 
-QUERIES = {"p3_found": p3_found, "p3_inferred": p3_inferred}
+def _log_entries(spark: SparkSession, d: str) -> DataFrame:
+    w = "details.without_solution."
+    return parse_log_entries(table(spark, d, "validation_attempts"), ["attempt_id"], {"stdout": F.col(w + "stdout_tail"), "stderr": F.col(w + "stderr_tail")})
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Log entries in the tails of validation attempts."""
+    return _log_entries(spark, d).select("attempt_id", "stream_name", "first_line", "last_line", "log_level", "component").distinct()
+
+
+def p1_fields(spark: SparkSession, d: str) -> DataFrame:
+    """All fields of every entry: layout, printed time, level, component, message."""
+    return _log_entries(spark, d)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Builds of every functional validation, linked to their result and report."""
+    builds = unnest_reports(table(spark, d, "batch_reports"), "report_id", "report_json")["builds"]
+    return builds.select("report_id", "result_no", "attempt_no", "build_success", "build_ms").distinct()
+
+
+def _p4(name: str):
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        return unnest_reports(table(spark, d, "batch_reports"), "report_id", "report_json")[name]
+
+    return query
+
+
+def _catalogue(spark: SparkSession, d: str) -> DataFrame:
+    return field_catalogue(table(spark, d, "trial_files"), ["stream_id"], "file_no", "record_json")
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every change of a stream's top-level fields between its files."""
+    return schema_changes(_catalogue(spark, d), ["stream_id"], "file_no").select("stream_id", "file_no", "field_name", "change_kind").distinct()
+
+
+def p6_lifespans(spark: SparkSession, d: str) -> DataFrame:
+    """The column lifespan catalogue of every stream."""
+    return field_lifespans(_catalogue(spark, d), ["stream_id"], "file_no")
+
+
+def p6_table(spark: SparkSession, d: str) -> DataFrame:
+    """All valid records of all files under one schema."""
+    return consistent_table(table(spark, d, "trial_files"), ["stream_id", "file_no", "record_no"], "record_json")
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_fields": p1_fields,
+    "p3_found": p3_found,
+    "p3_inferred": p3_inferred,
+    "p4_found": p4_found,
+    "p4_results": _p4("results"),
+    "p4_checks": _p4("checks"),
+    "p4_tiers": _p4("tiers"),
+    "p4_trials": _p4("trials"),
+    "p6_found": p6_found,
+    "p6_lifespans": p6_lifespans,
+    "p6_table": p6_table,
+}
