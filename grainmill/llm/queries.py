@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainmill.llm.canonical import canonical_text, look_alike_pairs
+from grainmill.llm.mixing import mix
+from grainmill.llm.packing import pack_items
+from grainmill.llm.representative import VALUES, choose_rows, fuse, topic_key
 from grainmill.llm.similar import similar_groups, similar_pairs
+from grainmill.llm.tokens import token_counts
 from grainmill.session import table
 
 TEXTS = {"task": ("tasks", "task_key", "instruction"), "topic": ("topic_entries", "topic_id", "topic")}
@@ -35,4 +39,61 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
     return got.select("doc_id", "canonical", (~F.col("text").eqNullSafe(F.col("canonical"))).alias("changed"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_groups": p2_groups, "p9_found": p9_found, "p9_forms": p9_forms}
+def _results(spark: SparkSession, d: str) -> DataFrame:
+    """Results with their group key; null topics (and null batches) belong to no group."""
+    rows = table(spark, d, "pipeline_results").where("topic is not null and batch is not null")
+    return rows.withColumn("topic_key", topic_key(F.col("topic")))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Survivor and classification row of every group of results for one topic of a batch."""
+    rows = _results(spark, d)
+    got = choose_rows(rows, ["batch", "topic_key"], "result_id", "recorded_at", VALUES, F.coalesce(F.col("origin") == "report", F.lit(False)), "classification")
+    return got.select("batch", "survivor_id", "class_row_id").distinct()
+
+
+def p5_fused(spark: SparkSession, d: str) -> DataFrame:
+    """The fused record of every group, by the two-sided quality model; issues keep every value judged true."""
+    return fuse(_results(spark, d), ["batch", "topic_key"], "result_id", "recorded_at", "origin", [*VALUES, "status"], {"issues": F.col("stages.functional.issues")})
+
+
+def _sizes(spark: SparkSession, d: str) -> DataFrame:
+    return token_counts(table(spark, d, "documents"), ["doc_id", "source"], "text")
+
+
+def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    """The container of every document, or piece of one, for every capacity."""
+    from grainmill.session import cut_lineage
+
+    return pack_items(cut_lineage(_sizes(spark, d)), "doc_id", "n_tokens", table(spark, d, "pack_limits"), "limit_id", "capacity_tokens")
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, tokens and unused share per capacity."""
+    packed = p7_packed(spark, d).groupBy("limit_id").agg(F.count_distinct("container_id").alias("containers"), F.sum("n_tokens").alias("tokens"))
+    limits = table(spark, d, "pack_limits")
+    return packed.join(F.broadcast(limits), "limit_id").select("limit_id", "containers", "tokens", (1 - F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("unused_share"))
+
+
+def p8_mixed(spark: SparkSession, d: str) -> DataFrame:
+    """The chosen documents of every recipe in training order."""
+    return mix(_sizes(spark, d), "doc_id", "source", "n_tokens", table(spark, d, "mix_targets"))[0].orderBy("recipe", "position", "doc_id", "pass_no")
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of every source of every recipe."""
+    return mix(_sizes(spark, d), "doc_id", "source", "n_tokens", table(spark, d, "mix_targets"))[1]
+
+
+QUERIES = {
+    "p2_found": p2_found,
+    "p2_groups": p2_groups,
+    "p5_found": p5_found,
+    "p5_fused": p5_fused,
+    "p7_packed": p7_packed,
+    "p7_fill": p7_fill,
+    "p8_mixed": p8_mixed,
+    "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_forms": p9_forms,
+}
