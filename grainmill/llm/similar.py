@@ -7,7 +7,8 @@
    the population count of the exclusive-or never exceeds the size of the symmetric difference, and
    similarity >= t bounds that difference by (1 - t) / (1 + t) * (|a| + |b|). Blocks are compared in
    tiles, numpy exclusive-or and bit counts at a time; tile pairs whose set sizes lie too far apart
-   are skipped. What passes is verified on the words themselves, so the result is exact.
+   are skipped. What passes is verified on the words themselves, so the result is exact. Block rows
+   carry the bit vectors, not the words.
 4. Blocks beyond ``tile`` sets are cut into (size, salt) tiles and every tile pair within the radius
    is a task of its own; no block gathers in one task.
 """
@@ -61,14 +62,20 @@ def tile_pairs(sig: np.ndarray, size: np.ndarray, left: np.ndarray, right: np.nd
                 yield i[x], j[y]
 
 
+def _fold_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        c = b.column("hashes")
+        off = c.offsets.to_numpy()
+        sig = fold(c.values.to_numpy()[off[0] : off[-1]], off - off[0])
+        bits = pa.Array.from_buffers(pa.binary(BITS // 8), len(sig), [None, pa.py_buffer(sig.tobytes())]).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([b.column("rep"), b.column("size"), bits, b.column("prefix")], names=["rep", "size", "bits", "prefix"])
+
+
 def _compare(t: float):
     def emit(tab: pa.Table) -> Iterator[pa.RecordBatch]:
-        c = tab.column("hashes").combine_chunks()
-        off, values = c.offsets.to_numpy(), c.values.to_numpy()
-        values, off = values[off[0] : off[-1]], off - off[0]
-        block, side, rep = (tab.column(k).to_numpy() for k in ("block", "side", "rep"))
-        size = np.diff(off)
-        sig = fold(values, off)
+        block, side, rep, size = (tab.column(k).to_numpy() for k in ("block", "side", "rep", "size"))
+        bits = tab.column("bits").combine_chunks().cast(pa.binary(BITS // 8))
+        sig = np.frombuffer(bits.buffers()[1], np.uint64, len(bits) * BITS // 64, bits.offset * BITS // 8).reshape(-1, BITS // 64)
         cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
         xs, ys = [], []
         for s, e in zip(cut[:-1], cut[1:]):
@@ -83,16 +90,9 @@ def _compare(t: float):
             for x, y in found:
                 xs.append(x)
                 ys.append(y)
-        if not xs:
-            return
-        x, y = np.concatenate(xs), np.concatenate(ys)
-        keep = []
-        for p, q in zip(x.tolist(), y.tolist()):  # the few pairs that passed: count common words
-            both = len(np.intersect1d(values[off[p] : off[p + 1]], values[off[q] : off[q + 1]], assume_unique=True))
-            keep.append(both >= t * (size[p] + size[q] - both) - 1e-9)
-        keep = np.array(keep, bool)
-        a, b = rep[x[keep]], rep[y[keep]]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["rep_a", "rep_b"])
+        if xs:
+            a, b = rep[np.concatenate(xs)], rep[np.concatenate(ys)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["rep_a", "rep_b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -132,11 +132,11 @@ def similar_classes(classes: DataFrame, t: float, tile: int = 2048) -> DataFrame
     ranked = words.withColumn("s", salt).join(freq, ["w", "s"]).groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "w"))).alias("r"))
     size = F.size("r")
     length = (size - F.ceil(size * F.lit(t) - F.lit(1e-9)) + 1).cast("int")
-    rows = ranked.select(
-        "rep", size.alias("size"), F.sort_array(F.transform("r", lambda x: F.xxhash64(x["w"]))).alias("hashes"),
-        F.explode(F.filter(F.slice("r", F.lit(1), length), lambda x: x["n"] > 1)).alias("e"),
-    ).select("rep", "size", "hashes", F.col("e.n").alias("n"), F.xxhash64("e.w").alias("token"))
-    cool = rows.where(F.col("n") <= tile).select(F.col("token").alias("block"), F.lit(0).alias("side"), "rep", "hashes")
+    prefix = F.transform(F.filter(F.slice("r", F.lit(1), length), lambda x: x["n"] > 1), lambda x: F.struct(x["n"].alias("n"), F.xxhash64(x["w"]).alias("token")))
+    rows = ranked.select("rep", size.alias("size"), F.transform("r", lambda x: F.xxhash64(x["w"])).alias("hashes"), prefix.alias("prefix")).where(F.size("prefix") > 0)
+    rows = rows.mapInArrow(_fold_rows, "rep long, size int, bits binary, prefix array<struct<n: long, token: long>>")
+    rows = rows.select("rep", "size", "bits", F.inline("prefix"))
+    cool = rows.where(F.col("n") <= tile).select(F.col("token").alias("block"), F.lit(0).alias("side"), "rep", "size", "bits")
     hot = rows.where(F.col("n") > tile)
     cells = hot.groupBy("token", "size").agg(F.ceil(F.count("*") / tile).cast("int").alias("salts"))
     grid = cells.groupBy("token").agg(F.collect_list(F.struct("size", "salts")).alias("cells"))
@@ -144,7 +144,7 @@ def similar_classes(classes: DataFrame, t: float, tile: int = 2048) -> DataFrame
     near = own.join(grid, "token").withColumn("cell", F.explode(F.filter("cells", lambda c: (c["size"] >= F.col("size") * t - 1e-9) & (c["size"] * t <= F.col("size") + 1e-9))))
     near = near.withColumn("salt2", F.explode(F.sequence(F.lit(0), F.col("cell.salts") - 1)))
     mine, theirs = F.struct("size", "salt"), F.struct(F.col("cell.size").alias("size"), F.col("salt2").alias("salt"))
-    tiled = near.select(F.xxhash64("token", F.least(mine, theirs), F.greatest(mine, theirs)).alias("block"), F.when(mine > theirs, 1).otherwise(0).alias("side"), "rep", "hashes")
+    tiled = near.select(F.xxhash64("token", F.least(mine, theirs), F.greatest(mine, theirs)).alias("block"), F.when(mine > theirs, 1).otherwise(0).alias("side"), "rep", "size", "bits")
     blocks = cool.unionByName(tiled)
     blocks = blocks.repartition("block").sortWithinPartitions("block")
     pairs = blocks.mapInArrow(_compare(t), "rep_a long, rep_b long").distinct()
