@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.llm.canonical import canonical_text, look_alike_pairs
+from grainmill.llm.canonical import canonical_sql, canonical_text, look_alike_pairs
 from grainmill.llm.mixing import mix
 from grainmill.llm.packing import pack_items
 from grainmill.llm.representative import VALUES, choose_rows, fuse, topic_key
@@ -97,3 +97,23 @@ QUERIES = {
     "p9_found": p9_found,
     "p9_forms": p9_forms,
 }
+
+_WORDS = "list_distinct(regexp_extract_all(lower({0}),'[a-z]+'))"
+
+
+def _pairs_sql(kind: str) -> str:
+    t, k, c = TEXTS[kind]
+    rows = f"(select {k} as id, {_WORDS.format(c)} as w from {t} where {c} is not null)"
+    return f"select '{kind}' as kind, a.id as id_a, b.id as id_b from {rows} a join {rows} b on a.id<b.id and len(a.w)>0 and len(list_intersect(a.w,b.w))>=0.7*(len(a.w)+len(b.w)-len(list_intersect(a.w,b.w)))"
+
+
+_PRESENT = " + ".join(f"(case when {c} is not null and trim({c}::varchar)<>'' then 1 else 0 end)" for c in VALUES)
+_FORM = canonical_sql("text")
+ORACLES = {
+    "p2_found": _pairs_sql("task") + " union all " + _pairs_sql("topic"),
+    "p5_found": f"""with r as (select *, regexp_replace(lower(topic),'[^\\p{{L}}\\p{{N}}]','','g') as k, {_PRESENT} as n from pipeline_results where topic is not null and batch is not null),
+ g as (select batch, k, first(result_id order by n desc, recorded_at desc nulls last, result_id desc) as survivor_id, coalesce(first(result_id order by (origin='report') desc, recorded_at desc nulls last, result_id desc) filter (trim(classification)<>''),-1) as class_row_id from r group by batch, k having count(*)>1)
+ select batch, survivor_id, class_row_id from g""",
+    "p9_found": f"with f as (select doc_id, text, {_FORM} as form from documents where text is not null) select a.doc_id as doc_id_a, b.doc_id as doc_id_b from f a join f b on a.form=b.form and a.doc_id<b.doc_id and a.text<>b.text",
+    "p9_forms": f"select doc_id, case when text is null then null else {_FORM} end as canonical, coalesce({_FORM}<>text, false) as changed from documents",
+}

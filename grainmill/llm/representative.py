@@ -49,38 +49,71 @@ def _stated(field: str, values: Column) -> Column:
     return F.transform(F.coalesce(values, F.array()), lambda x: F.struct(F.lit(field).alias("field"), x.cast("string").alias("value")))
 
 
-def infer_truth(df: DataFrame, group: Sequence[str], source: str, single: Sequence[str], multi: dict[str, Column], rounds: int = 12) -> DataFrame:
-    """group columns, field, value, p: the probability that a value stated in a group is true.
+def _quality(votes: DataFrame, p: DataFrame, by: list[str]) -> DataFrame:
+    """Sensitivity and specificity of each source, smoothed towards 2/3 and 4/5."""
+    w, q, says = F.col("w") * F.col("p"), F.col("w") * (1 - F.col("p")), F.col("says")
+    return votes.join(p, ["pattern", "item"]).groupBy(*by).agg(
+        ((F.sum(w * says) + 4) / (F.sum(w) + 6)).alias("sens"), ((F.sum(q * (1 - says)) + 8) / (F.sum(q) + 10)).alias("spec")
+    )
+
+
+def _expect(votes: DataFrame, quality: DataFrame, base: DataFrame | None) -> DataFrame:
+    """pattern, item, p. Without ``base`` a pattern's items exclude each other, with it they are independent."""
+    log_odds = F.when(F.col("says") == 1, F.log(F.col("sens") / (1 - F.col("spec")))).otherwise(F.log((1 - F.col("sens")) / F.col("spec")))
+    post = votes.join(quality, ["field", "src"]).groupBy("pattern", "field", "item", "m").agg(F.exp(F.sum(log_odds)).alias("o"))
+    if base is None:
+        rivals = post.groupBy("pattern").agg(F.sum(F.col("o") * F.col("m")).alias("t"))
+        return post.join(rivals, "pattern").select("pattern", "item", (F.col("o") / (F.col("t") + 0.1)).alias("p"))
+    o = F.col("o") * F.col("base") / (1 - F.col("base"))
+    return post.join(base, "field").select("pattern", "item", (o / (1 + o)).alias("p"))
+
+
+def infer_truth(df: DataFrame, group: Sequence[str], source: str, single: Sequence[str], multi: dict[str, Column], rounds: int = 8) -> DataFrame:
+    """group columns, field, value, claims, p: the probability that a value stated in a group is true.
 
     A group's sources are those with a row in it; each states or doesn't state each of the group's
-    values. Facts with the same pattern of statements share their probability, so the iterations run
-    on the few distinct patterns with their counts, never on the records.
+    values. Of a single-valued field's values at most one is true, so they share one unit of
+    probability; values of a multi-valued field stand for themselves. Groups with the same pattern of
+    statements share their probabilities, so the iterations run on the few distinct patterns with
+    their counts, never on the records. Values stated by the same sources are counted, not listed, so
+    a pattern is bounded by the sets of sources whatever the group's size.
     """
     src = F.coalesce(F.col(source), F.lit(""))
     facts = F.concat(
         F.array(*[F.struct(F.lit(c).alias("field"), F.when(present(df, c), F.trim(F.col(c).cast("string"))).alias("value")) for c in single]),
         *[_stated(c, a) for c, a in multi.items()],
     )
+    one = F.col("field").isin(*single)
     witnesses = df.groupBy(*group).agg(F.sort_array(F.collect_set(src)).alias("present"))
     stated = df.select(*group, src.alias("src"), F.inline(facts)).where("value is not null").groupBy(*group, "field", "value").agg(F.sort_array(F.collect_set("src")).alias("claims"))
-    keyed = stated.join(witnesses, list(group)).withColumn("pattern", F.xxhash64("field", "claims", "present"))
-    keyed = cut_lineage(keyed)
-    patterns = cut_lineage(keyed.groupBy("pattern", "field", "claims", "present").agg(F.count("*").alias("n")))
-    votes = patterns.select("pattern", "field", "n", F.explode("present").alias("src"), "claims").select("pattern", "field", "n", "src", F.array_contains("claims", F.col("src")).alias("says"))
-    # start: a value is as probable as its share of the group's sources
-    p = cut_lineage(patterns.select("pattern", F.greatest(F.lit(0.05), F.least(F.lit(0.95), F.size("claims") / F.size("present"))).alias("p")))
-    says = F.col("says").cast("double")
+    stated = cut_lineage(stated.join(witnesses, list(group)).withColumn("item", F.xxhash64("claims")))
+    sets = stated.groupBy(*group, "field", "present", "item", "claims").agg(F.count("*").alias("m"))
+    units = sets.where(one).groupBy(*group, "field", "present").agg(F.sort_array(F.collect_list(F.struct("item", "claims", "m"))).alias("sets"))
+    units = units.withColumn("pattern", F.xxhash64("field", "present", "sets"))
+    alone = sets.where(~one).withColumn("sets", F.array(F.struct("item", "claims", F.lit(1).cast("long").alias("m")))).withColumn("n", F.col("m"))
+    alone = alone.withColumn("pattern", F.xxhash64("field", "present", "sets"))
+    counted = units.groupBy("pattern", "field", "present", "sets").agg(F.count("*").alias("n")).unionByName(alone.groupBy("pattern", "field", "present", "sets").agg(F.sum("n").alias("n")))
+    votes = counted.select("pattern", "field", "present", "n", F.inline("sets")).select("pattern", "field", "item", "m", (F.col("n") * F.col("m")).alias("w"), "claims", F.explode("present").alias("src"))
+    votes = cut_lineage(votes.withColumn("says", F.array_contains("claims", F.col("src")).cast("double")).drop("claims"))
+    ones, others = votes.where(one), votes.where(~one)
+    # single-valued fields start from the shares of the statements; their conflicts tell the sources apart
+    heard = ones.groupBy("pattern", "item", "m").agg(F.sum("says").alias("k"))
+    total = heard.groupBy("pattern").agg(F.sum(F.col("k") * F.col("m")).alias("t"))
+    p = cut_lineage(heard.join(total, "pattern").select("pattern", "item", (0.9 * F.col("k") / F.col("t")).alias("p")))
     for _ in range(rounds):
-        seen = votes.join(p, "pattern")
-        quality = seen.groupBy("field", "src").agg(
-            ((F.sum(F.col("n") * F.col("p") * says) + 2) / (F.sum(F.col("n") * F.col("p")) + 4)).alias("sens"),
-            ((F.sum(F.col("n") * (1 - F.col("p")) * (1 - says)) + 2) / (F.sum(F.col("n") * (1 - F.col("p"))) + 4)).alias("spec"),
-        )
-        prior = patterns.join(p, "pattern").groupBy("field").agg(((F.sum(F.col("n") * F.col("p")) + 1) / (F.sum("n") + 2)).alias("base"))
-        odds = F.when(F.col("says"), F.log(F.col("sens") / (1 - F.col("spec")))).otherwise(F.log((1 - F.col("sens")) / F.col("spec")))
-        post = votes.join(quality, ["field", "src"]).groupBy("pattern", "field").agg(F.sum(odds).alias("odds")).join(prior, "field")
-        p = cut_lineage(post.select("pattern", (1 / (1 + F.exp(-(F.col("odds") + F.log(F.col("base") / (1 - F.col("base"))))))).alias("p")))
-    return keyed.join(p, "pattern").select(*group, "field", "value", "claims", "p")
+        p = cut_lineage(_expect(ones, _quality(ones, p, ["field", "src"]), None))
+    if multi:
+        # multi-valued fields start from the sources' quality over all single-valued ones, then have their own
+        pooled = _quality(ones, p, ["src"]).join(others.select("field", "src").distinct(), "src", "right").select("field", "src", F.coalesce("sens", F.lit(0.5)).alias("sens"), F.coalesce("spec", F.lit(0.5)).alias("spec"))
+        q = cut_lineage(_expect(others, pooled, others.select("field").distinct().withColumn("base", F.lit(0.5))))
+        for _ in range(rounds // 2):
+            facts_ = others.select("pattern", "item", "field", "w").distinct().join(q, ["pattern", "item"])
+            base = facts_.groupBy("field").agg(((F.sum(F.col("w") * F.col("p")) + 1) / (F.sum("w") + 2)).alias("base"))
+            q = cut_lineage(_expect(others, _quality(others, q, ["field", "src"]), base))
+        p = p.unionByName(q)
+    keys = units.select(*group, "field", "pattern")
+    got = stated.where(one).join(keys, [*group, "field"]).unionByName(stated.where(~one).withColumn("pattern", F.xxhash64("field", "present", F.array(F.struct("item", "claims", F.lit(1).cast("long").alias("m"))))))
+    return got.join(p, ["pattern", "item"]).select(*group, "field", "value", "claims", "p")
 
 
 def fuse(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source: str, single: Sequence[str], multi: dict[str, Column], threshold: float = 0.5) -> DataFrame:
