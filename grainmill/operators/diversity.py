@@ -54,12 +54,13 @@ def prefix_pairs(sets: DataFrame, key: str, words: str, t: float, salts: int = 8
     ranked = tok.withColumn("s", F.pmod(F.xxhash64("g"), F.lit(salts)).cast("int")).join(freq, ["t", "s"]).groupBy("g").agg(F.sort_array(F.collect_list(F.struct("n", "t"))).alias("r"))
     size = F.size("r")
     keep = (size - F.ceil(size * F.lit(t) - F.lit(1e-9)) + 1).cast("int")
-    rows = ranked.select("g", size.alias("n"), F.xxhash64("g").alias("h"), F.transform("r", lambda x: x["t"]).alias("w"),
-                         F.explode(F.filter(F.slice("r", F.lit(1), keep), lambda x: x["n"] > 1)).alias("e")).select("g", "n", "w", F.col("e.t").alias("t"))
-    a = rows.select("t", F.col("g").alias("ga"), F.col("n").alias("na"), F.col("w").alias("wa"))
-    b = rows.select("t", F.col("g").alias("gb"), F.col("n").alias("nb"), F.col("w").alias("wb"))
-    near = a.join(b, "t").where((F.col("ga") < F.col("gb")) & (F.col("na") >= F.col("nb") * t - 1e-9) & (F.col("nb") >= F.col("na") * t - 1e-9))
-    pairs = near.withColumn("similarity", jaccard(F.col("wa"), F.col("wb"))).where(F.col("similarity") >= t).select("ga", "gb", "similarity").distinct()
+    # candidates carry digests and sizes only; the words join the distinct pairs
+    rows = ranked.select("g", size.alias("n"), F.explode(F.filter(F.slice("r", F.lit(1), keep), lambda x: x["n"] > 1)).alias("e")).select("g", "n", F.col("e.t").alias("t"))
+    a = rows.select("t", F.col("g").alias("ga"), F.col("n").alias("na"))
+    b = rows.select("t", F.col("g").alias("gb"), F.col("n").alias("nb"))
+    near = a.join(b, "t").where((F.col("ga") < F.col("gb")) & (F.col("na") >= F.col("nb") * t - 1e-9) & (F.col("nb") >= F.col("na") * t - 1e-9)).select("ga", "gb").distinct()
+    near = near.join(cls.select(F.col("g").alias("ga"), F.col("w").alias("wa")), "ga").join(cls.select(F.col("g").alias("gb"), F.col("w").alias("wb")), "gb")
+    pairs = near.withColumn("similarity", jaccard(F.col("wa"), F.col("wb"))).where(F.col("similarity") >= t).select("ga", "gb", "similarity")
     ma, mb = base.select(F.col("k").alias("a"), F.col("g").alias("ga")), base.select(F.col("k").alias("b"), F.col("g").alias("gb"))
     across = pairs.join(ma, "ga").join(mb, "gb").select(F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b"), "similarity")
     many = cls.where("m > 1").select(F.col("g").alias("ga"))
@@ -81,9 +82,12 @@ def best_match(new: DataFrame, new_key: str, corpus: DataFrame, corpus_key: str,
     def prefixes(d: DataFrame, k: str) -> DataFrame:
         r = d.select(k, F.explode("w").alias("t")).join(freq, "t", "left").groupBy(k).agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "t"))).alias("r"))
         size = F.size("r")
-        return r.select(k, F.transform("r", lambda x: x["t"]).alias("w" + k), F.explode(F.slice("r", F.lit(1), (size - F.ceil(size * t - 1e-9) + 1).cast("int"))).alias("e")).select(k, "w" + k, F.col("e.t").alias("t"))
+        head = F.slice("r", F.lit(1), (size - F.ceil(size * t - 1e-9) + 1).cast("int"))
+        # words that the corpus lacks hold their place in the prefix but meet nothing
+        return r.select(k, size.alias("n" + k), F.explode(F.filter(head, lambda x: x["n"] > 0)).alias("e")).select(k, "n" + k, F.col("e.t").alias("t"))
 
-    hits = prefixes(rest, "nk").join(prefixes(c, "ck"), "t").withColumn("similarity", jaccard(F.col("wnk"), F.col("wck"))).where(F.col("similarity") >= t)
+    near = prefixes(rest, "nk").join(prefixes(c, "ck"), "t").where((F.col("nnk") >= F.col("nck") * t - 1e-9) & (F.col("nck") >= F.col("nnk") * t - 1e-9)).select("nk", "ck").distinct()
+    hits = near.join(rest.select("nk", F.col("w").alias("wn")), "nk").join(c.select("ck", F.col("w").alias("wc")), "ck").withColumn("similarity", jaccard(F.col("wn"), F.col("wc"))).where(F.col("similarity") >= t)
     best = hits.groupBy("nk").agg(F.max(F.struct("similarity", (-F.col("ck")).alias("neg"))).alias("m"))
     close = best.select("nk", (-F.col("m.neg")).alias("ck"), F.col("m.similarity").alias("similarity"), F.lit("similar").alias("how"))
     return exact.unionByName(close).select(F.col("nk").alias(new_key), F.col("ck").alias(corpus_key), "similarity", "how")

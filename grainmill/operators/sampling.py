@@ -41,23 +41,31 @@ def top_per_group(df: DataFrame, by: Sequence[str], score: Column, key: str) ->
     return df.groupBy(*by).agg(F.max_by(F.struct(*cols), F.struct(score, -F.col(key))).alias("_r")).select(*by, "_r.*")
 
 
-def budgeted(df: DataFrame, budget: int, group: str, score: str, size: str, key: str, most: int = 100_000) -> DataFrame:
+def budgeted(df: DataFrame, budget: int, group: str, score: str, size: str, key: str, wave: int = 10_000) -> DataFrame:
     """Greedy selection under a budget, skipping what doesn't fit: each group's best first (groups in order), then the rest by score.
 
-    The scan is sequential by definition. Only rows that could fit (size <= budget) take part, and as
-    sizes are positive integers at most ``budget`` of them are ever chosen; beyond ``most`` candidates the
-    fold would not be bounded, and an error says so.
+    The scan is sequential by definition, so it runs in waves: a distributed top-``wave`` of the rows
+    after the last one looked at that still fit the budget left. It ends when none fits; sizes are
+    positive integers, so at most ``budget`` rows are chosen, and one wave is held at a time.
     """
-    fit = df.where((F.col(size) > 0) & (F.col(size) <= budget))
-    first = Window.partitionBy(group).orderBy(F.desc(score), key)
-    ranked = fit.withColumn("_best", F.row_number().over(first) == 1)
-    seq = F.struct((~F.col("_best")).alias("later"), F.when(F.col("_best"), F.col(group)).alias("g"), (-F.col(score)).alias("s"), F.col(key).alias("k"), F.col(size).cast("long").alias("z"))
-    held = ranked.agg(F.array_sort(F.collect_list(seq)).alias("xs"), F.count("*").alias("n"))
-    held = held.select(F.when(F.assert_true(F.col("n") <= most, F.lit(f"more than {most} candidates")).isNull(), F.col("xs")).alias("xs"))
-    kind = df.schema[key].dataType.simpleString()
-    none = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast(f"array<{kind}>").alias("ks"))
-    fold = F.aggregate("xs", none, lambda acc, x: F.when(acc["used"] + x["z"] <= budget, F.struct((acc["used"] + x["z"]).alias("used"), F.array_append(acc["ks"], x["k"]).alias("ks"))).otherwise(acc))
-    return held.select(F.explode(fold["ks"]).alias(key))
+    spark = df.sparkSession
+    fit = df.where((F.col(size) > 0) & (F.col(size) <= budget)).select(F.col(group).alias("g"), F.col(score).alias("s"), F.col(size).cast("long").alias("z"), F.col(key).alias("k"))
+    best = fit.groupBy("g").agg(F.max_by("k", F.struct("s", -F.col("k"))).alias("b"))
+    ranked = fit.join(best, "g").withColumn("o", F.struct((F.col("k") != F.col("b")).alias("later"), F.when(F.col("k") == F.col("b"), F.col("g")).alias("g"), (-F.col("s")).alias("s"), "k"))
+    left, chosen, at = budget, [], None
+    while True:
+        rest = ranked.where(F.col("z") <= left)
+        if at is not None:
+            later = F.struct(F.lit(at["later"]).alias("later"), F.lit(at["g"]).cast(fit.schema["g"].dataType).alias("g"), F.lit(at["s"]).alias("s"), F.lit(at["k"]).cast(fit.schema["k"].dataType).alias("k"))
+            rest = rest.where(F.col("o") > later)
+        rows = rest.orderBy("o").limit(wave).select("o", "z", "k").collect()
+        for r in rows:
+            if r.z <= left:
+                left -= r.z
+                chosen.append((r.k,))
+        if len(rows) < wave or left == 0:
+            return spark.createDataFrame(chosen, f"`{key}` {df.schema[key].dataType.simpleString()}")
+        at = rows[-1].o
 
 
 def schedule(df: DataFrame, key: str, explicit: Column, agent: Column, test: Column, default: float = 210.0) -> DataFrame:

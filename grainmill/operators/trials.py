@@ -33,13 +33,13 @@ def pass_at_k_table(trials: DataFrame, task: str, resolved: Column) -> DataFrame
     k runs over the powers of two up to the least number of attempts, and 5 and 10 where it allows.
     """
     per = trials.groupBy(task).agg(F.count("*").alias("n"), F.count_if(F.coalesce(resolved, F.lit(False))).alias("c"))
-    least = per.agg(F.min("n").alias("least"))
-    powers = F.transform(F.sequence(F.lit(0), F.floor(F.log2("least")).cast("int")), lambda e: F.pow(F.lit(2), e).cast("long"))
-    extra = F.filter(F.array(F.lit(5).cast("long"), F.lit(10).cast("long")), lambda x: x <= F.col("least"))
-    ks = least.where("least > 0").select(F.explode(F.array_distinct(F.concat(powers, extra))).alias("k"))
-    # one row per k, at most log2 of the least count plus two: every task meets every k
-    rows = per.join(F.broadcast(ks), F.col("n") >= F.col("k"))
-    return rows.groupBy("k").agg(F.count("*").alias("n_tasks"), F.avg(pass_at_k(F.col("n"), F.col("c"), F.col("k"))).alias("pass_at_k"))
+    n = F.col("n")
+    powers = F.transform(F.sequence(F.lit(0), F.floor(F.log2("n")).cast("int")), lambda e: F.pow(F.lit(2), e).cast("long"))
+    extra = F.filter(F.array(F.lit(5).cast("long"), F.lit(10).cast("long")), lambda x: x <= n)
+    rows = per.withColumn("k", F.explode(F.array_distinct(F.concat(powers, extra))))
+    got = rows.groupBy("k").agg(F.count("*").alias("n_tasks"), F.avg(pass_at_k(n, F.col("c"), F.col("k"))).alias("pass_at_k"))
+    # k is within the least number of attempts if every task meets it, as every task meets k = 1; one row per k here
+    return got.withColumn("_all", F.max("n_tasks").over(Window.partitionBy())).where("n_tasks = _all").drop("_all")
 
 
 def run_accuracy(trials: DataFrame, by: Sequence[str], resolved: Column) -> DataFrame:
@@ -123,15 +123,32 @@ def tier_cascade(df: DataFrame, key: str, tiers: Column, order: Sequence[str]) -
     return out.withColumn("_x", F.coalesce(*skip, *end)).select(key, "_x.filtered_at", "_x.passes", "_x.total")
 
 
-def conversation_tokens(messages: DataFrame, conversation: str, order: Sequence[str], assistant: Column, tokens: Column) -> DataFrame:
-    """conversation, input_tokens, output_tokens: input counts, at every assistant turn, all earlier messages again."""
-    w = Window.partitionBy(conversation).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = messages.select(conversation, *order, assistant.alias("_a"), tokens.alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    return rows.groupBy(conversation).agg(F.coalesce(F.sum(F.when(F.col("_a"), F.col("_before"))), F.lit(0)).alias("input_tokens"), F.coalesce(F.sum(F.when(F.col("_a"), F.col("_n"))), F.lit(0)).alias("output_tokens"))
+def conversation_tokens(messages: DataFrame, conversation: str, order: str, assistant: Column, tokens: Column, span: int = 65_536) -> DataFrame:
+    """conversation, input_tokens, output_tokens: input counts, at every assistant turn, all earlier messages again.
+
+    ``order`` is integral; running sums are taken inside blocks of ``span`` of it and over the blocks'
+    totals, so a conversation that holds a third of all messages is spread over many tasks.
+    """
+    rows = messages.select(conversation, F.col(order).alias("_o"), F.floor(F.col(order) / span).alias("_b"), assistant.alias("_a"), tokens.alias("_n"))
+    per = rows.groupBy(conversation, "_b").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_t"), F.count_if("_a").alias("_turns"), F.coalesce(F.sum(F.when(F.col("_a"), F.col("_n"))), F.lit(0)).alias("_out"))
+    inside = Window.partitionBy(conversation, "_b").orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
+    near = rows.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0))).where("_a").groupBy(conversation, "_b").agg(F.sum("_before").alias("_in"))
+    blocks = Window.partitionBy(conversation).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    far = per.withColumn("_base", F.coalesce(F.sum("_t").over(blocks), F.lit(0)))
+    key = [far[c].eqNullSafe(near[c]) for c in (conversation, "_b")]
+    got = far.join(near, key, "left").select(far[conversation], (F.col("_base") * F.col("_turns") + F.coalesce("_in", F.lit(0))).alias("_in"), "_out")
+    return got.groupBy(conversation).agg(F.sum("_in").alias("input_tokens"), F.sum("_out").alias("output_tokens"))
 
 
 def overshoots(rounds: DataFrame, key: str, round_no: str, label: str) -> DataFrame:
-    """Adds the labels of earlier rounds and whether this round's label differs from any of them."""
-    w = Window.partitionBy(key).orderBy(round_no).rowsBetween(Window.unboundedPreceding, -1)
-    seen = rounds.withColumn("earlier", F.collect_list(label).over(w))
-    return seen.withColumn("overshot", F.exists("earlier", lambda x: x != F.col(label)))
+    """Adds ``overshot``: whether an earlier round of the key has another label.
+
+    A label's first round suffices: per key the two labels that come first are aggregated, and a row
+    looks at the first of them that isn't its own.
+    """
+    first = rounds.where(F.col(label).isNotNull()).groupBy(key, F.col(label).alias("_l")).agg(F.min(round_no).alias("_r"))
+    a = first.groupBy(key).agg(F.min(F.struct("_r", "_l")).alias("_a"))
+    b = first.join(a, key).where(F.col("_l") != F.col("_a._l")).groupBy(key).agg(F.min("_r").alias("_second"))
+    other = F.when(F.col(label) == F.col("_a._l"), F.col("_second")).otherwise(F.col("_a._r"))
+    out = rounds.join(a, key, "left").join(b, key, "left").withColumn("overshot", F.coalesce(other < F.col(round_no), F.lit(False)))
+    return out.select(*rounds.columns, "overshot")

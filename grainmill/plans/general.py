@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.operators.drift import consistent_table, field_catalogue, field_lifespans, schema_changes
+from grainmill.operators.drift import ALIASES, TRIAL_FIELDS, consistent_table, field_catalogue, field_lifespans, schema_changes
 from grainmill.operators.logs import parse_log_entries
 from grainmill.operators.nested import unnest_reports
 from grainmill.operators.timestamps import normalize_timestamps
@@ -97,3 +97,64 @@ QUERIES = {
     "p6_lifespans": p6_lifespans,
     "p6_table": p6_table,
 }
+
+_NAME = "case " + " ".join(f"when name in ({', '.join(repr(a) for a in [f, *names])}) then '{f}'" for f, names in ALIASES.items()) + " end"
+_SNAKE = "lower(regexp_replace(name,'([a-z0-9])([A-Z])','\\1_\\2','g'))"
+_FIELDS = ", ".join(f"'{f}'" for f in TRIAL_FIELDS)
+ORACLES = {
+    "p4_found": """with r as (select report_id, case when json_type(report_json)='ARRAY' then report_json::json else coalesce(json_extract(report_json,'$.results'), json_extract(report_json,'$.report.results')) end as rs from batch_reports where report_json is not null and json_valid(report_json)),
+ e as (select report_id, unnest(range(json_array_length(rs)::bigint))::int as result_no, rs from r where json_type(rs)='ARRAY'), x as (select report_id, result_no, json_extract(rs, '$['||result_no||']') as j from e),
+ c as (select report_id, result_no, 0 as attempt_no, json_extract(j,'$.stages.functional') as f from x
+  union all select report_id, result_no, substr(k,7)::int, json_extract(j,'$.stages.'||k||'.functional') from (select *, unnest(json_keys(j,'$.stages')) as k from x where json_type(j,'$.stages')='OBJECT') where regexp_matches(k,'^retry_[0-9]+$')
+  union all select report_id, result_no, json_extract(a,'$.attempt')::int, a from (select report_id, result_no, unnest(json_extract(j,'$.validation_attempts[*]')) as a from x)),
+ d as (select *, case when json_type(f,'$.details')='VARCHAR' then json_extract_string(f,'$.details')::json else json_extract(f,'$.details') end as det from c where json_type(f)='OBJECT'),
+ b as (select *, json_extract(det,'$.build') as b, case when json_type(f,'$.execution_times')='ARRAY' then json_extract_string(list_filter(json_extract(f,'$.execution_times[*]'), lambda p: json_extract_string(p,'$.phase')='build')[1],'$.seconds') else json_extract_string(f,'$.execution_times.build') end as t from d)
+ select distinct report_id, result_no, attempt_no, case when lower(json_extract_string(b,'$.success')) in ('true','1') then 'true' when lower(json_extract_string(b,'$.success')) in ('false','0') then 'false' else 'unknown' end as build_success,
+  coalesce(case when t like '%ms' then round(replace(t,'ms','')::decimal(18,6))::bigint else round(replace(t,'s','')::decimal(18,6)*1000)::bigint end, -1) as build_ms from b where json_type(b)='OBJECT'""",
+    "p6_found": f"""with v as (select stream_id, file_no, record_json as j from trial_files where record_json is not null and json_valid(record_json)), o as (select * from v where json_type(j)='OBJECT'), k as (select stream_id, file_no, j, unnest(json_keys(j)) as name from o),
+ t as (select stream_id, file_no, name, case when {_SNAKE} in ({_FIELDS}) then {_SNAKE} else coalesce({_NAME}, {_NAME.replace('name in', _SNAKE + ' in')}, name) end as field,
+  case json_type(j, '$."'||name||'"') when 'BOOLEAN' then 'b' when 'VARCHAR' then 's' when 'OBJECT' then 'o' when 'ARRAY' then 'a' when 'NULL' then null else 'n' end as kind from k),
+ f as (select stream_id, file_no, field, list_sort(list(distinct name)) as names, coalesce(string_agg(distinct kind,'' order by kind),'') as kinds from t group by all),
+ n as (select stream_id, file_no, row_number() over (partition by stream_id order by file_no) as no from (select distinct stream_id, file_no from trial_files)),
+ s as (select f.*, n.no from f join n using (stream_id, file_no)), p as (select b.stream_id, b.file_no, b.no from n b)
+ select cur.stream_id, cur.file_no, cur.field as field_name, 'added' as change_kind from s cur where cur.no>1 and not exists (select 1 from s q where q.stream_id=cur.stream_id and q.field=cur.field and q.no=cur.no-1)
+ union all select p.stream_id, p.file_no, old.field, 'removed' from s old join p on p.stream_id=old.stream_id and p.no=old.no+1 where not exists (select 1 from s q where q.stream_id=old.stream_id and q.field=old.field and q.no=old.no+1)
+ union all select cur.stream_id, cur.file_no, cur.field, 'renamed' from s cur join s old on old.stream_id=cur.stream_id and old.field=cur.field and old.no=cur.no-1 where not list_has_any(cur.names, old.names)
+ union all select cur.stream_id, cur.file_no, cur.field, 'retyped' from s cur join s old on old.stream_id=cur.stream_id and old.field=cur.field and old.no=cur.no-1 where cur.kinds<>'' and old.kinds<>'' and cur.kinds<>old.kinds""",
+}
+
+
+def _log_sql() -> str:
+    """p1_found in SQL: one pattern per layout on lines without colour codes, segments by running counts."""
+    lv = "(?i:(trace|debug|dbg|info|inf|notice|warning|warn|wrn|error|err|critical|crit|fatal))"
+    day, clock, name = r"\d{4}-\d\d-\d\d", r"\d\d:\d\d:\d\d", r"([^\s\[\]():|]+)"
+    layouts = [  # pattern, group of the level, group of the component (0: none)
+        (rf"^{day}T{clock}[.,]?\d*Z? \[{lv}\] {name}: ", 1, 2),
+        (rf"^{day} {clock},\d+ - (\S+) - {lv} +- ", 2, 1),
+        (rf"^\[\d{{9,19}}\.?\d*\] <{lv}> (\S+) :: ", 1, 2),
+        (rf"^\[{day} {clock}\] ([^\s:]+)\.{lv}: ", 2, 1),
+        (rf"^{day} {clock}\.\d+ \| {lv} *\| ([^\s:|]+):[^\s:]+:\d+ - ", 1, 2),
+        (rf"^[A-Z][a-z]{{2}} [ \d]\d {clock} \S+ ([^\s\[\]]+)\[\d+\]: {lv}: ", 2, 1),
+        (rf"^\d{{4}}/\d\d/\d\d {clock} \[{lv}\] \d+#\d+: ", 1, 0),
+        (rf"^{clock}[.,]\d+ \[[^\]]+\] {lv} +(\S+) - ", 1, 2),
+        (rf"^{lv} {day}T{clock}[.,]?\d*\S* \(([^\s()]+)\) ", 1, 2),
+        (rf"^([DIWECF])\d{{4}} {clock}\.\d+ +\d+ ([^\s:\]]+):\d+\] ", 1, 2),
+    ]
+    q = lambda p: "'" + p.replace("'", "''") + "'"
+    level = " ".join(f"when regexp_matches(s,{q(p)}) then regexp_extract(s,{q(p)},{a})" for p, a, _ in layouts)
+    comp = " ".join(f"when regexp_matches(s,{q(p)}) then {f'regexp_extract(s,{q(p)},{b})' if b else q('')}" for p, _, b in layouts)
+    pairs = r"^(time=\S*\d\d:\d\d\S* level=|level=\S+ time=\S*\d\d:\d\d)"
+    j = lambda *ks: "coalesce(" + ", ".join(f"""json_extract_string(js,'$."{k}"')""" for k in ks) + ")"
+    level = f"case {level} when regexp_matches(s,{q(pairs)}) then regexp_extract(s,'(^| )level=(\\S+)',2) when js is not null and {j('ts', 'time', '@timestamp', 'timestamp')} is not null then {j('lvl', 'level', 'severity')} end"
+    comp = f"case {comp} when regexp_matches(s,{q(pairs)}) then regexp_extract(s,' component=(\\S+)',1) when js is not null then coalesce({j('logger', 'component', 'name')},'') end"
+    word = "case when lower(lv) in ('trace','debug','dbg','d') then 'DEBUG' when lower(lv) in ('info','inf','notice','i') then 'INFO' when lower(lv) in ('warning','warn','wrn','w') then 'WARNING' when lower(lv) in ('error','err','e') then 'ERROR' when lower(lv) in ('critical','crit','fatal','c','f') then 'CRITICAL' end"
+    w = "details.without_solution."
+    return f"""with t as (select attempt_id, 'stdout' as stream_name, {w}stdout_tail as x from validation_attempts union all select attempt_id, 'stderr', {w}stderr_tail from validation_attempts),
+ l as (select attempt_id, stream_name, unnest(string_split(x, chr(10))) as line, generate_subscripts(string_split(x, chr(10)), 1) as n from t where x <> ''),
+ c as (select *, regexp_replace(rtrim(line, chr(13)), '\\x1b\\[[0-9;]*m', '', 'g') as s from l), d as (select *, case when starts_with(s,'{{') and json_valid(s) then s::json end as js from c),
+ h as (select attempt_id, stream_name, n, regexp_full_match(line, '\\s*') as empty, {level} as lv, {comp} as comp from d),
+ k as (select *, {word} as log_level from h), g as (select *, count(*) filter (log_level is not null or empty) over (partition by attempt_id, stream_name order by n) as seg from k)
+ select distinct attempt_id, stream_name, min(n)::int as first_line, max(n)::int as last_line, any_value(log_level) as log_level, coalesce(any_value(comp) filter (log_level is not null),'') as component from g group by attempt_id, stream_name, seg having count(log_level)>0"""
+
+
+ORACLES["p1_found"] = _log_sql()

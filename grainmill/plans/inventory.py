@@ -313,7 +313,7 @@ def tier_cascade(spark, d):
  select task_id, coalesce(sum(b) filter (source='trial_transcript'),0)::bigint as input_tokens, coalesce(sum(n) filter (source='trial_transcript'),0)::bigint as output_tokens from m group by task_id""")
 def conversation_tokens(spark, d):
     """Documents of a task as a conversation in which transcripts are the answers."""
-    return trials.conversation_tokens(table(spark, d, "documents"), "task_id", ["doc_id"], F.coalesce(F.col("source") == "trial_transcript", F.lit(False)), F.floor(F.col("n_chars") / 4))
+    return trials.conversation_tokens(table(spark, d, "documents"), "task_id", "doc_id", F.coalesce(F.col("source") == "trial_transcript", F.lit(False)), F.floor(F.col("n_chars") / 4))
 
 
 @query("select coalesce(category,'unknown') as category, count(*) as n from topic_entries group by 1")
@@ -354,8 +354,10 @@ def unique_topics(spark, d):
     """Both notions of the number of unique topics: less the pairs, and less the topics in any pair."""
     t = table(spark, d, "topic_entries")
     p = topic_pairs(spark, d)
-    members = p.select(F.explode(F.array("topic_id_a", "topic_id_b")).alias("t")).agg(F.count_distinct("t").alias("m"))
-    return t.agg(F.count("*").alias("n")).crossJoin(p.agg(F.count("*").alias("p"))).crossJoin(members).select((F.col("n") - F.col("p")).alias("minus_pairs"), (F.col("n") - F.col("m")).alias("minus_members"))
+    members = p.select(F.explode(F.array("topic_id_a", "topic_id_b")).alias("t")).distinct()
+    # three counts as rows of one table, summed
+    counts = [x.agg(F.count("*").alias("n")).select((F.col("n") * u).alias("minus_pairs"), (F.col("n") * v).alias("minus_members")) for x, u, v in ((t, 1, 1), (p, -1, 0), (members, 0, -1))]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).agg(F.sum("minus_pairs").alias("minus_pairs"), F.sum("minus_members").alias("minus_members"))
 
 
 _LANG = "case " + " ".join(f"when contains(lower(coalesce(topic,'')), '{w}') then '{v}'" for w, v in fixed.LANGUAGE_RULES) + " else 'unknown' end"
@@ -479,8 +481,7 @@ def budget_selection(spark, d):
     """Greedy choice of tasks under a token budget: each category's best, then by score."""
     t = table(spark, d, "tasks").where("instruction is not null").select("task_key", F.coalesce("category", F.lit("unknown")).alias("category"), F.floor(F.octet_length("instruction") / 4).alias("tokens"))
     t = t.withColumn("score", sampling.example_score(F.lit(None).cast("double"), F.col("category") == "debugging", F.col("tokens")))
-    best = t.orderBy(F.desc("score"), "task_key").limit(20_000)  # no more can be looked at by a sequential scan; the report is a top-k under a budget
-    return sampling.budgeted(best, 4000, "category", "score", "tokens", "task_key")
+    return sampling.budgeted(t, 4000, "category", "score", "tokens", "task_key")
 
 
 @query("select task_key, coalesce(estimated_duration_sec, (max_agent_timeout_sec+max_test_timeout_sec)/2, 210.0) as estimate from tasks")

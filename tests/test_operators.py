@@ -111,7 +111,7 @@ def test_tiers_and_rounds(spark):
     r = spark.createDataFrame([("a", 1, "hard"), ("a", 2, "hard"), ("a", 3, "easy")], "k string, n int, l string")
     assert [x.overshot for x in trials.overshoots(r, "k", "n", "l").orderBy("n").collect()] == [False, False, True]
     m = spark.createDataFrame([("c", 1, False, 10), ("c", 2, True, 5), ("c", 3, False, 4), ("c", 4, True, 6)], "c string, n int, a boolean, t int")
-    assert rows(trials.conversation_tokens(m, "c", ["n"], F.col("a"), F.col("t"))) == [("c", 10 + 19, 11)]
+    assert rows(trials.conversation_tokens(m, "c", "n", F.col("a"), F.col("t"))) == [("c", 10 + 19, 11)] == rows(trials.conversation_tokens(m, "c", "n", F.col("a"), F.col("t"), span=2))
     assert rows(spark.createDataFrame([("TimeoutError",), ("Odd",)], "e string").select(trials.failure_of(F.col("e"), {"TimeoutError": "agent_timeout"}))) == [("agent_timeout",), ("unknown_agent_error",)]
 
 
@@ -177,7 +177,7 @@ def test_sampling(spark):
     rr = sampling.stratified_round_robin(df, 7, "g", "w", "i").groupBy("g").count().collect()
     assert sorted(r["count"] for r in rr) == [2, 2, 3]
     b = spark.createDataFrame([(1, "a", 9.0, 60), (2, "a", 8.0, 30), (3, "b", 1.0, 50), (4, "b", 0.5, 5), (5, "c", 5.0, 200)], "k long, g string, s double, z long")
-    assert sorted(r.k for r in sampling.budgeted(b, 100, "g", "s", "z", "k").collect()) == [1, 2, 4]
+    assert [sorted(r.k for r in sampling.budgeted(b, 100, "g", "s", "z", "k", wave=w).collect()) for w in (1, 2, 100)] == [[1, 2, 4]] * 3
     w = sampling.topic_weights(spark.createDataFrame([result(topic="a", cls="learnable"), result(topic="a", cls="learnable"), result(topic="b"), result(topic="c", ok=False, status="functional_failed"), result(topic="c", ok=False, status="functional_failed")], RESULT), spark.createDataFrame([("a", 1.0), ("b", 0.3), ("c", 1.0), ("d", None)], "topic string, old_weight double"), "topic")
     assert dict(rows(w)) == {"a": 1.0, "b": 0.3, "c": 0.05, "d": 1.0}
 
