@@ -12,11 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.session import cut_lineage
 
+#: Rows of counted patterns up to which the iterations run on the driver.
+LOCAL_VOTES = 200_000
 VALUES = ["task_dir", "failed_stage", "classification", "passes", "total", "pass_rate"]
 
 
@@ -68,6 +72,65 @@ def _expect(votes: DataFrame, quality: DataFrame, base: DataFrame | None) -> Dat
     return post.join(base, "field").select("pattern", "item", (o / (1 + o)).alias("p"))
 
 
+def _iterate(votes: DataFrame, one: Column, multi: bool, rounds: int) -> DataFrame:
+    """pattern, item, p after the iterations, distributed: for sources so many that their patterns are many too."""
+    ones, others = votes.where(one), votes.where(~one)
+    # single-valued fields start from the shares of the statements; their conflicts tell the sources apart
+    heard = ones.groupBy("pattern", "item", "m").agg(F.sum("says").alias("k"))
+    total = heard.groupBy("pattern").agg(F.sum(F.col("k") * F.col("m")).alias("t"))
+    p = cut_lineage(heard.join(total, "pattern").select("pattern", "item", (0.9 * F.col("k") / F.col("t")).alias("p")))
+    for _ in range(rounds):
+        p = cut_lineage(_expect(ones, _quality(ones, p, ["field", "src"]), None))
+    if not multi:
+        return p
+    # multi-valued fields start from the sources' quality over all single-valued ones, then have their own
+    pooled = _quality(ones, p, ["src"]).join(others.select("field", "src").distinct(), "src", "right").select("field", "src", F.coalesce("sens", F.lit(0.5)).alias("sens"), F.coalesce("spec", F.lit(0.5)).alias("spec"))
+    q = cut_lineage(_expect(others, pooled, others.select("field").distinct().withColumn("base", F.lit(0.5))))
+    for _ in range(rounds // 2):
+        facts = others.select("pattern", "item", "field", "w").distinct().join(q, ["pattern", "item"])
+        base = facts.groupBy("field").agg(((F.sum(F.col("w") * F.col("p")) + 1) / (F.sum("w") + 2)).alias("base"))
+        q = cut_lineage(_expect(others, _quality(others, q, ["field", "src"]), base))
+    return p.unionByName(q)
+
+
+def _iterate_local(votes: pd.DataFrame, single: list[str], rounds: int) -> pd.DataFrame:
+    """The same iterations on counted patterns in memory."""
+    key = ["pattern", "item"]
+
+    def quality(v: pd.DataFrame, p: pd.DataFrame, by: list[str]) -> pd.DataFrame:
+        x = v.merge(p, on=key)
+        x = x.assign(t=x.w * x.p, ts=x.w * x.p * x.says, f=x.w * (1 - x.p), fs=x.w * (1 - x.p) * (1 - x.says)).groupby(by, as_index=False)[["t", "ts", "f", "fs"]].sum()
+        return x[by].assign(sens=(x.ts + 4) / (x.t + 6), spec=(x.fs + 8) / (x.f + 10))
+
+    def expect(v: pd.DataFrame, q: pd.DataFrame, base: pd.DataFrame | None) -> pd.DataFrame:
+        x = v.merge(q, on=["field", "src"])
+        x["o"] = np.where(x.says == 1, np.log(x.sens / (1 - x.spec)), np.log((1 - x.sens) / x.spec))
+        x = x.groupby(["pattern", "field", "item", "m"], as_index=False).o.sum()
+        o = np.exp(x.o)
+        if base is None:
+            return x[key].assign(p=o / ((o * x.m).groupby(x.pattern).transform("sum") + 0.1))
+        b = x.merge(base, on="field", how="left").base.to_numpy()
+        o = o * b / (1 - b)
+        return x[key].assign(p=o / (1 + o))
+
+    one = votes.field.isin(single)
+    ones, others = votes[one], votes[~one]
+    h = ones.groupby(["pattern", "item", "m"], as_index=False).says.sum()
+    p = h[key].assign(p=0.9 * h.says / (h.says * h.m).groupby(h.pattern).transform("sum"))
+    for _ in range(rounds):
+        p = expect(ones, quality(ones, p, ["field", "src"]), None)
+    if len(others):
+        pairs = others[["field", "src"]].drop_duplicates()
+        pooled = pairs.merge(quality(ones, p, ["src"]), on="src", how="left").fillna({"sens": 0.5, "spec": 0.5})
+        q = expect(others, pooled, others[["field"]].drop_duplicates().assign(base=0.5))
+        for _ in range(rounds // 2):
+            f = others[[*key, "field", "w"]].drop_duplicates().merge(q, on=key)
+            f = f.assign(wp=f.w * f.p).groupby("field", as_index=False)[["w", "wp"]].sum()
+            q = expect(others, quality(others, q, ["field", "src"]), f[["field"]].assign(base=(f.wp + 1) / (f.w + 2)))
+        p = pd.concat([p, q])
+    return p.astype({"pattern": "int64", "item": "int64", "p": "float64"})
+
+
 def infer_truth(df: DataFrame, group: Sequence[str], source: str, single: Sequence[str], multi: dict[str, Column], rounds: int = 8) -> DataFrame:
     """group columns, field, value, claims, p: the probability that a value stated in a group is true.
 
@@ -95,35 +158,33 @@ def infer_truth(df: DataFrame, group: Sequence[str], source: str, single: Sequen
     counted = units.groupBy("pattern", "field", "present", "sets").agg(F.count("*").alias("n")).unionByName(alone.groupBy("pattern", "field", "present", "sets").agg(F.sum("n").alias("n")))
     votes = counted.select("pattern", "field", "present", "n", F.inline("sets")).select("pattern", "field", "item", "m", (F.col("n") * F.col("m")).alias("w"), "claims", F.explode("present").alias("src"))
     votes = cut_lineage(votes.withColumn("says", F.array_contains("claims", F.col("src")).cast("double")).drop("claims"))
-    ones, others = votes.where(one), votes.where(~one)
-    # single-valued fields start from the shares of the statements; their conflicts tell the sources apart
-    heard = ones.groupBy("pattern", "item", "m").agg(F.sum("says").alias("k"))
-    total = heard.groupBy("pattern").agg(F.sum(F.col("k") * F.col("m")).alias("t"))
-    p = cut_lineage(heard.join(total, "pattern").select("pattern", "item", (0.9 * F.col("k") / F.col("t")).alias("p")))
-    for _ in range(rounds):
-        p = cut_lineage(_expect(ones, _quality(ones, p, ["field", "src"]), None))
-    if multi:
-        # multi-valued fields start from the sources' quality over all single-valued ones, then have their own
-        pooled = _quality(ones, p, ["src"]).join(others.select("field", "src").distinct(), "src", "right").select("field", "src", F.coalesce("sens", F.lit(0.5)).alias("sens"), F.coalesce("spec", F.lit(0.5)).alias("spec"))
-        q = cut_lineage(_expect(others, pooled, others.select("field").distinct().withColumn("base", F.lit(0.5))))
-        for _ in range(rounds // 2):
-            facts_ = others.select("pattern", "item", "field", "w").distinct().join(q, ["pattern", "item"])
-            base = facts_.groupBy("field").agg(((F.sum(F.col("w") * F.col("p")) + 1) / (F.sum("w") + 2)).alias("base"))
-            q = cut_lineage(_expect(others, _quality(others, q, ["field", "src"]), base))
-        p = p.unionByName(q)
+    if votes.limit(LOCAL_VOTES + 1).count() <= LOCAL_VOTES:
+        # few sources make few patterns: their counts, checked against the bound, fit the driver
+        p = df.sparkSession.createDataFrame(_iterate_local(votes.toPandas(), list(single), rounds), "pattern long, item long, p double")
+    else:
+        p = _iterate(votes, one, bool(multi), rounds)
     keys = units.select(*group, "field", "pattern")
     got = stated.where(one).join(keys, [*group, "field"]).unionByName(stated.where(~one).withColumn("pattern", F.xxhash64("field", "present", F.array(F.struct("item", "claims", F.lit(1).cast("long").alias("m"))))))
     return got.join(p, ["pattern", "item"]).select(*group, "field", "value", "claims", "p")
 
 
 def fuse(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source: str, single: Sequence[str], multi: dict[str, Column], threshold: float = 0.5) -> DataFrame:
-    """One fused record per group: single-valued fields by probability (ties: latest, then largest id), multi-valued ones keep every value with p >= threshold."""
-    truth = infer_truth(df, group, source, single, multi)
-    facts = F.array(*[F.struct(F.lit(c).alias("field"), F.when(present(df, c), F.trim(F.col(c).cast("string"))).alias("value")) for c in single])
-    last = df.select(*group, F.col(row_id).alias("id"), F.col(recorded).alias("t"), F.inline(facts)).where("value is not null").groupBy(*group, "field", "value").agg(F.max(F.struct("t", "id")).alias("last"))
-    best = truth.where(F.col("field").isin(*single)).join(last, [*group, "field", "value"])
-    best = best.groupBy(*group, "field").agg(F.max(F.struct(F.round("p", 9).alias("p"), "last", "value"))["value"].alias("value"))
-    many = truth.where(~F.col("field").isin(*single) & (F.col("p") >= threshold)).groupBy(*group, "field").agg(F.sort_array(F.collect_set("value")).alias("all"))
-    both = best.select(*group, "field", "value", F.lit(None).cast("array<string>").alias("all")).unionByName(many.select(*group, "field", F.lit(None).cast("string").alias("value"), "all"))
-    pick = [F.max(F.when(F.col("field") == c, F.col("value"))).alias(c) for c in single] + [F.max(F.when(F.col("field") == c, F.col("all"))).alias(c) for c in multi]
-    return df.select(*group).distinct().join(both.groupBy(*group).agg(*pick), list(group), "left")
+    """group columns and one fused value per field.
+
+    Single-valued fields take the most probable value (ties: latest, then largest id), as text;
+    multi-valued ones keep every value with p >= threshold. Rows with a null group column are in no
+    group; a field that no row states is null.
+    """
+    # the groups' long keys travel once: all that follows is keyed by the group's smallest row id
+    df = df.where(" and ".join(f"`{g}` is not null" for g in group)).select(*group, F.col(row_id).alias("_id"), F.col(recorded).alias("_t"), F.col(source).alias("_src"), *single, *[a.alias(m) for m, a in multi.items()])
+    groups = cut_lineage(df.groupBy(*group).agg(F.min("_id").alias("_g")))
+    rows = cut_lineage(df.join(groups, list(group)).drop(*group))
+    truth = infer_truth(rows, ["_g"], "_src", single, {m: F.col(m) for m in multi})
+    truth = cut_lineage(truth)
+    facts = F.array(*[F.struct(F.lit(c).alias("field"), F.when(present(rows, c), F.trim(F.col(c).cast("string"))).alias("value")) for c in single])
+    last = rows.select("_g", F.struct(F.col("_t").alias("t"), F.col("_id").alias("id")).alias("last"), F.inline(facts)).where("value is not null").groupBy("_g", "field", "value").agg(F.max("last").alias("last"))
+    best = truth.where(F.col("field").isin(*single)).join(last, ["_g", "field", "value"])
+    best = best.groupBy("_g").agg(*[F.max(F.when(F.col("field") == c, F.struct(F.round("p", 9).alias("p"), "last", "value")))["value"].alias(c) for c in single])
+    many = truth.where(~F.col("field").isin(*single) & (F.col("p") >= threshold)).groupBy("_g").agg(*[F.sort_array(F.collect_set(F.when(F.col("field") == c, F.col("value")))).alias(c) for c in multi] or [F.count("*").alias("_n")])
+    out = groups.join(best, "_g", "left").join(many, "_g", "left")
+    return out.select(*group, *single, *[F.when(F.size(m) > 0, F.col(m)).alias(m) for m in multi])

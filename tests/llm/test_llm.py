@@ -124,6 +124,13 @@ def test_quality_model_finds_the_good_source(spark):
     last = sum(r[4] == truth[int(r[0])] for r in data_ if r[3] == "bad2") / 400
     assert right > 0.9 > last  # far better than keeping the latest
     assert sum(set(r.tags or []) <= {"m", "n"} for r in got.values()) / 400 > 0.8
+    from unittest import mock
+
+    from grainmill.llm import representative
+
+    with mock.patch.object(representative, "LOCAL_VOTES", 0):  # the distributed iterations agree
+        far = fuse(df, ["g"], "id", "at", "src", ["v"], {"tags": F.col("tags")}).collect()
+    assert {int(r.g): (r.v, r.tags) for r in far} == {g: (r.v, r.tags) for g, r in got.items()}
     assert fuse(df.limit(0), ["g"], "id", "at", "src", ["v"], {"tags": F.col("tags")}).count() == 0
 
 
