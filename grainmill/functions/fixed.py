@@ -32,6 +32,12 @@ WRITES = [r"cat\s+>+\s+(\S+)\s+<<", r"echo\s+[\"'][^\"']*[\"']\s+>\s+(\S+)"]
 # Statuses of a test log.
 PASSING = ["PASSED", "XFAIL", "SKIPPED"]
 FAILING = ["FAILED", "XPASS", "ERROR"]
-TRANSIENT = ["timeout", "timed out", "connection", "rate limit", "temporarily"]
-# Texts of an agent that didn't manage its answer.
-FAILURE_SIGNS = ["error", "failed", "exception", "traceback", "not found", "permission denied", "no such file", "command not found", "syntax error", "cannot"]
+# Issues that come from the environment, and errors that may pass on a further try (builds, runs).
+ENVIRONMENT = ["docker is not available", "image size", "no space left", "disk full", "permission denied"]
+TRANSIENT_BUILD = ["connection refused", "daemon is not running", "temporary failure", "could not resolve", "i/o timeout"]
+TRANSIENT_RUN = ["connection refused", "daemon is not running", "no space left", "resource temporarily unavailable"]
+# Signs of failed tests in a terminal's output, ignoring case.
+FAILURE_SIGNS = [
+    r"FAILED.*tests?", r"\d+ failed", r"FAIL:", r"Test.*FAILED", r"Error.*test",
+    r"make.*Error", r"assertion.*failed", r"exit code [1-9]", r"error:", r"failures?:",
+]

@@ -91,7 +91,12 @@ def topic_language(x: Column) -> Column:
 
 def any_keyword(values: Column, words: list[str]) -> Column:
     """Whether any element of an array of texts holds any of the words, ignoring case."""
-    return F.exists(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.lower(v).rlike("|".join(words)))
+    return F.exists(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.coalesce(F.lower(v).rlike("|".join(words)), F.lit(False)))
+
+
+def signs_failure(x: Column) -> Column:
+    """Whether a terminal's output tells of failed tests; false for a null output."""
+    return F.coalesce(x.rlike("(?i)" + "|".join(f"(?:{p})" for p in fixed.FAILURE_SIGNS)), F.lit(False))
 
 
 def fenced_json(x: Column) -> Column:

@@ -97,3 +97,10 @@ def content_digest(files: DataFrame, key: str, path: str, content: str) -> DataF
     """16 hex digits over a directory's files in path order; a directory's files are bounded by nature."""
     ordered = F.transform(F.array_sort(F.collect_list(F.struct(F.col(path).alias("p"), F.sha2(F.col(content), 256).alias("h")))), lambda x: F.concat(x["p"], F.lit("\0"), x["h"]))
     return files.groupBy(key).agg(F.substring(F.sha2(F.array_join(ordered, "\n"), 256), 1, 16).alias("digest"))
+
+
+def ordered_text(files: DataFrame, key: str, path: str, content: str, first: str = "_bugs.md") -> DataFrame:
+    """key, text: a directory's files in path order under their names, the annotations file first; null contents are left out."""
+    part = F.struct((F.col(path) != first).alias("later"), F.col(path).alias("p"), F.concat(F.lit("**"), F.col(path), F.lit("**\n"), F.col(content)).alias("t"))
+    listed = F.transform(F.array_sort(F.collect_list(F.when(F.col(content).isNotNull(), part))), lambda x: x["t"])
+    return files.groupBy(key).agg(F.array_join(listed, "\n").alias("text"))

@@ -43,6 +43,8 @@ def field_catalogue(df: DataFrame, producer: Sequence[str], file: str, record: s
     """producer, file, printed, field, kinds (bit set over TYPES; 0 when only nulls were met), n_records.
 
     A file without any valid record keeps one row with a null field, so that it counts as a file.
+    Null, blank and broken lines don't count; rows with a null producer or file are in no stream;
+    repeated lines change nothing but the count; an empty table gives an empty catalogue.
     """
     v = F.try_parse_json(F.col(record))
     rows = df.select(*producer, F.col(file).alias("_file"), v.alias("_v"))

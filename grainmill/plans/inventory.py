@@ -553,6 +553,12 @@ def trial_seconds(spark, d):
     return _trials(spark, d).where("trial_started_at is not null and trial_ended_at is not null").select("trial_key", S.seconds_between(iso("trial_started_at"), iso("trial_ended_at")).alias("seconds"))
 
 
+@query(f"""select attempt_id, coalesce(regexp_matches(details.without_solution.stdout_tail, '(?i){'|'.join(f'(?:{p})' for p in fixed.FAILURE_SIGNS)}'), false) as failed from validation_attempts""")
+def failure_signs(spark, d):
+    """Attempts whose output tells of failed tests."""
+    return table(spark, d, "validation_attempts").select("attempt_id", S.signs_failure(F.col("details.without_solution.stdout_tail")).alias("failed"))
+
+
 @query()
 def test_logs(spark, d):
     """Results of the test logs held in the tails of validation attempts."""

@@ -137,6 +137,7 @@ def test_scalars(spark):
         assert tuple(one(spark, text, lambda x: S.replace_once(x, F.lit("b"), F.lit("X")))[0]) == want
     assert [one(spark, x, S.inferred_type)[0] for x in ("1", "true", "a b", "[1]")] == ["BIGINT", "BOOLEAN", "STRING", "ARRAY<BIGINT>"]
     assert one(spark, "x", lambda _: S.percent_text(F.lit(1), F.lit(0)), lambda _: S.percent_text(F.lit(1), F.lit(4)), lambda _: S.wave_timeout(F.lit(5), F.lit(900)), lambda _: S.retry_delay(F.lit(3)), lambda _: S.duration_text(F.lit(3725))) == ("- %", "25.0%", 1800, 40.0, "1h 02m")
+    assert [one(spark, x, S.signs_failure)[0] for x in ("3 failed, 2 passed", "make: *** Error", "all good")] == [True, True, False]
     assert one(spark, "abcdef", lambda x: S.tail(x, 3), lambda x: S.sectioned([(F.lit(True), "H: ", x), (F.lit(False), "N: ", x)])) == ("def", "H: abcdef")
     assert one(spark, "x", lambda _: S.pass_rate(F.lit(1), F.lit(0)), lambda _: S.pass_rate(F.lit(1), F.lit(3))) == (None, 0.3333)
     assert one(spark, "", lambda x: S.jaccard(S.letter_words(x), S.letter_words(x), 1.0), lambda x: S.jaccard(S.blank_words(x), S.blank_words(x)))== (1.0, 0.0)
@@ -156,6 +157,8 @@ def test_prefix_pairs_is_exact(spark):
     files = spark.createDataFrame([("a", "x", "1"), ("a", "y", "2"), ("b", "y", "2"), ("b", "x", "1"), ("c", "x", "2")], "k string, p string, c string")
     d = {r.k: r.digest for r in diversity.content_digest(files, "k", "p", "c").collect()}
     assert d["a"] == d["b"] != d["c"] and len(d["a"]) == 16
+    notes = spark.createDataFrame([("a", "x", "1"), ("a", "_bugs.md", "why"), ("a", "b", None)], "k string, p string, c string")
+    assert rows(diversity.ordered_text(notes, "k", "p", "c")) == [("a", "**_bugs.md**\nwhy\n**x**\n1")]
 
 
 def test_quality(spark):
