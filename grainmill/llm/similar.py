@@ -134,7 +134,8 @@ def similar_classes(classes: DataFrame, t: float, tile: int = 2048) -> DataFrame
     length = (size - F.ceil(size * F.lit(t) - F.lit(1e-9)) + 1).cast("int")
     prefix = F.transform(F.filter(F.slice("r", F.lit(1), length), lambda x: x["n"] > 1), lambda x: F.struct(x["n"].alias("n"), F.xxhash64(x["w"]).alias("token")))
     rows = ranked.select("rep", size.alias("size"), F.transform("r", lambda x: F.xxhash64(x["w"])).alias("hashes"), prefix.alias("prefix")).where(F.size("prefix") > 0)
-    rows = rows.mapInArrow(_fold_rows, "rep long, size int, bits binary, prefix array<struct<n: long, token: long>>")
+    # written once, as the cool and the hot blocks below both start from it
+    rows = cut_lineage(rows.mapInArrow(_fold_rows, "rep long, size int, bits binary, prefix array<struct<n: long, token: long>>"))
     rows = rows.select("rep", "size", "bits", F.inline("prefix"))
     cool = rows.where(F.col("n") <= tile).select(F.col("token").alias("block"), F.lit(0).alias("side"), "rep", "size", "bits")
     hot = rows.where(F.col("n") > tile)
