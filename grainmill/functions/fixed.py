@@ -41,3 +41,14 @@ FAILURE_SIGNS = [
     r"FAILED.*tests?", r"\d+ failed", r"FAIL:", r"Test.*FAILED", r"Error.*test",
     r"make.*Error", r"assertion.*failed", r"exit code [1-9]", r"error:", r"failures?:",
 ]
+# Script writes with their contents: here-document (path, delimiter) and echo (content, path).
+HEREDOC = r"""cat\s+>+\s+(\S+)\s+<<\s*['"]?(\w+)['"]?"""
+ECHO = r"""echo\s+["']([^"']*)["']\s+>\s+(\S+)"""
+# Tokens compared between the two sides of a one-line change.
+BOUNDS = r"[<>]=?"
+NUMBERS = r"[-+]?\d+"
+SHIFTS = r"\w+\s*[-+]\s*1"
+OPERATORS = r"[\+\-\*\/\%]|==|!=|<=|>=|<<|>>|\band\b|\bor\b|\bnot\b"
+NAMES = r"\b[a-zA-Z_]\w*\b"
+STRINGS = r"['\"][^'\"]*['\"]"
+GUARDS = ["if ", "elif ", "else:", "try:", "except", "not ", "is None"]

@@ -145,6 +145,16 @@ def duration_text(seconds: Column) -> Column:
     )
 
 
+def money_text(x: Column) -> Column:
+    """Dollars with two decimals, with four below one cent; a dash for null."""
+    return F.when(x.isNull(), "-").when(F.abs(x) < 0.01, F.format_string("$%.4f", x.cast("double"))).otherwise(F.format_string("$%.2f", x.cast("double")))
+
+
+def reported_or(reported: Column, derived: Column) -> Column:
+    """The provider's own count where it gave one above 0, else the derived one."""
+    return F.when(reported > 0, reported).otherwise(derived)
+
+
 def wave_timeout(n: Column, limit: Column, parallel: int = 4) -> Column:
     """Time for n jobs in waves of ``parallel``."""
     return F.ceil(n / F.greatest(F.least(n, F.lit(parallel)), F.lit(1))) * limit

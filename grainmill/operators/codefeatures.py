@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 from grainmill.functions import fixed
 
-HEREDOC = re.compile(r"""cat\s+>+\s+(\S+)\s+<<\s*['"]?(\w+)['"]?""")
-ECHO = re.compile(r"""echo\s+["']([^"']*)["']\s+>\s+(\S+)""")
+HEREDOC, ECHO = re.compile(fixed.HEREDOC), re.compile(fixed.ECHO)
 HUNK = re.compile(r"^@@ -(\d+)")
 
 
@@ -74,15 +73,15 @@ def alike(a: str, b: str, threshold: float) -> bool:
 
 
 def _off_by_one(r: str, a: str) -> bool:
-    bounds = [set(re.findall(r"[<>]=?", s)) for s in (r, a)]
+    bounds = [set(re.findall(fixed.BOUNDS, s)) for s in (r, a)]
     if all(bounds) and bounds[0] != bounds[1]:
         return True
-    nums = [re.findall(r"[-+]?\d+", s) for s in (r, a)]
+    nums = [re.findall(fixed.NUMBERS, s) for s in (r, a)]
     if nums[0] and len(nums[0]) == len(nums[1]):
         steps = [abs(int(y) - int(x)) for x, y in zip(*nums) if x != y]
         if steps and max(steps) <= 1:
             return True
-    shifted = [re.search(r"\w+\s*[-+]\s*1", s) is not None for s in (r, a)]
+    shifted = [re.search(fixed.SHIFTS, s) is not None for s in (r, a)]
     return shifted[0] != shifted[1]
 
 
@@ -91,13 +90,13 @@ def _tokens_differ(pattern: str) -> Callable[[str, str], bool]:
 
 
 def _names_changed(r: str, a: str) -> int:
-    x, y = (re.findall(r"\b[a-zA-Z_]\w*\b", s) for s in (r, a))
+    x, y = (re.findall(fixed.NAMES, s) for s in (r, a))
     return sum(p != q for p, q in zip(x, y)) if len(x) == len(y) else -1
 
 
-_OPS = _tokens_differ(r"[\+\-\*\/\%]|==|!=|<=|>=|<<|>>|\band\b|\bor\b|\bnot\b")
-_STRINGS = _tokens_differ(r"['\"][^'\"]*['\"]")
-_NUMBERS = _tokens_differ(r"[-+]?\d+")
+_OPS = _tokens_differ(fixed.OPERATORS)
+_STRINGS = _tokens_differ(fixed.STRINGS)
+_NUMBERS = _tokens_differ(fixed.NUMBERS)
 #: Kinds of a one-line change; the first rule that holds names it, so their order matters.
 RULES: list[tuple[str, Callable[[str, str], bool]]] = [
     ("off_by_one", _off_by_one),
@@ -105,7 +104,7 @@ RULES: list[tuple[str, Callable[[str, str], bool]]] = [
     ("wrong_variable", lambda r, a: _names_changed(r, a) == 1),
     ("swapped_arguments", lambda r, a: _names_changed(r, a) == 2 and alike(r, a, 0.85)),
     ("wrong_constant", lambda r, a: (_STRINGS(r, a) or _NUMBERS(r, a)) and alike(r, a, 0.4)),
-    ("missing_edge_case", lambda r, a: any(k in a and k not in r for k in ("if ", "elif ", "else:", "try:", "except", "not ", "is None"))),
+    ("missing_edge_case", lambda r, a: any(k in a and k not in r for k in fixed.GUARDS)),
 ]
 
 

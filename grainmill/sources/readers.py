@@ -81,6 +81,11 @@ def source_files(files: DataFrame, infra: Sequence[str]) -> DataFrame:
     return files.where(~name.isin(*infra) & ~name.rlike("^(_|validation_)") & ~F.col("path").startswith("tests/"))
 
 
+def cohort(files: DataFrame) -> DataFrame:
+    """Files of the directories that are tasks, that is, hold a task.yaml."""
+    return files.join(files.where("path = 'task.yaml'").select("task_dir").distinct(), "task_dir", "left_semi")
+
+
 def parse_yaml(df: DataFrame, keep: Sequence[str], text: str, schema: str) -> DataFrame:
     """YAML mappings as a struct ``doc`` and an ``issue`` (not a mapping, unreadable, or null)."""
 

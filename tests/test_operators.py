@@ -138,6 +138,7 @@ def test_scalars(spark):
     assert [one(spark, x, S.inferred_type)[0] for x in ("1", "true", "a b", "[1]")] == ["BIGINT", "BOOLEAN", "STRING", "ARRAY<BIGINT>"]
     assert one(spark, "x", lambda _: S.percent_text(F.lit(1), F.lit(0)), lambda _: S.percent_text(F.lit(1), F.lit(4)), lambda _: S.wave_timeout(F.lit(5), F.lit(900)), lambda _: S.retry_delay(F.lit(3)), lambda _: S.duration_text(F.lit(3725))) == ("- %", "25.0%", 1800, 40.0, "1h 02m")
     assert [one(spark, x, S.signs_failure)[0] for x in ("3 failed, 2 passed", "make: *** Error", "all good")] == [True, True, False]
+    assert one(spark, "x", lambda _: S.money_text(F.lit(1.5)), lambda _: S.money_text(F.lit(0.001)), lambda _: S.reported_or(F.lit(0), F.lit(7)), lambda _: S.reported_or(F.lit(5), F.lit(7))) == ("$1.50", "$0.0010", 7, 5)
     assert one(spark, "abcdef", lambda x: S.tail(x, 3), lambda x: S.sectioned([(F.lit(True), "H: ", x), (F.lit(False), "N: ", x)])) == ("def", "H: abcdef")
     assert one(spark, "x", lambda _: S.pass_rate(F.lit(1), F.lit(0)), lambda _: S.pass_rate(F.lit(1), F.lit(3))) == (None, 0.3333)
     assert one(spark, "", lambda x: S.jaccard(S.letter_words(x), S.letter_words(x), 1.0), lambda x: S.jaccard(S.blank_words(x), S.blank_words(x)))== (1.0, 0.0)
@@ -245,6 +246,7 @@ def test_readers(spark, tmp_path):
         (t / n).write_text("a: 1")
     files = readers.read_task_files(spark, str(tmp_path / "tasks"))
     assert rows(files.select("task_dir", "path")) == [("k", "m.py"), ("k", "task.yaml"), ("k", "tests/test_a.py")]
+    assert readers.cohort(files).count() == 3 and readers.cohort(files.where("path != 'task.yaml'")).count() == 0
     assert rows(readers.source_files(files, ["task.yaml"]).select("path")) == [("m.py",)]
 
 
@@ -300,3 +302,22 @@ def test_streams(spark, tmp_path):
     assert sinks.read_latest(spark, str(tmp_path / "st")).count() == 2
     c = live.RunningClass()
     assert [c.decide(*x) for x in ((1, 2), (4, 1), (0, 0), (0, 2))] == ["learnable", "too_easy", "too_hard", None]
+
+
+def test_running_class_stream(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    rows_ = [("a", i, c == "T") for i, c in enumerate("TFF")] + [("b", i, True) for i in range(5)] + [("c", 0, True)]
+    spark.createDataFrame(rows_, "task string, seq int, resolved boolean").coalesce(1).write.json(str(src))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    s = live.stream_json(spark, str(src), "task string, seq int, resolved boolean")
+    live.append_to(live.running_class(s), out, str(tmp_path / "ck")).awaitTermination()
+    assert rows(spark.read.parquet(out)) == [("a", 3, 1, "learnable"), ("b", 4, 4, "too_easy")]
+
+
+def test_windowed_stream(spark, tmp_path):
+    src = tmp_path / "in"
+    spark.createDataFrame([("2025-01-01 00:10:00", "x"), ("2025-01-01 00:50:00", "x"), ("2025-01-01 01:10:00", "y")], "at string, k string").selectExpr("cast(at as timestamp) as at", "k").write.json(str(src))
+    s = live.stream_json(spark, str(src), "at timestamp, k string")
+    q = live.windowed_counts(s, "at", "k").writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted((r.k, r.n) for r in spark.table("counts").collect()) == [("x", 2), ("y", 1)]
