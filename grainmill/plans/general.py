@@ -158,3 +158,23 @@ def _log_sql() -> str:
 
 
 ORACLES["p1_found"] = _log_sql()
+
+
+def _times_sql() -> str:
+    """p3_found in SQL: one format per shape, the stated conventions, the earlier of two occurrences."""
+    parts = [("trials", "trial_key", "agent_started_at"), ("trials", "trial_key", "agent_ended_at"), ("task_status", "status_id", "updated_at")]
+    rows = " union all ".join(f"select '{t}' as table_name, {k} as row_id, '{c}' as field_name, {c} as raw, host_tz from {t}" for t, k, c in parts)
+    hours = "case zone when 'UTC' then 0 when 'GMT' then 0 when 'Z' then 0 when 'z' then 0 when 'EST' then -5 when 'EDT' then -4 when 'PST' then -8 when 'PDT' then -7 when 'CET' then 1 when 'CEST' then 2 when 'AEST' then 10 when 'AEDT' then 11 when 'JST' then 9 end"
+    return f"""with v as ({rows}), s as (select *, trim(raw, ' ' || chr(9) || chr(10) || chr(13)) as x from v where raw is not null and not regexp_full_match(raw, '\\d{{4}}-\\d\\d-\\d\\dT\\d\\d:\\d\\d:\\d\\d\\.\\d{{6}}\\+00:00')),
+ p as (select *, case when regexp_full_match(x,'\\d{{10}}') then try_cast(x as bigint)*1000000 when regexp_full_match(x,'\\d{{13}}') then try_cast(x as bigint)*1000 when regexp_full_match(x,'\\d{{16}}') then try_cast(x as bigint) when regexp_full_match(x,'\\d{{10}}\\.\\d{{3}}') then try_cast(replace(x,'.','') as bigint)*1000 end as ep,
+  case when regexp_matches(x,'^\\d{{4}}-') then try_strptime(replace(upper(substr(x,1,16)),'T',' ')||':'||coalesce(nullif(regexp_extract(x,'^.{{16}}:(\\d\\d)',1),''),'00'),'%Y-%m-%d %H:%M:%S') when regexp_matches(x,'^\\d{{8}}[-T]') then try_strptime(substr(x,1,8)||substr(x,10,6),'%Y%m%d%H%M%S')
+   when contains(x,'/') then try_strptime(x,'%m/%d/%Y %I:%M:%S %p') when regexp_matches(x,'^\\d\\d\\.') then try_strptime(x,'%d.%m.%Y %H:%M:%S') when regexp_matches(x,'^[A-Za-z]{{3}} [A-Za-z]{{3}} ') then try_strptime(x,'%a %b %d %H:%M:%S %Y')
+   else try_strptime(regexp_extract(x,'(\\d{{1,2}} [A-Za-z]{{3}} \\d{{4}} \\d\\d:\\d\\d:\\d\\d)',1),'%d %b %Y %H:%M:%S') end as lt,
+  case when regexp_matches(x,'^\\d{{4}}-.*:\\d\\d[.,]\\d') then rpad(substr(regexp_extract(x,':\\d\\d[.,](\\d+)',1),1,6),6,'0')::bigint else 0 end as us,
+  regexp_extract(x,'([Zz]|[+-]\\d\\d(:?\\d\\d)?|[A-Z]{{3,4}}|\\[[^\\]]+\\])$',1) as zone from s),
+ o as (select *, case when starts_with(zone,'[') then substr(zone,2,length(zone)-2) when zone='' then coalesce(host_tz,'UTC') end as region, case when regexp_matches(zone,'^[+-]') then (case when zone[1]='-' then -1 else 1 end)*(substr(zone,2,2)::int*60+coalesce(nullif(regexp_extract(zone,'^...:?(\\d\\d)$',1),''),'0')::int) else ({hours})*60 end as off from p),
+ e as (select *, epoch_us(timezone(region, lt)) as late from o), f as (select *, case when timezone(region, timezone('UTC', make_timestamp(late-3600000000)))=lt then late-3600000000 else late end as early from e)
+ select distinct table_name, row_id, field_name, coalesce(ep, case when region is not null then early else epoch_us(lt)-off::bigint*60000000 end + us) as epoch_us from f where ep is not null or lt is not null"""
+
+
+ORACLES["p3_found"] = _times_sql()
