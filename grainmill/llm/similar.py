@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from grainmill.session import cut_lineage
 
-BITS = 512
+BITS = 128
 SALTS = 8
 
 
@@ -125,15 +125,16 @@ def word_classes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFra
 
 def similar_classes(classes: DataFrame, t: float, tile: int = 2048) -> DataFrame:
     """rep_a < rep_b, similarity: all pairs of classes with similarity >= t."""
-    words = classes.select("rep", F.explode("words").alias("w"))
+    # words travel as 64-bit hashes: two words that met in one would only share a block, never lose a pair
+    words = classes.select("rep", F.explode(F.transform("words", lambda x: F.xxhash64(x))).alias("w"))
     salt = F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")
     # every text's words meet their frequencies; frequent words are spread over salts
     freq = words.groupBy("w").agg(F.count("*").alias("n")).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     ranked = words.withColumn("s", salt).join(freq, ["w", "s"]).groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "w"))).alias("r"))
     size = F.size("r")
     length = (size - F.ceil(size * F.lit(t) - F.lit(1e-9)) + 1).cast("int")
-    prefix = F.transform(F.filter(F.slice("r", F.lit(1), length), lambda x: x["n"] > 1), lambda x: F.struct(x["n"].alias("n"), F.xxhash64(x["w"]).alias("token")))
-    rows = ranked.select("rep", size.alias("size"), F.transform("r", lambda x: F.xxhash64(x["w"])).alias("hashes"), prefix.alias("prefix")).where(F.size("prefix") > 0)
+    prefix = F.transform(F.filter(F.slice("r", F.lit(1), length), lambda x: x["n"] > 1), lambda x: F.struct(x["n"].alias("n"), x["w"].alias("token")))
+    rows = ranked.select("rep", size.alias("size"), F.transform("r", lambda x: x["w"]).alias("hashes"), prefix.alias("prefix")).where(F.size("prefix") > 0)
     # written once, as the cool and the hot blocks below both start from it
     rows = cut_lineage(rows.mapInArrow(_fold_rows, "rep long, size int, bits binary, prefix array<struct<n: long, token: long>>"))
     rows = rows.select("rep", "size", "bits", F.inline("prefix"))
