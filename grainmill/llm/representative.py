@@ -173,7 +173,7 @@ def fuse(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source
 
     Single-valued fields take the most probable value (ties: latest, then largest id), as text;
     multi-valued ones keep every value with p >= threshold. Rows with a null group column are in no
-    group; a field that no row states is null.
+    group; an empty table gives no row; a field that no row states is null.
     """
     # the groups' long keys travel once: all that follows is keyed by the group's smallest row id
     df = df.where(" and ".join(f"`{g}` is not null" for g in group)).select(*group, F.col(row_id).alias("_id"), F.col(recorded).alias("_t"), F.col(source).alias("_src"), *single, *[a.alias(m) for m, a in multi.items()])
