@@ -559,11 +559,16 @@ def failure_signs(spark, d):
     return table(spark, d, "validation_attempts").select("attempt_id", S.signs_failure(F.col("details.without_solution.stdout_tail")).alias("failed"))
 
 
+#: The tails an attempt keeps: the run and the stream.
+_TAILS = [(r, s) for r in ("without_solution", "with_solution") for s in ("stdout", "stderr")]
+
+
 @query()
 def test_logs(spark, d):
-    """Results of the test logs held in the tails of validation attempts."""
-    log = F.col("details.without_solution.stdout_tail")
-    return table(spark, d, "validation_attempts").select("attempt_id", F.explode(S.test_log_results(log)).alias("test", "status"))
+    """Results of the test logs held in the tails of validation attempts: both runs, both streams."""
+    tails = F.array(*[F.struct(F.lit(r).alias("run"), F.lit(s).alias("stream_name"), F.col(f"details.{r}.{s}_tail").alias("log")) for r, s in _TAILS])
+    rows = table(spark, d, "validation_attempts").select("attempt_id", F.inline(tails))
+    return rows.select("attempt_id", "run", "stream_name", F.explode(S.test_log_results(F.col("log"))).alias("test", "status"))
 
 
 @query()

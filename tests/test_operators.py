@@ -321,3 +321,20 @@ def test_windowed_stream(spark, tmp_path):
     q = live.windowed_counts(s, "at", "k").writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted((r.k, r.n) for r in spark.table("counts").collect()) == [("x", 2), ("y", 1)]
+
+
+TAIL_SCHEMA = "attempt_id long, details struct<without_solution: struct<stdout_tail: string, stderr_tail: string>, with_solution: struct<stdout_tail: string, stderr_tail: string>>"
+
+
+def test_test_logs_read_every_tail(spark, tmp_path):
+    from grainmill.plans import inventory
+
+    log = lambda line: f"noise\n=== short test summary info ===\n{line}\n1 failed"
+    data = [(1, ((log("FAILED t.py::a - x"), log("PASSED t.py::b")), (log("PASSED t.py::a"), log("ERROR t.py::c")))), (2, (None, (log("PASSED t.py::a"), None))), (3, None)]
+    spark.createDataFrame(data, TAIL_SCHEMA).write.parquet(str(tmp_path / "validation_attempts.parquet"))
+    got = {tuple(r) for r in inventory.test_logs(spark, str(tmp_path)).select("attempt_id", "run", "stream_name", "test", "status").collect()}
+    assert got == {
+        (1, "without_solution", "stdout", "a", "failed"), (1, "without_solution", "stderr", "b", "passed"),
+        (1, "with_solution", "stdout", "a", "passed"), (1, "with_solution", "stderr", "c", "failed"),
+        (2, "with_solution", "stdout", "a", "passed"),
+    }
