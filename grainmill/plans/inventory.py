@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -555,7 +557,7 @@ def trial_seconds(spark, d):
 
 @query(f"""select attempt_id, coalesce(regexp_matches(details.without_solution.stdout_tail, '(?i){'|'.join(f'(?:{p})' for p in fixed.FAILURE_SIGNS)}'), false) as failed from validation_attempts""")
 def failure_signs(spark, d):
-    """Attempts whose output tells of failed tests."""
+    """Attempts whose standard output without the solution tells of failed tests, as its SQL states; failure_signs_by_run reads all of the output."""
     return table(spark, d, "validation_attempts").select("attempt_id", S.signs_failure(F.col("details.without_solution.stdout_tail")).alias("failed"))
 
 
@@ -563,6 +565,20 @@ def failure_signs(spark, d):
 _TAILS = [(r, s) for r in ("without_solution", "with_solution") for s in ("stdout", "stderr")]
 
 
+def _failed_sql(run: str) -> str:
+    signs = "|".join(f"(?:{p})" for p in fixed.FAILURE_SIGNS)
+    return " or ".join(f"coalesce(regexp_matches(details.{r}.{s}_tail, '(?i){signs}'), false)" for r, s in _TAILS if r == run)
+
+
+@query(f"""select attempt_id, failed_without, failed_with, failed_without or failed_with as failed from
+ (select attempt_id, {_failed_sql("without_solution")} as failed_without, {_failed_sql("with_solution")} as failed_with from validation_attempts)""")
+def failure_signs_by_run(spark, d):
+    """Attempts whose output tells of failed tests: a flag for each run over both of its streams, and either run."""
+    flag = lambda run: reduce(lambda a, b: a | b, [S.signs_failure(F.col(f"details.{r}.{s}_tail")) for r, s in _TAILS if r == run])
+    got = table(spark, d, "validation_attempts").select("attempt_id", flag("without_solution").alias("failed_without"), flag("with_solution").alias("failed_with"))
+    return got.withColumn("failed", F.col("failed_without") | F.col("failed_with"))
+
+
 @query()
 def test_logs(spark, d):
     """Results of the test logs held in the tails of validation attempts: both runs, both streams."""

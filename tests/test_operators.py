@@ -338,3 +338,13 @@ def test_test_logs_read_every_tail(spark, tmp_path):
         (1, "with_solution", "stdout", "a", "passed"), (1, "with_solution", "stderr", "c", "failed"),
         (2, "with_solution", "stdout", "a", "passed"),
     }
+
+
+def test_failure_signs_read_every_tail(spark, tmp_path):
+    from grainmill.plans import inventory
+
+    bad, ok = "1 failed, 2 passed", "all good"
+    data = [(1, ((ok, bad), (ok, None))), (2, ((ok, ok), (bad, ok))), (3, ((None, None), (ok, bad))), (4, ((bad, ok), None)), (5, ((ok, None), (ok, ok))), (6, None)]
+    spark.createDataFrame(data, TAIL_SCHEMA).write.parquet(str(tmp_path / "validation_attempts.parquet"))
+    got = inventory.failure_signs_by_run(spark, str(tmp_path)).select("attempt_id", "failed_without", "failed_with", "failed").orderBy("attempt_id").collect()
+    assert [tuple(r) for r in got] == [(1, True, False, True), (2, False, True, True), (3, False, True, True), (4, True, False, True), (5, False, False, False), (6, False, False, False)]
