@@ -91,6 +91,12 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_results": _p4("results"),
     "p4_checks": _p4("checks"),
+    "p4_issues": _p4("issues"),
+    "p4_times": _p4("times"),
+    "p4_builds": _p4("builds"),
+    "p4_runs": _p4("runs"),
+    "p4_stages": _p4("stages"),
+    "p4_metrics": _p4("metrics"),
     "p4_tiers": _p4("tiers"),
     "p4_trials": _p4("trials"),
     "p6_found": p6_found,

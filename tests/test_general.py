@@ -179,3 +179,33 @@ def test_footers(spark, tmp_path):
 @pytest.mark.parametrize("name", ["p4_trials", "p6_table"])
 def test_schema_is_flat(spark, data, name):
     assert all(not isinstance(f.dataType, T.StructType) for f in general.QUERIES[name](spark, data).schema)
+
+
+def test_reports_keep_their_leaves(spark):
+    check = {
+        "attempt": 2, "passed": False, "issues": ["Tests time out", None, "no image"], "execution_times": {"build": 0.5, "test_without_solution": "2s"}, "image_size_mb": 9.5,
+        "details": json.dumps({"build": {"success": False, "error": "layer 5 broke"}, "without_solution": {"exit_code": 1, "timed_out": False, "stdout_tail": "1 failed"}, "with_solution": None}),
+    }
+    listed = {"execution_times": [{"phase": "test_with_solution", "seconds": "250ms"}]}
+    usage = {"prompt_tokens": 5, "completion_tokens": 2, "total_tokens": 7}
+    stages = {
+        "generate": {"status": "success", "model": "m", "usage": usage, "duration_sec": 1.5}, "retry_1": {"status": "failed", "usage": usage, "functional": listed},
+        "difficulty_adj_1": {"status": "success"}, "functional": {"passed": True}, "evaluation": {"classification": "too_hard", "tier_results": {"final": {"trials": [{"failure_mode": "timeout", "output_tokens": 4}]}}},
+    }
+    doc = {"metrics": {"total": 16}, "results": [{"topic": "a", "stages": stages, "validation_attempts": [check]}, {"classification": "learnable", "stages": {"evaluation": {"classification": "too_easy"}}}]}
+    t = unnest_reports(spark.createDataFrame([(1, json.dumps(doc)), (2, json.dumps({"report": doc})), (3, None), (4, "[]")], "id long, j string"), "id", "j")
+    one = {k: sorted((tuple(r)[1:] for r in v.where("id = 1").collect()), key=str) for k, v in t.items()}
+    assert one == {k: sorted((tuple(r)[1:] for r in v.where("id = 2").collect()), key=str) for k, v in t.items()}
+    assert all(v.where("id > 2").count() == 0 for v in t.values())
+    assert rows(t["results"].where("id = 1").select("result_no", "classification")) == [(0, "too_hard"), (1, "learnable")]
+    assert one["issues"] == [(0, 2, 0, "Tests time out"), (0, 2, 2, "no image")]
+    assert one["times"] == [(0, 1, "test_with_solution", "250ms", 250), (0, 2, "build", "0.5", 500), (0, 2, "test_without_solution", "2s", 2000)]
+    assert one["builds"] == [(0, 2, "false", 500, "layer 5 broke")]
+    assert one["runs"] == [(0, 2, "without_solution", 1, "false", "1 failed", None)]
+    assert one["stages"] == [
+        (0, "difficulty_adj_1", "success", None, None, None, None, None, {}), (0, "evaluation", None, None, "too_hard", None, None, None, {}),
+        (0, "generate", "success", "m", None, 5, 2, 7, {"duration_sec": "1.5"}), (0, "retry_1", "failed", None, None, 5, 2, 7, {}), (1, "evaluation", None, None, "too_easy", None, None, None, {}),
+    ]
+    assert one["metrics"] == [("total", "16")]
+    assert rows(t["checks"].where("id = 1 and attempt_no = 2").select("n_issues", "extra")) == [(3, {"image_size_mb": "9.5"})]
+    assert rows(t["trials"].where("id = 1").select("failure_mode", "output_tokens")) == [("timeout", 4)]
