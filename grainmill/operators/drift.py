@@ -122,7 +122,10 @@ def field_lifespans(catalogue: DataFrame, producer: Sequence[str], file: str) ->
 
 
 def consistent_table(df: DataFrame, keep: Sequence[str], record: str) -> DataFrame:
-    """Every valid record under one schema, the casts coming from the alias table. Invalid lines give no row."""
+    """Every valid record under one schema, the casts coming from the alias table. Invalid lines give no row.
+
+    ``extra`` keeps the other fields, and values that their field's cast refuses, as JSON text.
+    """
     v = F.try_parse_json(F.col(record))
     rows = df.select(*keep, v.alias("_v"))
     rows = rows.where(F.schema_of_variant("_v").startswith("OBJECT")).select(*keep, F.expr("cast(_v as map<string, variant>)").alias("_m"))
@@ -149,10 +152,13 @@ def consistent_table(df: DataFrame, keep: Sequence[str], record: str) -> DataFra
     as_map = F.when(F.ltrim(pr).startswith("["), F.map_from_entries(F.transform(F.filter(listed, lambda x: x["test"].isNotNull()), lambda x: F.struct(x["test"], x["status"])))).otherwise(
         F.from_json(pr, "map<string,string>")
     )
-    started = text("agent_started_at")
-    instant = F.when(started.rlike(r"^[0-9.]+(E[0-9]+)?$"), F.timestamp_micros((started.try_cast("double") * 1e6).cast("long"))).otherwise(F.try_to_timestamp(started))
-    return rows.select(
-        *keep, *[text(c).alias(c) for c in ("id", "trial_name", "task_id")], flag("is_resolved").alias("is_resolved"), text("failure_mode").alias("failure_mode"), as_map.alias("parser_results"),
-        text("recording_path").alias("recording_path"), count("total_input_tokens").alias("total_input_tokens"), count("total_output_tokens").alias("total_output_tokens"), instant.alias("agent_started_at"),
-        F.map_from_entries(F.transform(F.filter("_n", lambda e: ~e["k"].isin(*TRIAL_FIELDS)), lambda e: F.struct(e["k"], e["j"]))).alias("extra"),
-    )
+
+    def instant(field: str) -> Column:
+        t = text(field)
+        return F.when(t.rlike(r"^[0-9.]+(E[0-9]+)?$"), F.timestamp_micros((t.try_cast("double") * 1e6).cast("long"))).otherwise(F.try_to_timestamp(t))
+
+    casts = {"is_resolved": flag, "total_input_tokens": count, "total_output_tokens": count, "parser_results": lambda _: as_map} | {f: instant for f in TRIAL_FIELDS if f.endswith("_at")}
+    rows = rows.select(*keep, "_n", *[casts.get(f, text)(f).alias(f) for f in TRIAL_FIELDS])
+    others = F.filter("_n", lambda e: ~e["k"].isin(*TRIAL_FIELDS))
+    uncast = F.array_compact(F.array(*[F.when(F.col(f).isNull() & raw(f).isNotNull(), F.struct(F.lit(f).alias("k"), raw(f).alias("j"))) for f in TRIAL_FIELDS]))
+    return rows.select(*keep, *TRIAL_FIELDS, F.map_from_entries(F.concat(others, uncast)).alias("extra"))

@@ -209,3 +209,15 @@ def test_reports_keep_their_leaves(spark):
     assert one["metrics"] == [("total", "16")]
     assert rows(t["checks"].where("id = 1 and attempt_no = 2").select("n_issues", "extra")) == [(3, {"image_size_mb": "9.5"})]
     assert rows(t["trials"].where("id = 1").select("failure_mode", "output_tokens")) == [("timeout", 4)]
+
+
+def test_consistent_table_keeps_every_field(spark):
+    record = {
+        "instruction": "do", "trialStartedAt": "2024-03-01T10:00:00Z", "trial_ended_at": 1709287260, "agent_start": "2024-03-01T10:01:00Z", "agent_end": "2024-03-01T10:02:00Z",
+        "test_started_at": "2024-03-01 10:03:00", "test_ended_at": "soon", "is_resolved": "maybe", "x": 1,
+    }
+    got = consistent_table(spark.createDataFrame([(1, json.dumps(record))], "s long, j string"), ["s"], "j")
+    r = got.withColumns({c: F.date_format(c, "HH:mm:ss") for c in got.columns if c.endswith("_at")}).first()
+    assert r.instruction == "do" and r.is_resolved is None
+    assert (r.trial_started_at, r.trial_ended_at, r.agent_started_at, r.agent_ended_at, r.test_started_at, r.test_ended_at) == ("10:00:00", "10:01:00", "10:01:00", "10:02:00", "10:03:00", None)
+    assert r.extra == {"x": "1", "test_ended_at": '"soon"', "is_resolved": '"maybe"'}
