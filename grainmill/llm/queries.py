@@ -23,8 +23,12 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
-    """Group and number of links of every instruction and topic."""
-    parts = [similar_groups(table(spark, d, t), k, c, 0.7).select(F.lit(kind).alias("kind"), F.col("id").alias("row_id"), "group_id", "n_links") for kind, (t, k, c) in TEXTS.items()]
+    """Group and number of links of every instruction and topic; one with a null text is a group of its own."""
+    parts = []
+    for kind, (t, k, c) in TEXTS.items():
+        df = table(spark, d, t)
+        null = df.where(F.col(c).isNull()).select(F.col(k).cast("long").alias("id"), F.col(k).cast("long").alias("group_id"), F.lit(0).cast("long").alias("n_links"))
+        parts.append(similar_groups(df, k, c, 0.7).unionByName(null).select(F.lit(kind).alias("kind"), F.col("id").alias("row_id"), "group_id", "n_links"))
     return parts[0].unionByName(parts[1])
 
 

@@ -268,3 +268,11 @@ def test_sql(spark, data, name):
     names = [x[0] for x in cur.description]
     assert sorted(names) == cols
     assert key(tuple(r[names.index(c)] for c in cols) for r in cur.fetchall()) == key(tuple(r) for r in df.select(*cols).collect())
+
+
+def test_p2_groups_hold_null_texts(spark, tmp_path):
+    texts = [(1, "fix the flask api"), (2, "fix the flask api"), (3, None), (4, None), (5, "12 34")]
+    spark.createDataFrame(texts, "task_key long, instruction string").write.parquet(str(tmp_path / "tasks.parquet"))
+    spark.createDataFrame(texts[:3], "topic_id long, topic string").write.parquet(str(tmp_path / "topic_entries.parquet"))
+    got = sorted(tuple(r) for r in queries.p2_groups(spark, str(tmp_path)).select("kind", "row_id", "group_id", "n_links").collect())
+    assert got == [("task", 1, 1, 1), ("task", 2, 1, 1), ("task", 3, 3, 0), ("task", 4, 4, 0), ("task", 5, 5, 0), ("topic", 1, 1, 1), ("topic", 2, 1, 1), ("topic", 3, 3, 0)]
