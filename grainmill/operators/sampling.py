@@ -68,6 +68,14 @@ def budgeted(df: DataFrame, budget: int, group: str, score: str, size: str, key:
         at = rows[-1].o
 
 
+def with_negative(df: DataFrame, chosen: DataFrame, negatives: DataFrame, budget: int, size: str, key: str, default: int = 2000) -> DataFrame:
+    """key, negative: the chosen rows of ``df`` and the first of ``negatives`` by key, if it fits the budget they leave; a null size counts as ``default``. No later negative is tried."""
+    used = df.join(chosen, key, "left_semi").agg(F.coalesce(F.sum(size), F.lit(0)).alias("_used"))
+    first = negatives.select(key, F.coalesce(F.col(size), F.lit(default)).alias("_z")).orderBy(key).limit(1)
+    fits = first.crossJoin(F.broadcast(used)).where(F.col("_used") + F.col("_z") <= budget)  # one row each
+    return chosen.select(key, F.lit(False).alias("negative")).unionByName(fits.select(key, F.lit(True).alias("negative")))
+
+
 def schedule(df: DataFrame, key: str, explicit: Column, agent: Column, test: Column, default: float = 210.0) -> DataFrame:
     """Longest first by estimated duration: the explicit one, else half the sum of both limits, else the default."""
     est = F.coalesce(explicit, (agent + test) / 2, F.lit(default))

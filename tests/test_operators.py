@@ -348,3 +348,13 @@ def test_failure_signs_read_every_tail(spark, tmp_path):
     spark.createDataFrame(data, TAIL_SCHEMA).write.parquet(str(tmp_path / "validation_attempts.parquet"))
     got = inventory.failure_signs_by_run(spark, str(tmp_path)).select("attempt_id", "failed_without", "failed_with", "failed").orderBy("attempt_id").collect()
     assert [tuple(r) for r in got] == [(1, True, False, True), (2, False, True, True), (3, False, True, True), (4, True, False, True), (5, False, False, False), (6, False, False, False)]
+
+
+def test_negative_example_fits_the_rest(spark):
+    df = spark.createDataFrame([(1, "a", 3.0, 60), (2, "b", 2.0, 30)], "k long, g string, s double, z long")
+    chosen = sampling.budgeted(df, 100, "g", "s", "z", "k")
+    bad = spark.createDataFrame([(9, 5), (7, 10), (8, 1)], "k long, z long")
+    got = lambda budget, negatives: rows(sampling.with_negative(df, chosen, negatives, budget, "z", "k"))
+    assert got(100, bad) == [(1, False), (2, False), (7, True)]
+    assert got(99, bad) == got(100, bad.limit(0)) == got(2089, spark.createDataFrame([(7, None)], "k long, z long")) == [(1, False), (2, False)]
+    assert got(2090, spark.createDataFrame([(7, None)], "k long, z long"))[-1] == (7, True)
