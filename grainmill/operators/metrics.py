@@ -74,6 +74,17 @@ def with_rates(df: DataFrame) -> DataFrame:
     })
 
 
+def header_counts(df: DataFrame, stage: Column, cost: Column, by: Sequence[str] = ()) -> DataFrame:
+    """Total, done (completed or failed), running, failed and the classes of tasks, and the cost per learnable one (0 without any)."""
+    c, completed, failed = F.col("classification"), F.count_if(stage == "completed"), F.count_if(stage == "failed")
+    learnable = F.count_if(c == "learnable")
+    return df.groupBy(*by).agg(
+        F.count("*").alias("total"), (completed + failed).alias("done"), F.count_if(stage.isin("generating", "structural", "functional", "evaluating")).alias("running"), failed.alias("failed"),
+        learnable.alias("learnable"), F.count_if(c == "too_easy").alias("too_easy"), F.count_if(c == "too_hard").alias("too_hard"),
+        F.coalesce(F.try_divide(F.sum(cost), learnable), F.lit(0.0)).alias("cost_per_learnable"),
+    )
+
+
 def funnel(df: DataFrame, by: Sequence[str] = (), overall: bool = False) -> DataFrame:
     """Funnel counts and rates, per group and, with ``overall``, for all rows together (null group) in the same pass."""
     got = df.rollup(*by) if overall and by else df.groupBy(*by)

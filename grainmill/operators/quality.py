@@ -61,13 +61,24 @@ def class_patterns(df: DataFrame, label: str, metrics: Sequence[str], kinds: str
 
 
 def findings(patterns: DataFrame, label: str, base: str, other: str, rules: Sequence[tuple[str, str, float]]) -> DataFrame:
-    """finding: metrics of class ``other`` beyond those of ``base`` by a rule (metric, 'plus' or 'times', amount)."""
+    """finding: metrics of class ``other`` beyond those of ``base`` by a rule (metric, 'plus', 'times' or 'minus', amount); 'minus' finds metrics below."""
     pick = lambda c, m: F.max(F.when(F.col(label) == c, F.col(m)))
     wide = patterns.agg(*[pick(c, m).alias(f"{s}_{m}") for s, c in (("b", base), ("o", other)) for m, _, _ in rules])
-    tests = [F.when(F.col(f"o_{m}") > (F.col(f"b_{m}") + x if how == "plus" else F.col(f"b_{m}") * x), F.lit(m)) for m, how, x in rules]
+    o, b = (lambda m: F.col(f"o_{m}")), (lambda m: F.col(f"b_{m}"))
+    beyond = {"plus": lambda m, x: o(m) > b(m) + x, "times": lambda m, x: o(m) > b(m) * x, "minus": lambda m, x: o(m) < b(m) - x}
+    tests = [F.when(beyond[how](m, x), F.lit(m)) for m, how, x in rules]
     return wide.select(F.explode(F.array_compact(F.array(*tests))).alias("finding"))
 
 
+def share_findings(patterns: DataFrame, dist: DataFrame, label: str, base: str, other: str, margin: float = 0.15) -> DataFrame:
+    """kind, base_share, other_share, more_in: kinds whose shares of two classes, both present in ``patterns``, differ by more than ``margin``; a kind that a class lacks has share 0."""
+    share = lambda c: F.coalesce(F.max(F.when(F.col(label) == c, F.col("share"))), F.lit(0.0))
+    both = patterns.where(F.col(label).isin(base, other)).agg(F.countDistinct(label).alias("_n")).where("_n = 2")
+    got = dist.where(F.col(label).isin(base, other)).groupBy("kind").agg(share(base).alias("base_share"), share(other).alias("other_share"))
+    more = F.when(F.col("other_share") > F.col("base_share") + margin, other).when(F.col("base_share") > F.col("other_share") + margin, base)
+    return got.withColumn("more_in", more).where("more_in is not null").crossJoin(F.broadcast(both)).drop("_n")  # one row at most
+
+
 def position_gaps(df: DataFrame, key: str, positions: str, total: Column) -> DataFrame:
     """largest and mean gap between sorted positions and their span over ``total``; zeros below two positions."""
     p = F.array_sort(positions)

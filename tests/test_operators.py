@@ -358,3 +358,20 @@ def test_negative_example_fits_the_rest(spark):
     assert got(100, bad) == [(1, False), (2, False), (7, True)]
     assert got(99, bad) == got(100, bad.limit(0)) == got(2089, spark.createDataFrame([(7, None)], "k long, z long")) == [(1, False), (2, False)]
     assert got(2090, spark.createDataFrame([(7, None)], "k long, z long"))[-1] == (7, True)
+
+
+def test_findings_in_both_directions(spark):
+    data = [("learnable", 5.0, ["a", "a", "b"]), ("too_easy", 3.0, ["a"]), ("too_hard", 5.5, ["b", "b", "c"]), ("empty", 4.5, [])]
+    avgs, dist = quality.class_patterns(spark.createDataFrame(data, "c string, m double, kinds array<string>"), "c", ["m"], "kinds")
+    below = lambda other: rows(quality.findings(avgs, "c", "learnable", other, [("avg_m", "minus", 1.0)]))
+    assert below("too_easy") == [("avg_m",)] and below("empty") == [] == below("too_hard")
+    shares = lambda other: {r.kind: r.more_in for r in quality.share_findings(avgs, dist, "c", "learnable", other).collect()}
+    assert shares("too_hard") == {"a": "learnable", "b": "too_hard", "c": "too_hard"}
+    assert shares("empty") == {"a": "learnable", "b": "learnable"} and shares("absent") == {}
+
+
+def test_header_counts(spark):
+    data = [("completed", "learnable", 2.0), ("completed", "too_hard", 1.0), ("failed", None, None), ("functional", None, 1.0), ("pending", None, 0.0)]
+    df = spark.createDataFrame(data, "stage string, classification string, cost double")
+    assert rows(metrics.header_counts(df, F.col("stage"), F.col("cost"))) == [(5, 3, 1, 1, 1, 0, 1, 4.0)]
+    assert rows(metrics.header_counts(df.where("stage = 'failed'"), F.col("stage"), F.col("cost"))) == [(1, 1, 0, 1, 0, 0, 0, 0.0)]
