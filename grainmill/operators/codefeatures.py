@@ -247,3 +247,40 @@ def solution_changes(files: DataFrame, key: str, path: str, content: str) -> Dat
     matched = basename_match(written, [key], "file", files, path)
     both = matched.join(files.select(key, path, F.col(content).alias("_own")), [key, path])
     return diff_rows(both, [key, "file"], "_own", "fixed")
+
+
+def file_change(before: str | None, after: str | None) -> list[tuple]:
+    """[(lines before, regions, added, removed lines, changed)] of one file; ends of lines count."""
+    a, b = (before or "").splitlines(keepends=True), (after or "").splitlines(keepends=True)
+    diff = list(difflib.unified_diff(a, b, n=0))
+    count = lambda sign, header="\0": sum(x.startswith(sign) and not x.startswith(header) for x in diff)
+    return [(len(a), count("@@"), count("+", "+++"), count("-", "---"), (before or "") != (after or ""))]
+
+
+def task_diffs(files: DataFrame, key: str, path: str, content: str) -> DataFrame:
+    """key, files_changed, n_hunks, lines_changed, source_loc, file_details, warnings: what each task's solution script changes; a row for every task.
+
+    Without a script, or one that writes no file, the counts are null and a warning says so.
+    """
+    from grainmill.operators.merge import basename_match
+
+    scripts = files.where(F.col(path) == "solution.sh")
+    found = exploding(scripts, [key], [content], script_files, "file string, fixed string")
+    written = found.where(~F.col("file").isin(*fixed.INFRA_FILES) & ~F.col("file").startswith("test_"))
+    matched = basename_match(written, [key], "file", files, path)
+    both = matched.join(files.select(key, path, F.col(content).alias("_own")), [key, path])
+    each = exploding(both, [key, "file"], ["_own", "fixed"], file_change, "loc int, n_hunks int, n_added int, n_removed int, changed boolean")
+    detail = F.struct("file", "n_hunks", "n_added", "n_removed")
+    sums = each.groupBy(key).agg(
+        F.count_if("changed").alias("files_changed"), F.sum("n_hunks").alias("n_hunks"), F.sum(F.col("n_added") + F.col("n_removed")).alias("lines_changed"),
+        F.sum("loc").alias("source_loc"), F.array_sort(F.collect_list(F.when(F.col("changed"), detail))).alias("file_details"),
+    )
+    lost = written.join(each.select(key, "file"), [key, "file"], "left_anti").groupBy(key).agg(F.array_sort(F.collect_set(F.concat(F.lit("not found: "), "file"))).alias("_lost"))
+    got = files.groupBy(key).agg(F.coalesce(F.max(F.col(path) == "solution.sh"), F.lit(False)).alias("_script"))
+    got = got.join(found.select(key, F.lit(True).alias("_written")).distinct(), key, "left").join(sums, key, "left").join(lost, key, "left")
+    known = lambda c: F.when(F.col("_written"), F.coalesce(c, F.lit(0)))
+    got = got.withColumns({c: known(c) for c in ("files_changed", "n_hunks", "lines_changed", "source_loc")} | {"file_details": F.when(F.col("_written"), F.coalesce("file_details", F.array().cast(sums.schema["file_details"].dataType)))})
+    f, n, c, loc = (F.col(x) for x in ("files_changed", "n_hunks", "lines_changed", "source_loc"))
+    sizes = F.array(F.when(~F.col("_script"), "no solution script"), F.when(F.col("_script") & F.col("_written").isNull(), "no file in the solution script"), F.when(f == 0, "no file changed"), F.when(f > 2, "many files"),
+                    F.when(n < 2, "single region"), F.when(n > 8, "many regions"), F.when(c > 80, "large change"), F.when(loc > 200, "large source"))
+    return got.withColumn("warnings", F.concat(F.coalesce("_lost", F.array().cast("array<string>")), F.array_compact(sizes))).drop("_script", "_written", "_lost")

@@ -375,3 +375,19 @@ def test_header_counts(spark):
     df = spark.createDataFrame(data, "stage string, classification string, cost double")
     assert rows(metrics.header_counts(df, F.col("stage"), F.col("cost"))) == [(5, 3, 1, 1, 1, 0, 1, 4.0)]
     assert rows(metrics.header_counts(df.where("stage = 'failed'"), F.col("stage"), F.col("cost"))) == [(1, 1, 0, 1, 0, 0, 0, 0.0)]
+
+
+def test_task_diffs_hold_every_task(spark):
+    write = lambda name, text: f"cat > {name} << 'EOF'\n{text}EOF\n"
+    long = "x = 0\n" * 201
+    data = [
+        ("a", "m.py", "x = 1\ny = 2\nz = 3\n"), ("a", "solution.sh", write("m.py", "x = 2\ny = 2\nz = 4\n") + write("lost.py", "a\n") + write("test_m.py", "b\n")),
+        ("b", "m.py", long), ("b", "solution.sh", write("m.py", long)),
+        ("c", "m.py", "x\n"), ("d", "m.py", "x\n"), ("d", "solution.sh", "true\n"),
+        *[("e", f"{n}.py", "x = 1\n") for n in "pqr"], ("e", "solution.sh", "".join(write(f"{n}.py", "x = 2\n") for n in "pqr")),
+    ]
+    got = {r.k: tuple(r)[1:] for r in codefeatures.task_diffs(spark.createDataFrame(data, "k string, p string, c string"), "k", "p", "c").collect()}
+    assert got["a"] == (1, 2, 4, 3, [("m.py", 2, 2, 2)], ["not found: lost.py"])
+    assert got["b"] == (0, 0, 0, 201, [], ["no file changed", "single region", "large source"])
+    assert got["c"] == (None,) * 5 + (["no solution script"],) and got["d"] == (None,) * 5 + (["no file in the solution script"],)
+    assert got["e"] == (3, 3, 6, 3, [("p.py", 1, 1, 1), ("q.py", 1, 1, 1), ("r.py", 1, 1, 1)], ["many files"]) and len(got) == 5
