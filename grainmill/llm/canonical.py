@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grainmill.session import cut_lineage
+
 #: Letters of other scripts with the shape of a Latin letter.
 LOOK_ALIKES = {
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ѵ": "v", "ӏ": "l",
@@ -91,18 +93,46 @@ def canonical_text(df: DataFrame, key: str, text: str, out: str = "canonical") -
     return got.select(F.col("_k").alias(key), F.col("_t").alias(text), F.col("_c").alias(out))
 
 
+#: Parts into which the copies of one stored text are spread when they meet their class again.
+SALTS = 64
+
+
+def _classes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(members: id, stored, salt), (classes: form, stored, rep, n, salts): texts by digest, equal stored texts as one class.
+
+    ``salts`` lists the parts that hold members of the class, so a class of one text meets one part
+    and a class that holds a third of all rows meets every part.
+    """
+    got = canonical_text(df.where(F.col(text).isNotNull()), key, text)
+    digest = lambda c: F.unhex(F.sha2(c, 256))
+    salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
+    rows = cut_lineage(got.select(F.col(key).alias("id"), digest(text).alias("stored"), digest("canonical").alias("form"), salt.alias("salt")))
+    classes = rows.groupBy("form", "stored").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.collect_set("salt").alias("salts"))
+    return rows.select("id", "stored", "salt"), classes
+
+
 def look_alike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     """id_a < id_b: rows whose stored texts differ but share a canonical form. Only digests are shuffled.
 
-    Null texts are in no pair, nor rows with equal stored texts; empty tables give no row.
+    Distinct stored texts of one form pair first; their copies are attached to each side afterwards,
+    so copies of one text never meet each other. Null texts are in no pair, nor rows with equal
+    stored texts; empty tables give no row.
     """
-    got = canonical_text(df.where(F.col(text).isNotNull()), key, text)
-    rows = got.select(F.col(key).alias("id"), F.sha2(text, 256).alias("stored"), F.sha2("canonical", 256).alias("form"))
-    from grainmill.session import cut_lineage
-
-    rows = cut_lineage(rows)
-    shared = rows.groupBy("form").agg(F.min("stored").alias("lo"), F.max("stored").alias("hi")).where("lo != hi").select("form")
-    rows = rows.join(shared, "form", "left_semi")
-    a = rows.select(F.col("id").alias("id_a"), F.col("stored").alias("sa"), "form")
-    b = rows.select(F.col("id").alias("id_b"), F.col("stored").alias("sb"), "form")
-    return a.join(b, "form").where("id_a < id_b and sa != sb").select("id_a", "id_b")
+    members, classes = _classes(df, key, text)
+    several = classes.groupBy("form").agg(F.count("*").alias("_k")).where("_k > 1").select("form")
+    classes = cut_lineage(classes.join(several, "form", "left_semi"))
+    side = lambda s: classes.select("form", F.col("stored").alias(f"s{s}"), F.col("salts").alias(f"salts_{s}"))
+    pairs = side("a").join(side("b"), "form").where("sa < sb").drop("form")
+    for s in "ab":
+        own = members.select(F.col("id").alias(f"id_{s}"), F.col("stored").alias(f"s{s}"), F.col("salt").alias(f"salt_{s}"))
+        pairs = pairs.withColumn(f"salt_{s}", F.explode(f"salts_{s}")).join(own, [f"s{s}", f"salt_{s}"]).drop(f"s{s}", f"salt_{s}", f"salts_{s}")
+    return pairs.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
+
+
+def look_alike_groups(df: DataFrame, key: str, text: str) -> DataFrame:
+    """id, group_id, n_variants, n_links: one row per row with a text. The group's id is its smallest row, n_variants its
+    distinct stored texts, n_links the rows stored differently. Null texts give no row."""
+    members, classes = _classes(df, key, text)
+    forms = classes.groupBy("form").agg(F.min("rep").alias("group_id"), F.count("*").alias("n_variants"), F.sum("n").alias("_n"))
+    each = classes.join(forms, "form").select("stored", F.explode("salts").alias("salt"), "group_id", "n_variants", (F.col("_n") - F.col("n")).alias("n_links"))
+    return members.join(each, ["stored", "salt"]).select("id", "group_id", "n_variants", "n_links")

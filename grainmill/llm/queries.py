@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.llm.canonical import canonical_sql, canonical_text, look_alike_pairs
+from grainmill.llm.canonical import canonical_sql, canonical_text, look_alike_groups, look_alike_pairs
 from grainmill.llm.mixing import mix
 from grainmill.llm.packing import pack_items
 from grainmill.llm.representative import VALUES, choose_rows, fuse, topic_key
@@ -37,6 +37,11 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return look_alike_pairs(table(spark, d, "documents"), "doc_id", "text").select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b")).distinct()
 
 
+def p9_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The group of every document with a text: its smallest document, its stored forms and the documents stored differently."""
+    return look_alike_groups(table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
 def p9_forms(spark: SparkSession, d: str) -> DataFrame:
     """The canonical form of every document and whether it changed."""
     got = canonical_text(table(spark, d, "documents"), "doc_id", "text")
@@ -99,6 +104,7 @@ QUERIES = {
     "p8_mixed": p8_mixed,
     "p8_shares": p8_shares,
     "p9_found": p9_found,
+    "p9_groups": p9_groups,
     "p9_forms": p9_forms,
 }
 
@@ -119,5 +125,8 @@ ORACLES = {
  g as (select batch, k, first(result_id order by n desc, recorded_at desc nulls last, result_id desc) as survivor_id, coalesce(first(result_id order by (origin='report') desc, recorded_at desc nulls last, result_id desc) filter (trim(classification)<>''),-1) as class_row_id from r group by batch, k having count(*)>1)
  select batch, survivor_id, class_row_id from g""",
     "p9_found": f"with f as (select doc_id, text, {_FORM} as form from documents where text is not null) select a.doc_id as doc_id_a, b.doc_id as doc_id_b from f a join f b on a.form=b.form and a.doc_id<b.doc_id and a.text<>b.text",
+    "p9_groups": f"""with f as (select doc_id, text, {_FORM} as form from documents where text is not null),
+ g as (select form, min(doc_id) as group_id, count(distinct text) as n_variants, count(*) as n from f group by form), s as (select text, count(*) as m from f group by text)
+ select f.doc_id, g.group_id, g.n_variants, g.n - s.m as n_links from f join g on f.form=g.form join s on f.text=s.text""",
     "p9_forms": f"select doc_id, case when text is null then null else {_FORM} end as canonical, coalesce({_FORM}<>text, false) as changed from documents",
 }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from compare import TABLES, key
 from grainmill.llm import queries
-from grainmill.llm.canonical import canonical_text, look_alike_pairs, mappings
+from grainmill.llm.canonical import canonical_text, look_alike_groups, look_alike_pairs, mappings
 from grainmill.llm.mixing import fill, largest, mix
 from grainmill.llm.packing import differencing, pack, pack_items
 from grainmill.llm.representative import choose_rows, fuse, topic_key
@@ -232,7 +232,30 @@ def test_canonical_forms(spark):
     again = spark.createDataFrame([(k, v) for k, v in c.items()], "k long, x string")
     assert {r.k: r.canonical for r in canonical_text(again, "k", "x").collect()} == c  # stable
     got = look_alike_pairs(df, "k", "x").collect()
-    assert {(0, 1), (2, 3), (0, 2) if False else (0, 3)} <= {tuple(r) for r in got} and all(flat[r.id_a] != flat[r.id_b] for r in got)
+    alike = {(i, j) for i in range(len(flat)) for j in range(i + 1, len(flat)) if c[i] == c[j] and flat[i] != flat[j]}
+    assert {(0, 1), (0, 3), (1, 2), (2, 3)} <= alike and sorted(tuple(r) for r in got) == sorted(alike)
+
+
+def test_copies_of_one_text_do_not_meet(spark):
+    n = 30_000
+    df = spark.range(n).select(F.col("id").alias("k"), F.lit("").alias("x")).unionByName(spark.createDataFrame([(n, "\u200b"), (n + 1, None)], "k long, x string"))
+    pairs = look_alike_pairs(df, "k", "x")
+    assert {tuple(r) for r in pairs.collect()} == {(i, n) for i in range(n)}
+    # no operator of the plan puts out more rows than there are pairs and rows
+    todo, most = [pairs._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        p = todo.pop()
+        if "AdaptiveSparkPlan" in p.nodeName():
+            p = p.executedPlan()
+        if "QueryStage" in p.nodeName():
+            p = p.plan()
+        m = p.metrics().get("numOutputRows")
+        most = max(most, m.get().value() if m.isDefined() else 0)
+        todo += [p.children().apply(i) for i in range(p.children().size())]
+    assert most <= n + 2
+    g = {r.id: (r.group_id, r.n_variants, r.n_links) for r in look_alike_groups(df, "k", "x").collect()}
+    assert len(g) == n + 1 and g[0] == (0, 2, 1) and g[n] == (0, 2, n)
+    assert look_alike_groups(df.limit(0), "k", "x").count() == look_alike_pairs(df.limit(0), "k", "x").count() == 0
 
 
 def test_mapping_tables():
