@@ -4,14 +4,17 @@ Items go to groups at random (a hash of their id), each group worth a fixed numb
 a group is bounded whatever the data and groups are packed side by side. In a group every item
 starts as a partial partition of k windows holding it alone; the two partitions with the largest
 differences merge again and again, the largest windows of one onto the smallest of the other, which
-gives k near-equal windows. k starts at the least possible count; windows above the capacity
-are filled again together with the emptiest ones, and k rises while that leaves one above it. Only an item longer than the capacity is split: full pieces take a container each.
+gives k near-equal windows. k starts at the least possible count. A window above the capacity
+exchanges single items with windows that have room; where no exchange helps, it is filled again with
+the emptiest windows; k rises while that leaves one above the capacity. Only an item longer than the
+capacity is split: full pieces take a container each.
 """
 
 from __future__ import annotations
 
 import heapq
 from bisect import bisect_left, insort
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -75,6 +78,29 @@ def best_fit(x: list[int], capacity: int, k: int) -> list[int] | None:
     return at
 
 
+def exchange(x: np.ndarray, window: np.ndarray, k: int, capacity: int) -> np.ndarray:
+    """Relieves over-full windows item by item: an item changes places with a smaller one, or with the room itself, of a
+    window that can take the difference. The least sufficient difference is taken, else the greatest one; windows that no
+    exchange relieves stay as they are."""
+    load = np.bincount(window, weights=x, minlength=k).astype(np.int64)
+    size, at = np.concatenate([x, np.zeros(k, np.int64)]), np.concatenate([window, np.arange(k)])
+    over = np.flatnonzero(load > capacity)
+    for w in over[np.argsort(-load[over], kind="stable")].tolist():
+        while (excess := load[w] - capacity) > 0:
+            room = capacity - load[at]
+            mine, theirs = np.flatnonzero((at == w) & (size > 0)), np.flatnonzero(room > 0)
+            gain = size[mine][:, None] - size[theirs][None, :]
+            gain = np.where((gain > 0) & (gain <= room[theirs][None, :]), gain, 0)
+            if not gain.any():
+                break
+            enough = gain >= excess
+            p = int(np.where(enough, gain, np.iinfo(np.int64).max).argmin() if enough.any() else gain.argmax())
+            i, j = mine[p // len(theirs)], theirs[p % len(theirs)]
+            load[w], load[at[j]] = load[w] - gain.flat[p], load[at[j]] + gain.flat[p]
+            at[i], at[j] = at[j], w
+    return at[: len(x)]
+
+
 def repair(x: np.ndarray, window: np.ndarray, k: int, capacity: int) -> np.ndarray | None:
     """Brings windows that the differencing left above the capacity under it, or None.
 
@@ -101,18 +127,20 @@ def repair(x: np.ndarray, window: np.ndarray, k: int, capacity: int) -> np.ndarr
         m *= 2
 
 
-def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
-    """The container of each item, none longer than the capacity; containers count from 0."""
-    out = np.zeros(len(sizes), np.int64)
+def pack(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The container of each item (none longer than the capacity), counted from 0, and whether it left its differencing window."""
+    out, moved = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), bool)
     some = np.flatnonzero(sizes > 0)
     if not len(some):
-        return out
+        return out, moved
     x = sizes[some]
     k, step, best = max(-(-int(x.sum()) // capacity), int((2 * x > capacity).sum()), 1), 1, None
     failed = k - 1
 
-    def attempt(k: int) -> np.ndarray | None:
-        return repair(x, differencing(x, k), k, capacity)
+    def attempt(k: int) -> tuple[np.ndarray, np.ndarray] | None:
+        window = differencing(x, k)
+        got = repair(x, exchange(x, window, k, capacity), k, capacity)
+        return None if got is None else (got, got != window)
 
     while (best := attempt(k)) is None:  # rise until the windows fit, in growing steps
         failed, k, step = k, min(k + step, len(x)), step * 2
@@ -123,45 +151,52 @@ def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
             failed = mid
         else:
             k, best = mid, got
-    out[some] = best
-    return out
+    out[some], moved[some] = best
+    return out, moved
 
 
-def pack_items(items: DataFrame, key: str, size: str, limits: DataFrame, limit_id: str, capacity: str, max_limits: int = 1000) -> DataFrame:
-    """limit_id, container_id, key, piece_no, start_token, n_tokens: the assignment for every capacity.
+def pack_items(items: DataFrame, key: str, size: str, limits: DataFrame, limit_id: str, capacity: str, at_once: int = 500) -> DataFrame:
+    """limit_id, container_id, key, piece_no, start_token, n_tokens, moved: the assignment for every capacity.
 
     Items of size 0 take no space and join a container of their group. Null sizes give no row.
-    Limits with a null or non-positive capacity are left out; the limits are a small table whose
-    row count is checked. Repeated keys are packed as separate items.
+    Limits with a null or non-positive capacity are left out; every limit gives a row per item, so
+    limits are taken in blocks of ``at_once``, as many as there are. Repeated keys are packed as
+    separate items. ``moved`` tells the items that are not in the window the differencing gave them.
     """
-    rows = limits.where(F.col(capacity) > 0).select(limit_id, capacity).limit(max_limits + 1).collect()
-    if len(rows) > max_limits:
-        raise ValueError(f"more than {max_limits} limits")
     kinds = dict(limits.dtypes)
     it = items.where(F.col(size).isNotNull()).select(F.col(key).alias("_key"), F.col(size).cast("long").alias("_size"))
-    if not rows:
-        return it.select(F.lit(None).cast(kinds[limit_id]).alias(limit_id), F.lit("").alias("container_id"), F.col("_key").alias(key), F.lit(0).alias("piece_no"), F.lit(0).cast("long").alias("start_token"), F.col("_size").alias("n_tokens")).where("false")
     total = it.agg(F.sum("_size").alias("t"), F.count("*").alias("n")).first()
     t, n = total.t or 0, total.n
-    spec = F.array(*[
-        F.struct(F.lit(r[0]).cast(kinds[limit_id]).alias("limit"), F.lit(int(r[1])).cast("long").alias("cap"),
-                 F.lit(max(1, round(t / (GROUP_CONTAINERS * int(r[1]))), round(n / GROUP_ITEMS))).cast("long").alias("groups"))
-        for r in rows
-    ])
-    each = it.select("_key", "_size", F.inline(spec))
+    none = F.struct(F.lit(None).cast(kinds[limit_id]).alias("limit"), F.lit(None).cast("long").alias("cap"), F.lit(None).cast("long").alias("groups"))
+    blocks, block = [], []
+    for r in limits.where(F.col(capacity) > 0).select(limit_id, capacity).toLocalIterator():
+        groups = max(1, round(t / (GROUP_CONTAINERS * int(r[1]))), round(n / GROUP_ITEMS))
+        one = F.struct(F.lit(r[0]).cast(kinds[limit_id]).alias("limit"), F.lit(int(r[1])).cast("long").alias("cap"), F.lit(groups).cast("long").alias("groups"))
+        block.append(one)
+        if len(block) == at_once:
+            blocks, block = [*blocks, block], []
+    parts = [it.select("_key", "_size", F.inline(F.array(*b))) for b in ([*blocks, block] if block else blocks)]
+    each = reduce(DataFrame.unionByName, parts) if parts else it.select("_key", "_size", F.inline(F.array(none))).where("false")
     full = F.floor(F.greatest(F.col("_size") - 1, F.lit(0)) / F.col("cap"))  # whole pieces before the last
     each = each.withColumn("_full", F.when(F.col("_size") > F.col("cap"), full).otherwise(0).cast("int"))
     whole = each.where("_full > 0").withColumn("_no", F.explode(F.sequence(F.lit(0), F.col("_full") - 1)))
-    whole = whole.select(F.col("limit").alias(limit_id), F.concat(F.lit("full-"), F.col("_key").cast("string"), F.lit("-"), F.col("_no").cast("string")).alias("container_id"), F.col("_key").alias(key), F.col("_no").alias("piece_no"), (F.col("_no") * F.col("cap")).alias("start_token"), F.col("cap").alias("n_tokens"))
-    rest = each.select("limit", "cap", "_key", F.col("_full").alias("_no"), (F.col("_full") * F.col("cap")).alias("_start"), (F.col("_size") - F.col("_full") * F.col("cap")).alias("_left"),
-                       F.pmod(F.xxhash64("limit", "_key"), F.col("groups")).alias("grp"))
+    name = F.concat(F.lit("full-"), F.col("_key").cast("string"), F.lit("-"), F.col("_no").cast("string"))
+    whole = whole.select(
+        F.col("limit").alias(limit_id), name.alias("container_id"), F.col("_key").alias(key), F.col("_no").alias("piece_no"),
+        (F.col("_no") * F.col("cap")).alias("start_token"), F.col("cap").alias("n_tokens"), F.lit(False).alias("moved"),
+    )
+    rest = each.select(
+        "limit", "cap", "_key", F.col("_full").alias("_no"), (F.col("_full") * F.col("cap")).alias("_start"),
+        (F.col("_size") - F.col("_full") * F.col("cap")).alias("_left"), F.pmod(F.xxhash64("limit", "_key"), F.col("groups")).alias("grp"),
+    )
     key_kind = dict(items.dtypes)[key]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_key", "_no"], kind="stable")
-        at = pack(pdf["_left"].to_numpy(np.int64), int(pdf["cap"].iloc[0]))
+        at, moved = pack(pdf["_left"].to_numpy(np.int64), int(pdf["cap"].iloc[0]))
         names = [f"g{g}-{c}" for g, c in zip(pdf["grp"], at.tolist())]
-        return pd.DataFrame({limit_id: pdf["limit"], "container_id": names, key: pdf["_key"], "piece_no": pdf["_no"], "start_token": pdf["_start"], "n_tokens": pdf["_left"]})
+        out = {limit_id: pdf["limit"], "container_id": names, key: pdf["_key"], "piece_no": pdf["_no"], "start_token": pdf["_start"], "n_tokens": pdf["_left"]}
+        return pd.DataFrame(out | {"moved": moved})
 
-    packed = rest.groupBy("limit", "grp").applyInPandas(run, f"`{limit_id}` {kinds[limit_id]}, container_id string, `{key}` {key_kind}, piece_no int, start_token long, n_tokens long")
-    return whole.unionByName(packed)
+    schema = f"`{limit_id}` {kinds[limit_id]}, container_id string, `{key}` {key_kind}, piece_no int, start_token long, n_tokens long, moved boolean"
+    return whole.unionByName(rest.groupBy("limit", "grp").applyInPandas(run, schema))

@@ -78,10 +78,29 @@ def p7_packed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_fill(spark: SparkSession, d: str) -> DataFrame:
-    """Containers, tokens and unused share per capacity."""
-    packed = p7_packed(spark, d).groupBy("limit_id").agg(F.count_distinct("container_id").alias("containers"), F.sum("n_tokens").alias("tokens"))
-    limits = table(spark, d, "pack_limits")
-    return packed.join(F.broadcast(limits), "limit_id").select("limit_id", "containers", "tokens", (1 - F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("unused_share"))
+    """Containers, tokens, unused share and share of items moved from their differencing window, per capacity."""
+    per = p7_packed(spark, d).groupBy("limit_id", "container_id").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n"), F.count_if("moved").alias("m"))
+    packed = per.groupBy("limit_id").agg(F.count("*").alias("containers"), F.sum("t").alias("tokens"), (F.sum("m") / F.sum("n")).alias("moved_share"))
+    unused = 1 - F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))
+    return packed.join(table(spark, d, "pack_limits"), "limit_id").select("limit_id", "containers", "tokens", unused.alias("unused_share"), "moved_share")
+
+
+def p7_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the packing of every capacity: all documents, no container above it, pieces that tile their text, splits only above it."""
+    from grainmill.session import cut_lineage
+
+    sizes = cut_lineage(_sizes(spark, d))
+    packed = cut_lineage(pack_items(sizes, "doc_id", "n_tokens", table(spark, d, "pack_limits"), "limit_id", "capacity_tokens"))
+    limits = table(spark, d, "pack_limits").select("limit_id", "capacity_tokens")
+    loads = packed.groupBy("limit_id", "container_id").agg(F.sum("n_tokens").alias("t")).join(limits, "limit_id")
+    loads = loads.groupBy("limit_id").agg(F.count_if(F.col("t") > F.col("capacity_tokens")).alias("overfull"))
+    # a text's pieces are in order, the p-th begins after p whole containers, and their sizes add up to the text's
+    texts = packed.groupBy("limit_id", "doc_id").agg(F.count("*").alias("pieces"), F.max("piece_no").alias("last"), F.sum("n_tokens").alias("t"), F.max("start_token").alias("s"))
+    texts = texts.join(limits, "limit_id").join(sizes.select("doc_id", "n_tokens"), "doc_id")
+    cap = F.col("capacity_tokens")
+    torn = (F.col("t") != F.col("n_tokens")) | (F.col("pieces") != F.col("last") + 1) | (F.col("s") != F.col("last") * cap)
+    texts = texts.groupBy("limit_id").agg(F.count("*").alias("documents"), F.count_if(torn).alias("torn"), F.count_if((F.col("pieces") > 1) & (F.col("n_tokens") <= cap)).alias("needless"))
+    return texts.join(loads, "limit_id").select("limit_id", "documents", "overfull", "torn", "needless")
 
 
 def p8_mixed(spark: SparkSession, d: str) -> DataFrame:
@@ -101,6 +120,7 @@ QUERIES = {
     "p5_fused": p5_fused,
     "p7_packed": p7_packed,
     "p7_fill": p7_fill,
+    "p7_checks": p7_checks,
     "p8_mixed": p8_mixed,
     "p8_shares": p8_shares,
     "p9_found": p9_found,
@@ -124,6 +144,7 @@ ORACLES = {
     "p5_found": f"""with r as (select *, regexp_replace(lower(topic),'[^\\p{{L}}\\p{{N}}]','','g') as k, {_PRESENT} as n from pipeline_results where topic is not null and batch is not null),
  g as (select batch, k, first(result_id order by n desc, recorded_at desc nulls last, result_id desc) as survivor_id, coalesce(first(result_id order by (origin='report') desc, recorded_at desc nulls last, result_id desc) filter (trim(classification)<>''),-1) as class_row_id from r group by batch, k having count(*)>1)
  select batch, survivor_id, class_row_id from g""",
+    "p7_checks": "select limit_id, (select count(*) from documents where text is not null) as documents, 0 as overfull, 0 as torn, 0 as needless from pack_limits",
     "p9_found": f"with f as (select doc_id, text, {_FORM} as form from documents where text is not null) select a.doc_id as doc_id_a, b.doc_id as doc_id_b from f a join f b on a.form=b.form and a.doc_id<b.doc_id and a.text<>b.text",
     "p9_groups": f"""with f as (select doc_id, text, {_FORM} as form from documents where text is not null),
  g as (select form, min(doc_id) as group_id, count(distinct text) as n_variants, count(*) as n from f group by form), s as (select text, count(*) as m from f group by text)

@@ -141,7 +141,7 @@ def test_differencing_and_pack(sizes, k):
     if len(x):
         w = differencing(x, k)
         assert len(w) == len(x) and w.min() >= 0 and w.max() < max(k, 1)
-    at = pack(x, 100)
+    at, _ = pack(x, 100)
     assert len(at) == len(x)
     if x.sum():
         used = np.bincount(at[x > 0], weights=x[x > 0])
@@ -149,6 +149,30 @@ def test_differencing_and_pack(sizes, k):
         assert used.max() <= 100 and len(used) <= 2 * -(-x.sum() // 100)
 
 
+def test_exchange_moves_single_items():
+    from grainmill.llm.packing import exchange
+
+    x, window = np.array([60, 45, 50, 40, 30, 20], np.int64), np.array([0, 0, 1, 1, 2, 2])
+    at = exchange(x, window, 3, 100)  # 105, 90, 50: the 45 and the 40 change places
+    assert np.bincount(at, weights=x).max() <= 100 and (at != window).sum() == 2
+    stuck = np.array([60, 60], np.int64)
+    assert exchange(stuck, np.array([0, 0]), 2, 50).tolist() == [0, 0] and exchange(x, window, 3, 200).tolist() == window.tolist()
+
+
+def test_most_items_keep_their_differencing_window():
+    x = np.random.default_rng(4).integers(20, 300, 1200)
+    at, moved = pack(x, 2048)
+    load = np.bincount(at, weights=x)
+    assert load.max() <= 2048 and len(load) == -(-x.sum() // 2048) and moved.mean() < 0.2
+
+
+def test_limits_in_blocks(spark):
+    items = spark.createDataFrame([(i, 10 + i) for i in range(20)], "doc long, n int")
+    limits = spark.createDataFrame([(i, 30 + i) for i in range(7)], "lid int, cap int")
+    key_ = lambda df: sorted(tuple(r) for r in df.collect())
+    assert key_(pack_items(items, "doc", "n", limits, "lid", "cap", at_once=2)) == key_(pack_items(items, "doc", "n", limits, "lid", "cap"))
+
+
 def test_near_equal_windows():
     x = np.random.default_rng(1).integers(1, 50, 400)
     w = np.bincount(differencing(x, 10), weights=x)
