@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from grainmill.llm.canonical import canonical_sql, canonical_text, look_alike_groups, look_alike_pairs
@@ -113,6 +113,29 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mix(_sizes(spark, d), "doc_id", "source", "n_tokens", table(spark, d, "mix_targets"))[1]
 
 
+def p8_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of every recipe: its sources, none repeated beyond its cap, none missed, no share off by more than a document of each source."""
+    from grainmill.session import cut_lineage
+
+    sizes, targets = cut_lineage(_sizes(spark, d)), table(spark, d, "mix_targets")
+    mixed, report = mix(sizes, "doc_id", "source", "n_tokens", targets)
+    mixed = cut_lineage(mixed)
+    caps = targets.groupBy("recipe", "source").agg(F.max("max_repeats").alias("r"), F.sum("target_share").alias("w"))
+    used = mixed.groupBy("recipe", "source", "doc_id").agg(F.count("*").alias("n")).groupBy("recipe", "source").agg(F.max("n").alias("most"))
+    tokens = mixed.groupBy("recipe", "source").agg(F.sum("n_tokens").alias("t"))
+    held = sizes.where("source is not null").groupBy("source").agg(F.max("n_tokens").alias("longest"), F.sum("n_tokens").alias("held"))
+    all_ = caps.join(held, "source", "left").join(used, ["recipe", "source"], "left").join(tokens, ["recipe", "source"], "left")
+    live = F.coalesce(F.col("held") > 0, F.lit(False)) & (F.col("r") > 0) & (F.col("w") > 0)
+    one = Window.partitionBy("recipe")  # the targets of a recipe
+    off = F.abs(F.coalesce("t", F.lit(0)) - F.col("w") / F.sum(F.when(live, F.col("w"))).over(one) * F.sum("t").over(one))
+    slack = F.sum(F.when(live, F.col("longest"))).over(one)
+    all_ = all_.select("recipe", "source", (F.col("most") > F.col("r")).alias("over"), (live & F.col("t").isNull()).alias("missed"), (live & (off > slack)).alias("off"))
+    got = all_.groupBy("recipe").agg(F.count("*").alias("sources"), *[F.count_if(c).alias(c) for c in ("over", "missed", "off")])
+    late = mixed.groupBy("recipe").agg(F.count_if(~F.col("position").between(0, 1)).alias("outside"))
+    rows = report.groupBy("recipe").agg(F.round(F.sum("actual_share"), 9).alias("share"))
+    return got.join(late, "recipe").join(rows, "recipe").select("recipe", "sources", "over", "missed", "off", "outside", "share")
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_groups": p2_groups,
@@ -123,6 +146,7 @@ QUERIES = {
     "p7_checks": p7_checks,
     "p8_mixed": p8_mixed,
     "p8_shares": p8_shares,
+    "p8_checks": p8_checks,
     "p9_found": p9_found,
     "p9_groups": p9_groups,
     "p9_forms": p9_forms,
@@ -145,6 +169,7 @@ ORACLES = {
  g as (select batch, k, first(result_id order by n desc, recorded_at desc nulls last, result_id desc) as survivor_id, coalesce(first(result_id order by (origin='report') desc, recorded_at desc nulls last, result_id desc) filter (trim(classification)<>''),-1) as class_row_id from r group by batch, k having count(*)>1)
  select batch, survivor_id, class_row_id from g""",
     "p7_checks": "select limit_id, (select count(*) from documents where text is not null) as documents, 0 as overfull, 0 as torn, 0 as needless from pack_limits",
+    "p8_checks": "select recipe, count(distinct source) as sources, 0 as over, 0 as missed, 0 as off, 0 as outside, 1.0::double as share from mix_targets group by recipe",
     "p9_found": f"with f as (select doc_id, text, {_FORM} as form from documents where text is not null) select a.doc_id as doc_id_a, b.doc_id as doc_id_b from f a join f b on a.form=b.form and a.doc_id<b.doc_id and a.text<>b.text",
     "p9_groups": f"""with f as (select doc_id, text, {_FORM} as form from documents where text is not null),
  g as (select form, min(doc_id) as group_id, count(distinct text) as n_variants, count(*) as n from f group by form), s as (select text, count(*) as m from f group by text)

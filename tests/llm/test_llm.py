@@ -240,6 +240,27 @@ def test_schedule_moves_long_texts_later(spark):
     assert abs(n["s"] / (n["s"] + n["l"]) - 0.625) < 0.02  # integral of 0.5 (1 + 0.5 (1 - 2x)) over the first half
 
 
+def test_given_schedule(spark):
+    docs = spark.createDataFrame([(i, "ab"[i % 2], 10) for i in range(4000)], "doc long, src string, n int")
+    t = spark.createDataFrame([("r", "a", 0.5, 1), ("r", "b", 0.5, 1)], "recipe string, source string, target_share double, max_repeats int")
+    # source a only in the first half, then falling; b is not named and has no tilt against a
+    s = spark.createDataFrame([("r", "a", 0.25, 1.0), ("r", "a", 0.75, 0.0), ("r", "x", 0.5, 1.0), (None, "a", 0.1, 1.0)], "recipe string, source string, at double, weight double")
+    mixed, report = mix(docs, "doc", "src", "n", t, tilt=0.0, schedule=s)
+    assert {(r.source, r.actual_share) for r in report.collect()} == {("a", 0.5), ("b", 0.5)}
+    at = [r.position for r in mixed.where("source = 'a'").orderBy("position").collect()]
+    # integral: 0.25 flat, then 0.25 along the slope
+    assert max(at) <= 0.75 and abs(sum(x < 0.25 for x in at) / 2000 - 0.5) < 0.01 and abs(sum(x < 0.5 for x in at) / 2000 - (0.25 + 0.1875) / 0.5) < 0.01
+    b = [r.position for r in mixed.where("source = 'b'").collect()]
+    assert abs(sum(x < 0.5 for x in b) / 2000 - 0.5) < 0.01
+
+
+def test_many_targets(spark):
+    docs = spark.createDataFrame([(i, f"s{i % 3000}", 4) for i in range(6000)], "doc long, src string, n int")
+    t = spark.createDataFrame([(f"r{i // 3000}", f"s{i % 3000}", 1.0, 1) for i in range(12_000)], "recipe string, source string, target_share double, max_repeats int")
+    mixed, report = mix(docs, "doc", "src", "n", t)
+    assert mixed.count() == 24_000 and report.where("tokens = 8").count() == 12_000
+
+
 PAIRS = [("ｆｉｌｅ", "file"), ("ﬁle", "file"), ("éa", "éa"), ("a​b", "ab"), ("a b", "a b"), ("сасe", "cace"), ("ё", "ë"), ("ё", "ë"), ("Αβ", "Aβ"), ("ｶﾞ", "ガ"), ("", "")]
 APART = [("é", "e"), ("a b", "ab"), ("a  b", "a b"), ("0", "O"), ("a!", "a"), ("к", "k"), ("ß", "ss")]
 
