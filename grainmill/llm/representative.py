@@ -6,21 +6,21 @@ gathers in one task. The field values of the fused record come from a latent two
 model: each source has a sensitivity (it states a value that is true) and a specificity (it stays
 silent about one that is false), inferred per field by expectation-maximisation; a single-valued
 field takes its most probable value, a multi-valued field keeps every value judged true.
+
+Groups with the same pattern of statements share their probabilities. So the iterations run on the
+distinct patterns with their counts, on the cluster; between them only the quality of each source
+per field is kept. Probabilities stay in log space, so any number of sources may agree.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainmill.session import cut_lineage
 
-#: Rows of counted patterns up to which the iterations run on the driver.
-LOCAL_VOTES = 200_000
 VALUES = ["task_dir", "failed_stage", "classification", "passes", "total", "pass_rate"]
 
 
@@ -49,123 +49,161 @@ def choose_rows(df: DataFrame, group: Sequence[str], row_id: str, recorded: str,
     return got.where("n_rows > 1")
 
 
-def _stated(field: str, values: Column) -> Column:
-    return F.transform(F.coalesce(values, F.array()), lambda x: F.struct(F.lit(field).alias("field"), x.cast("string").alias("value")))
+#: Sources of a pattern by position, and the values stated by the same set of sources: a number for the set, its positions, how many.
+UNIT = "struct<field: string, present: array<string>, sets: array<struct<item: bigint, at: array<int>, m: bigint>>>"
+#: Rows of source quality, one per field and source, up to which they are broadcast to the patterns; beyond they are joined by shuffle.
+FEW = 100_000
+#: Patterns of a partition.
+PART_ROWS = 20_000
+_HIDDEN = "\u0000"  # the field under which every row states that its source is present
+
+
+def _facts(df: DataFrame, single: Sequence[str], multi: Sequence[str]) -> Column:
+    stated = [F.struct(F.lit(c).alias("field"), F.when(present(df, c), F.trim(F.col(c).cast("string"))).alias("value")) for c in single]
+    listed = lambda c: F.transform(F.coalesce(F.col(c), F.array()), lambda x: F.struct(F.lit(c).alias("field"), x.cast("string").alias("value")))
+    lists = [listed(c) for c in multi]
+    here = F.struct(F.lit(_HIDDEN).alias("field"), F.lit("").alias("value"))
+    return F.filter(F.concat(F.array(here, *stated), *lists), lambda f: f["value"].isNotNull())
+
 
+def _statements(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source: str, single: Sequence[str], multi: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(values: g, field, value, claims of multi-valued fields; groups: g, names, present, sets).
 
-def _quality(votes: DataFrame, p: DataFrame, by: list[str]) -> DataFrame:
-    """Sensitivity and specificity of each source, smoothed towards 2/3 and 4/5."""
-    w, q, says = F.col("w") * F.col("p"), F.col("w") * (1 - F.col("p")), F.col("says")
-    return votes.join(p, ["pattern", "item"]).groupBy(*by).agg(
-        ((F.sum(w * says) + 4) / (F.sum(w) + 6)).alias("sens"), ((F.sum(q * (1 - says)) + 8) / (F.sum(q) + 10)).alias("spec")
+    One row per distinct value of a group carries the sources that state it and its latest row; rows
+    of equal value meet by partial aggregation. Values of a field stated by the same sources are then
+    counted, with the latest of them, so a group's row holds its sets of sources, not its values.
+    """
+    names = F.struct(*group)
+    facts = df.select(
+        F.unhex(F.md5(F.to_json(names))).alias("g"), names.alias("names"), F.coalesce(F.col(source), F.lit("")).alias("src"),
+        F.struct(F.col(recorded).alias("t"), F.col(row_id).alias("id")).alias("last"), F.inline(_facts(df, single, multi)),
+    ).withColumn("names", F.when(F.col("field") == _HIDDEN, F.col("names")))
+    values = facts.groupBy("g", "field", "value").agg(F.sort_array(F.collect_set("src")).alias("claims"), F.max("last").alias("last"), F.max("names").alias("names"))
+    values = cut_lineage(values)
+    sets = values.groupBy("g", "field", "claims").agg(F.count("*").alias("m"), F.max(F.struct("last", "value")).alias("top"), F.max("names").alias("names"))
+    groups = sets.groupBy("g").agg(
+        F.max("names").alias("names"),
+        F.max(F.when(F.col("field") == _HIDDEN, F.col("claims"))).alias("present"),
+        F.collect_list(F.when(F.col("field") != _HIDDEN, F.struct("field", F.xxhash64("claims").alias("item"), "claims", "m", "top"))).alias("sets"),
+    )
+    return values.where(F.col("field").isin(*multi) if multi else F.lit(False)), groups
+
+
+def _units(single: Sequence[str]) -> Column:
+    """The units of a group: of a single-valued field all sets of sources together, of a multi-valued one each set alone."""
+    at = lambda claims: F.transform(claims, lambda s: F.array_position("present", s).cast("int"))
+    small = lambda s, m: F.struct(s["item"].alias("item"), at(s["claims"]).alias("at"), m.alias("m"))
+    unit = lambda field, sets: F.struct(field.alias("field"), F.col("present").alias("present"), sets.alias("sets"))
+    own = lambda c: F.array_sort(F.transform(F.filter("sets", lambda s: s["field"] == c), lambda s: small(s, s["m"])))
+    ones = F.array(*[unit(F.lit(c), own(c)) for c in single]).cast(f"array<{UNIT}>")
+    ones = F.transform(F.filter(ones, lambda u: F.size(u["sets"]) > 0), lambda u: F.struct(u.alias("u"), F.lit(1).cast("bigint").alias("n")))
+    alone = F.transform(
+        F.filter("sets", lambda s: ~s["field"].isin(*single)),
+        lambda s: F.struct(unit(s["field"], F.array(small(s, F.lit(1).cast("bigint")))).alias("u"), s["m"].alias("n")),
     )
+    return F.concat(ones, alone)
+
 
+# The steps of a round are SQL texts: a round is planned often, and a text is planned in one call.
+_SUM = "aggregate({0}, 0D, (a, x) -> a + {1})"
+_WEIGHTS = "transform(arrays_zip(sets, p), z -> struct(z.sets.at as at, n * z.sets.m * z.p as t, n * z.sets.m * (1 - z.p) as f))"
+_COULD = "transform(concat(present, array(cast(null as string))), s -> struct(s as src, tall as t, 0D as tt, fall as f, 0D as ff))"
+_DID = "flatten(transform(w, x -> transform(x.at, k -> struct(element_at(present, k) as src, 0D as t, x.t as tt, 0D as f, x.f as ff))))"
+
+
+def _counts(patterns: DataFrame) -> DataFrame:
+    """field, src, t, tt, f, ff: weight of true and false values that a source could have stated, and of those it did state.
+
+    Of ``patterns`` with p, the probabilities of their sets. What all sources of a pattern share is added once per source; a row
+    with a null source carries the field's own weights.
+    """
+    rows = patterns.selectExpr("field", "present", f"{_WEIGHTS} as w")
+    rows = rows.selectExpr("field", "present", "w", f"{_SUM.format('w', 'x.t')} as tall", f"{_SUM.format('w', 'x.f')} as fall")
+    return rows.selectExpr("field", f"inline(concat({_COULD}, {_DID}))")
+
+
+def _quality(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Sensitivity and specificity of each source, smoothed towards 2/3 and 4/5; under a null source the share of true values."""
+    sums = counts.groupBy(*by).agg({"t": "sum", "tt": "sum", "f": "sum", "ff": "sum"})
+    return sums.selectExpr(
+        *by, "(`sum(tt)` + 4) / (`sum(t)` + 6) as sens", "(`sum(f)` - `sum(ff)` + 8) / (`sum(f)` + 10) as spec", "(`sum(t)` + 1) / (`sum(t)` + `sum(f)` + 2) as base"
+    )
 
-def _expect(votes: DataFrame, quality: DataFrame, base: DataFrame | None) -> DataFrame:
-    """pattern, item, p. Without ``base`` a pattern's items exclude each other, with it they are independent."""
-    log_odds = F.when(F.col("says") == 1, F.log(F.col("sens") / (1 - F.col("spec")))).otherwise(F.log((1 - F.col("sens")) / F.col("spec")))
-    post = votes.join(quality, ["field", "src"]).groupBy("pattern", "field", "item", "m").agg(F.exp(F.sum(log_odds)).alias("o"))
-    if base is None:
-        rivals = post.groupBy("pattern").agg(F.sum(F.col("o") * F.col("m")).alias("t"))
-        return post.join(rivals, "pattern").select("pattern", "item", (F.col("o") / (F.col("t") + 0.1)).alias("p"))
-    o = F.col("o") * F.col("base") / (1 - F.col("base"))
-    return post.join(base, "field").select("pattern", "item", (o / (1 + o)).alias("p"))
-
-
-def _iterate(votes: DataFrame, one: Column, multi: bool, rounds: int) -> DataFrame:
-    """pattern, item, p after the iterations, distributed: for sources so many that their patterns are many too."""
-    ones, others = votes.where(one), votes.where(~one)
-    # single-valued fields start from the shares of the statements; their conflicts tell the sources apart
-    heard = ones.groupBy("pattern", "item", "m").agg(F.sum("says").alias("k"))
-    total = heard.groupBy("pattern").agg(F.sum(F.col("k") * F.col("m")).alias("t"))
-    p = cut_lineage(heard.join(total, "pattern").select("pattern", "item", (0.9 * F.col("k") / F.col("t")).alias("p")))
-    for _ in range(rounds):
-        p = cut_lineage(_expect(ones, _quality(ones, p, ["field", "src"]), None))
-    if not multi:
-        return p
-    # multi-valued fields start from the sources' quality over all single-valued ones, then have their own
-    pooled = _quality(ones, p, ["src"]).join(others.select("field", "src").distinct(), "src", "right").select("field", "src", F.coalesce("sens", F.lit(0.5)).alias("sens"), F.coalesce("spec", F.lit(0.5)).alias("spec"))
-    q = cut_lineage(_expect(others, pooled, others.select("field").distinct().withColumn("base", F.lit(0.5))))
-    for _ in range(rounds // 2):
-        facts = others.select("pattern", "item", "field", "w").distinct().join(q, ["pattern", "item"])
-        base = facts.groupBy("field").agg(((F.sum(F.col("w") * F.col("p")) + 1) / (F.sum("w") + 2)).alias("base"))
-        q = cut_lineage(_expect(others, _quality(others, q, ["field", "src"]), base))
-    return p.unionByName(q)
-
-
-def _iterate_local(votes: pd.DataFrame, single: list[str], rounds: int) -> pd.DataFrame:
-    """The same iterations on counted patterns in memory."""
-    key = ["pattern", "item"]
-
-    def quality(v: pd.DataFrame, p: pd.DataFrame, by: list[str]) -> pd.DataFrame:
-        x = v.merge(p, on=key)
-        x = x.assign(t=x.w * x.p, ts=x.w * x.p * x.says, f=x.w * (1 - x.p), fs=x.w * (1 - x.p) * (1 - x.says)).groupby(by, as_index=False)[["t", "ts", "f", "fs"]].sum()
-        return x[by].assign(sens=(x.ts + 4) / (x.t + 6), spec=(x.fs + 8) / (x.f + 10))
-
-    def expect(v: pd.DataFrame, q: pd.DataFrame, base: pd.DataFrame | None) -> pd.DataFrame:
-        x = v.merge(q, on=["field", "src"])
-        x["o"] = np.where(x.says == 1, np.log(x.sens / (1 - x.spec)), np.log((1 - x.sens) / x.spec))
-        x = x.groupby(["pattern", "field", "item", "m"], as_index=False).o.sum()
-        o = np.exp(x.o)
-        if base is None:
-            return x[key].assign(p=o / ((o * x.m).groupby(x.pattern).transform("sum") + 0.1))
-        b = x.merge(base, on="field", how="left").base.to_numpy()
-        o = o * b / (1 - b)
-        return x[key].assign(p=o / (1 + o))
-
-    one = votes.field.isin(single)
-    ones, others = votes[one], votes[~one]
-    h = ones.groupby(["pattern", "item", "m"], as_index=False).says.sum()
-    p = h[key].assign(p=0.9 * h.says / (h.says * h.m).groupby(h.pattern).transform("sum"))
-    for _ in range(rounds):
-        p = expect(ones, quality(ones, p, ["field", "src"]), None)
-    if len(others):
-        pairs = others[["field", "src"]].drop_duplicates()
-        pooled = pairs.merge(quality(ones, p, ["src"]), on="src", how="left").fillna({"sens": 0.5, "spec": 0.5})
-        q = expect(others, pooled, others[["field"]].drop_duplicates().assign(base=0.5))
+
+def _expect(patterns: DataFrame, quality: DataFrame, exclusive: bool, few: bool) -> DataFrame:
+    """``patterns`` with p, the probability of each set: exclusive sets share one unit with a slack of 0.1, others stand for themselves.
+
+    ``few``: the quality has at most FEW rows, counted, and is broadcast.
+    """
+    rows = patterns.selectExpr("pattern", "field", "struct(n, present, sets) as body", "posexplode(concat(present, array(cast(null as string)))) as (k, src)")
+    rows = rows.selectExpr("pattern", "field", "if(k = 0, body, null) as body", "k", "src")
+    q = quality.selectExpr(
+        "field as f", "src as s", "if(src is null, 0D, ln((1 - sens) / spec)) as silent",
+        "if(src is null, ln(base / (1 - base)), ln(sens / (1 - spec)) - ln((1 - sens) / spec)) as more",
+    )
+    met = rows.join(F.broadcast(q) if few else q, F.expr("field = f and src <=> s"))
+    met = met.groupBy("pattern", "field").agg(F.expr("max(body) as body"), F.expr("sum(silent) as silent"), F.expr("array_sort(collect_list(struct(k, more))).more as more"))
+    met = met.selectExpr("pattern", "field", "body.*", "more", f"transform(body.sets, s -> silent + {_SUM.format('s.at', 'element_at(more, x)')}) as l")
+    if exclusive:
+        met = met.selectExpr("*", "greatest(array_max(l), ln(0.1)) as most")
+        met = met.selectExpr("*", f"{_SUM.format('arrays_zip(l, sets)', 'x.sets.m * exp(x.l - most)')} + exp(ln(0.1) - most) as whole")
+        p = "transform(l, x -> exp(x - most) / whole)"
+    else:
+        p = "transform(l, x -> 1 / (1 + exp(-(x + element_at(more, -1)))))"  # the null source comes last
+    return met.selectExpr("pattern", "field", "n", "present", "sets", f"{p} as p")
+
+
+def _infer(patterns: DataFrame, single: Sequence[str], multi: Sequence[str], rounds: int) -> DataFrame:
+    """pattern, item, p after ``rounds`` iterations of the single-valued fields and half as many of the multi-valued ones.
+
+    Single-valued fields start from the shares of the statements; their conflicts tell the sources
+    apart. Multi-valued fields start from the sources' quality over all single-valued ones.
+    """
+    by = ["field", "src"]
+    # few patterns need few partitions: those of one partition are summed without a shuffle
+    patterns = patterns.coalesce(-(-max(patterns.count(), 1) // PART_ROWS))
+    ones, others = patterns.where(F.col("field").isin(*single)), patterns.where(~F.col("field").isin(*single))
+    heard = ones.selectExpr("*", f"{_SUM.format('sets', 'size(x.at) * x.m')} as heard")
+    start = heard.selectExpr("*", "transform(sets, s -> 0.9D * size(s.at) / heard) as p")
+    q = cut_lineage(_quality(_counts(start), by))
+    few = patterns.select("field", F.explode("present")).distinct().limit(FEW + 1).count() <= FEW
+    for _ in range(rounds - 1):
+        q = cut_lineage(_quality(_counts(_expect(ones, q, True, few)), by))
+    p = _expect(ones, q, True, few)
+    if multi:
+        pooled = _quality(_counts(p).where("src is not null"), ["src"])
+        pairs = others.selectExpr("field", "explode(concat(present, array(cast(null as string)))) as src").distinct()
+        q = pairs.join(pooled, "src", "left").selectExpr("field", "src", "coalesce(sens, 0.5D) as sens", "coalesce(spec, 0.5D) as spec", "0.5D as base")
+        q = cut_lineage(q)
         for _ in range(rounds // 2):
-            f = others[[*key, "field", "w"]].drop_duplicates().merge(q, on=key)
-            f = f.assign(wp=f.w * f.p).groupby("field", as_index=False)[["w", "wp"]].sum()
-            q = expect(others, quality(others, q, ["field", "src"]), f[["field"]].assign(base=(f.wp + 1) / (f.w + 2)))
-        p = pd.concat([p, q])
-    return p.astype({"pattern": "int64", "item": "int64", "p": "float64"})
+            q = cut_lineage(_quality(_counts(_expect(others, q, False, few)), by))
+        p = p.unionByName(_expect(others, q, False, few))
+    return p.selectExpr("pattern", "inline(arrays_zip(sets.item, p)) as (item, p)")
+
 
+def infer_truth(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source: str, single: Sequence[str], multi: Sequence[str], rounds: int = 8) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(groups: g, names; best: g, field, p, top of every set of a single-valued field; many: g, field, value, p of every value of a multi-valued one).
 
-def infer_truth(df: DataFrame, group: Sequence[str], source: str, single: Sequence[str], multi: dict[str, Column], rounds: int = 8) -> DataFrame:
-    """group columns, field, value, claims, p: the probability that a value stated in a group is true.
+    ``g`` is 128 bits of a digest of the group's columns, so that long keys travel once.
 
     A group's sources are those with a row in it; each states or doesn't state each of the group's
     values. Of a single-valued field's values at most one is true, so they share one unit of
-    probability; values of a multi-valued field stand for themselves. Groups with the same pattern of
-    statements share their probabilities, so the iterations run on the few distinct patterns with
-    their counts, never on the records. Values stated by the same sources are counted, not listed, so
-    a pattern is bounded by the sets of sources whatever the group's size.
+    probability; values of a multi-valued field stand for themselves.
     """
-    src = F.coalesce(F.col(source), F.lit(""))
-    facts = F.concat(
-        F.array(*[F.struct(F.lit(c).alias("field"), F.when(present(df, c), F.trim(F.col(c).cast("string"))).alias("value")) for c in single]),
-        *[_stated(c, a) for c, a in multi.items()],
-    )
-    one = F.col("field").isin(*single)
-    witnesses = df.groupBy(*group).agg(F.sort_array(F.collect_set(src)).alias("present"))
-    stated = df.select(*group, src.alias("src"), F.inline(facts)).where("value is not null").groupBy(*group, "field", "value").agg(F.sort_array(F.collect_set("src")).alias("claims"))
-    stated = cut_lineage(stated.join(witnesses, list(group)).withColumn("item", F.xxhash64("claims")))
-    sets = stated.groupBy(*group, "field", "present", "item", "claims").agg(F.count("*").alias("m"))
-    units = sets.where(one).groupBy(*group, "field", "present").agg(F.sort_array(F.collect_list(F.struct("item", "claims", "m"))).alias("sets"))
-    units = units.withColumn("pattern", F.xxhash64("field", "present", "sets"))
-    alone = sets.where(~one).withColumn("sets", F.array(F.struct("item", "claims", F.lit(1).cast("long").alias("m")))).withColumn("n", F.col("m"))
-    alone = alone.withColumn("pattern", F.xxhash64("field", "present", "sets"))
-    counted = units.groupBy("pattern", "field", "present", "sets").agg(F.count("*").alias("n")).unionByName(alone.groupBy("pattern", "field", "present", "sets").agg(F.sum("n").alias("n")))
-    votes = counted.select("pattern", "field", "present", "n", F.inline("sets")).select("pattern", "field", "item", "m", (F.col("n") * F.col("m")).alias("w"), "claims", F.explode("present").alias("src"))
-    votes = cut_lineage(votes.withColumn("says", F.array_contains("claims", F.col("src")).cast("double")).drop("claims"))
-    if votes.limit(LOCAL_VOTES + 1).count() <= LOCAL_VOTES:
-        # few sources make few patterns: their counts, checked against the bound, fit the driver
-        p = df.sparkSession.createDataFrame(_iterate_local(votes.toPandas(), list(single), rounds), "pattern long, item long, p double")
-    else:
-        p = _iterate(votes, one, bool(multi), rounds)
-    keys = units.select(*group, "field", "pattern")
-    got = stated.where(one).join(keys, [*group, "field"]).unionByName(stated.where(~one).withColumn("pattern", F.xxhash64("field", "present", F.array(F.struct("item", "claims", F.lit(1).cast("long").alias("m"))))))
-    return got.join(p, ["pattern", "item"]).select(*group, "field", "value", "claims", "p")
+    values, groups = _statements(df, group, row_id, recorded, source, single, multi)
+    groups = groups.select("g", "names", "sets", F.transform(_units(single), lambda x: F.struct(F.xxhash64(x["u"]).alias("pattern"), x["u"].alias("u"), x["n"].alias("n"))).alias("units"))
+    groups = cut_lineage(groups)
+    flat = groups.select(F.inline("units"))
+    patterns = flat.groupBy("pattern").agg(F.sum("n").alias("n"), F.first("u").alias("u")).select("pattern", "n", "u.field", "u.present", "u.sets")
+    p = cut_lineage(_infer(cut_lineage(patterns), single, multi, rounds))
+    # a group's units meet the probabilities of their patterns
+    tops = lambda u: F.transform(F.filter("sets", lambda s: s["field"] == u["u"]["field"]), lambda s: F.struct(s["item"].alias("item"), s["top"].alias("top")))
+    units = groups.select("g", F.explode(F.filter("units", lambda u: u["u"]["field"].isin(*single))).alias("x"), "sets")
+    units = units.select("g", "x.pattern", F.col("x.u.field").alias("field"), F.inline(tops(F.col("x"))))
+    best = units.join(p, ["pattern", "item"]).select("g", "field", "p", "top")
+    alone = groups.select("g", F.explode(F.filter("units", lambda u: ~u["u"]["field"].isin(*single))).alias("x")).select("g", "x.pattern", F.col("x.u.field").alias("field"), F.col("x.u.sets")[0]["item"].alias("item"))
+    many = alone.join(p, ["pattern", "item"]).select("g", "field", "item", "p").join(values.select("g", "field", "value", F.xxhash64("claims").alias("item")), ["g", "field", "item"])
+    return groups.select("g", "names"), best, many.select("g", "field", "value", "p")
 
 
 def fuse(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source: str, single: Sequence[str], multi: dict[str, Column], threshold: float = 0.5) -> DataFrame:
@@ -175,16 +213,15 @@ def fuse(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source
     multi-valued ones keep every value with p >= threshold. Rows with a null group column are in no
     group; an empty table gives no row; a field that no row states is null.
     """
-    # the groups' long keys travel once: all that follows is keyed by the group's smallest row id
-    df = df.where(" and ".join(f"`{g}` is not null" for g in group)).select(*group, F.col(row_id).alias("_id"), F.col(recorded).alias("_t"), F.col(source).alias("_src"), *single, *[a.alias(m) for m, a in multi.items()])
-    groups = cut_lineage(df.groupBy(*group).agg(F.min("_id").alias("_g")))
-    rows = cut_lineage(df.join(groups, list(group)).drop(*group))
-    truth = infer_truth(rows, ["_g"], "_src", single, {m: F.col(m) for m in multi})
-    truth = cut_lineage(truth)
-    facts = F.array(*[F.struct(F.lit(c).alias("field"), F.when(present(rows, c), F.trim(F.col(c).cast("string"))).alias("value")) for c in single])
-    last = rows.select("_g", F.struct(F.col("_t").alias("t"), F.col("_id").alias("id")).alias("last"), F.inline(facts)).where("value is not null").groupBy("_g", "field", "value").agg(F.max("last").alias("last"))
-    best = truth.where(F.col("field").isin(*single)).join(last, ["_g", "field", "value"])
-    best = best.groupBy("_g").agg(*[F.max(F.when(F.col("field") == c, F.struct(F.round("p", 9).alias("p"), "last", "value")))["value"].alias(c) for c in single])
-    many = truth.where(~F.col("field").isin(*single) & (F.col("p") >= threshold)).groupBy("_g").agg(*[F.sort_array(F.collect_set(F.when(F.col("field") == c, F.col("value")))).alias(c) for c in multi] or [F.count("*").alias("_n")])
-    out = groups.join(best, "_g", "left").join(many, "_g", "left")
-    return out.select(*group, *single, *[F.when(F.size(m) > 0, F.col(m)).alias(m) for m in multi])
+    rows = df.where(" and ".join(f"`{g}` is not null" for g in group)).select(
+        *group, F.col(row_id).alias("_id"), F.col(recorded).alias("_t"), F.col(source).alias("_src"), *single, *[a.alias(m) for m, a in multi.items()]
+    )
+    groups, best, many = infer_truth(rows, group, "_id", "_t", "_src", single, list(multi))
+    ranked = F.struct(F.round("p", 9).alias("p"), F.col("top.last").alias("last"), F.col("top.value").alias("value"))
+    best = best.select("g", *[F.when(F.col("field") == c, ranked).alias(c) for c in single])
+    many = many.where(F.col("p") >= threshold).select("g", *[F.when(F.col("field") == m, F.col("value")).alias(f"_{m}") for m in multi])
+    every = groups.unionByName(best, allowMissingColumns=True).unionByName(many, allowMissingColumns=True)
+    out = every.groupBy("g").agg(
+        F.max("names").alias("names"), *[F.max(c)["value"].alias(c) for c in single], *[F.sort_array(F.collect_set(f"_{m}")).alias(m) for m in multi]
+    )
+    return out.select("names.*", *single, *[F.when(F.size(m) > 0, F.col(m)).alias(m) for m in multi])
