@@ -1,16 +1,18 @@
 """Near-duplicate texts by word-set similarity, exactly, without comparing all pairs.
 
 1. Texts with equal word sets collapse to one class representative.
-2. Prefix filter: two sets with similarity >= t share one of their rarest n - ceil(t n) + 1 words, so
-   only sets that share such a word (a block) are compared. Words of one set only make no block.
+2. Prefix filter: under any fixed order of all words, two sets with similarity >= t share one of
+   their first n - ceil(t n) + 1 words, so only sets that share such a word (a block) are compared.
+   The order is rare words first, by a count sketch of fixed size that a partial aggregation builds
+   and every task holds: words never travel to meet their frequency. Words counted once make no block.
 3. Each set is folded into a fixed-width bit vector by exclusive-or of its words' bits. For two sets
    the population count of the exclusive-or never exceeds the size of the symmetric difference, and
    similarity >= t bounds that difference by (1 - t) / (1 + t) * (|a| + |b|). Blocks are compared in
    tiles, numpy exclusive-or and bit counts at a time; tile pairs whose set sizes lie too far apart
    are skipped. What passes is verified on the words themselves, so the result is exact. Block rows
    carry the bit vectors, not the words.
-4. Blocks beyond ``tile`` sets are cut into (size, salt) tiles and every tile pair within the radius
-   is a task of its own; no block gathers in one task.
+4. Blocks that may exceed ``tile`` sets are cut into (size, salt) tiles and every tile pair within
+   the radius is a task of its own; no block gathers in one task.
 """
 
 from __future__ import annotations
@@ -26,7 +28,10 @@ from pyspark.sql import functions as F
 from grainmill.session import cut_lineage
 
 BITS = 128
-SALTS = 8
+#: Parts over which the rows of a hot word are spread when they meet its cells.
+SALTS = 32
+#: Counters of the word sketch: its size whatever the data (32 bits each). Words that share a counter share its count.
+SKETCH = 1 << 22
 
 
 def word_set(text: Column) -> Column:
@@ -62,13 +67,40 @@ def tile_pairs(sig: np.ndarray, size: np.ndarray, left: np.ndarray, right: np.nd
                 yield i[x], j[y]
 
 
-def _fold_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        c = b.column("hashes")
-        off = c.offsets.to_numpy()
-        sig = fold(c.values.to_numpy()[off[0] : off[-1]], off - off[0])
-        bits = pa.Array.from_buffers(pa.binary(BITS // 8), len(sig), [None, pa.py_buffer(sig.tobytes())]).cast(pa.binary())
-        yield pa.RecordBatch.from_arrays([b.column("rep"), b.column("size"), bits, b.column("prefix")], names=["rep", "size", "bits", "prefix"])
+def word_counts(words: DataFrame, width: int) -> np.ndarray:
+    """The count sketch of a column ``w`` of words: counters by hash, at most ``width`` rows whatever the data."""
+    got = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(width)).alias("i")).agg(F.least(F.count("*"), F.lit(2**31 - 1)).cast("int").alias("n")).toPandas()
+    out = np.zeros(width, np.int32)
+    out[got["i"].to_numpy()] = got["n"].to_numpy()
+    return out
+
+
+def prefixes(values: np.ndarray, offsets: np.ndarray, counts: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, their counts, offsets): of each row the first n - ceil(t n) + 1 words, rare ones first, without those counted once."""
+    size = np.diff(offsets)
+    row = np.repeat(np.arange(len(size)), size)
+    n = counts[values % len(counts)]  # a floor modulus, as pmod
+    order = np.lexsort((values, n, row))
+    values, n = values[order], n[order]
+    keep = size - np.ceil(size * t - 1e-9).astype(np.int64) + 1
+    first = (np.arange(len(values)) - offsets[:-1][row] < keep[row]) & (n > 1)
+    return values[first], n[first], np.concatenate([[0], np.cumsum(np.bincount(row[first], minlength=len(size)))])
+
+
+def _fold_rows(counts, t: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            c = b.column("hashes")
+            off = c.offsets.to_numpy()
+            values, off = c.values.to_numpy()[off[0] : off[-1]], (off - off[0]).astype(np.int64)
+            sig = fold(values, off)
+            bits = pa.Array.from_buffers(pa.binary(BITS // 8), len(sig), [None, pa.py_buffer(sig.tobytes())]).cast(pa.binary())
+            token, n, cut = prefixes(values, off, counts.value, t)
+            prefix = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.StructArray.from_arrays([pa.array(n), pa.array(token)], ["n", "token"]))
+            out = pa.RecordBatch.from_arrays([b.column("rep"), pa.array(np.diff(off), pa.int32()), bits, prefix], names=["rep", "size", "bits", "prefix"])
+            yield out.filter(pa.array(np.diff(cut) > 0))
+
+    return run
 
 
 def _compare(t: float):
@@ -116,37 +148,34 @@ def _compare(t: float):
 def word_classes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(classes: rep, words, n_members), (members: id, rep). Null texts and texts without a word are left out."""
     base = df.select(F.col(key).cast("long").alias("id"), word_set(F.col(text)).alias("words")).where(F.size("words") > 0)
-    base = base.withColumn("sig", F.sha2(F.array_join("words", " "), 256))
+    base = base.withColumn("sig", F.substring(F.unhex(F.sha2(F.array_join("words", " "), 256)), 1, 16))
     classes = base.groupBy("sig").agg(F.min("id").alias("rep"), F.first("words").alias("words"), F.count("*").alias("n_members"))
     classes = cut_lineage(classes)
     members = base.select("id", "sig").join(classes.select("sig", "rep"), "sig").select("id", "rep")
     return classes.drop("sig"), members
 
 
-def similar_classes(classes: DataFrame, t: float, tile: int = 2048) -> DataFrame:
+def similar_classes(classes: DataFrame, t: float, tile: int = 2048, sketch: int = SKETCH) -> DataFrame:
     """rep_a < rep_b, similarity: all pairs of classes with similarity >= t."""
+    counts = classes.sparkSession.sparkContext.broadcast(word_counts(classes.select(F.explode("words").alias("w")), sketch))
     # words travel as 64-bit hashes: two words that met in one would only share a block, never lose a pair
-    words = classes.select("rep", F.explode(F.transform("words", lambda x: F.xxhash64(x))).alias("w"))
-    salt = F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")
-    # every text's words meet their frequencies; frequent words are spread over salts
-    freq = words.groupBy("w").agg(F.count("*").alias("n")).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    ranked = words.withColumn("s", salt).join(freq, ["w", "s"]).groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "w"))).alias("r"))
-    size = F.size("r")
-    length = (size - F.ceil(size * F.lit(t) - F.lit(1e-9)) + 1).cast("int")
-    prefix = F.transform(F.filter(F.slice("r", F.lit(1), length), lambda x: x["n"] > 1), lambda x: F.struct(x["n"].alias("n"), x["w"].alias("token")))
-    rows = ranked.select("rep", size.alias("size"), F.transform("r", lambda x: x["w"]).alias("hashes"), prefix.alias("prefix")).where(F.size("prefix") > 0)
+    rows = classes.select("rep", F.transform("words", lambda x: F.xxhash64(x)).alias("hashes"))
     # written once, as the cool and the hot blocks below both start from it
-    rows = cut_lineage(rows.mapInArrow(_fold_rows, "rep long, size int, bits binary, prefix array<struct<n: long, token: long>>"))
+    rows = cut_lineage(rows.mapInArrow(_fold_rows(counts, t), "rep long, size int, bits binary, prefix array<struct<n: int, token: long>>"))
     rows = rows.select("rep", "size", "bits", F.inline("prefix"))
+    # a counter is never below its word's frequency, so a cool block is within the tile
     cool = rows.where(F.col("n") <= tile).select(F.col("token").alias("block"), F.lit(0).alias("side"), "rep", "size", "bits")
-    hot = rows.where(F.col("n") > tile)
-    cells = hot.groupBy("token", "size").agg(F.ceil(F.count("*") / tile).cast("int").alias("salts"))
-    grid = cells.groupBy("token").agg(F.collect_list(F.struct("size", "salts")).alias("cells"))
-    own = hot.join(cells, ["token", "size"]).withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int"))
-    near = own.join(grid, "token").withColumn("cell", F.explode(F.filter("cells", lambda c: (c["size"] >= F.col("size") * t - 1e-9) & (c["size"] * t <= F.col("size") + 1e-9))))
-    near = near.withColumn("salt2", F.explode(F.sequence(F.lit(0), F.col("cell.salts") - 1)))
+    hot = rows.where(F.col("n") > tile).select("token", "rep", "size", "bits")
+    cells = cut_lineage(hot.groupBy("token", "size").agg(F.ceil(F.count("*") / tile).cast("int").alias("salts")))
+    near = cells.groupBy("token").agg(F.collect_list(F.struct("size", "salts")).alias("cells"))
+    within = F.filter("cells", lambda c: (c["size"] >= F.col("size") * t - 1e-9) & (c["size"] * t <= F.col("size") + 1e-9))
+    near = cells.join(near, "token").select("token", "size", "salts", within.alias("cells"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part"))
+    own = hot.withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(near, ["token", "size", "part"])
+    own = own.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("salts")).cast("int"))
+    own = own.withColumn("cell", F.explode("cells")).withColumn("salt2", F.explode(F.sequence(F.lit(0), F.col("cell.salts") - 1)))
     mine, theirs = F.struct("size", "salt"), F.struct(F.col("cell.size").alias("size"), F.col("salt2").alias("salt"))
-    tiled = near.select(F.xxhash64("token", F.least(mine, theirs), F.greatest(mine, theirs)).alias("block"), F.when(mine > theirs, 1).otherwise(0).alias("side"), "rep", "size", "bits")
+    key = F.xxhash64("token", F.least(mine, theirs), F.greatest(mine, theirs))
+    tiled = own.select(key.alias("block"), F.when(mine > theirs, 1).otherwise(0).alias("side"), "rep", "size", "bits")
     blocks = cool.unionByName(tiled)
     blocks = blocks.repartition("block").sortWithinPartitions("block")
     pairs = blocks.mapInArrow(_compare(t), "rep_a long, rep_b long").distinct()

@@ -57,6 +57,8 @@ def test_similar_edges(spark):
     classes, _ = word_classes(df, "k", "x")
     plain = {(r.rep_a, r.rep_b) for r in similar_classes(classes, 0.7).collect()}
     assert {(r.rep_a, r.rep_b) for r in similar_classes(classes, 0.7, tile=2).collect()} == plain
+    # a sketch of three counters orders words badly and calls every block hot, with the same result
+    assert {(r.rep_a, r.rep_b) for r in similar_classes(classes, 0.7, tile=4, sketch=3).collect()} == plain
     assert similar_pairs(df.limit(0), "k", "x").count() == 0
     g = {r.id: (r.group_id, r.n_links) for r in similar_groups(df, "k", "x", 0.7).collect()}
     assert set(g) == {i for i, x in items if x is not None}
