@@ -208,7 +208,12 @@ def test_log_results(log: Column) -> Column:
         name = F.when(F.instr(name, "::") > 0, F.regexp_replace(name, r"^.*?::", "")).otherwise(name)
         return F.struct(name.alias("name"), F.when(status.isin(*fixed.PASSING), "passed").when(status.isin(*fixed.FAILING), "failed").alias("status"))
 
-    pairs = F.filter(F.transform(lines, one), lambda p: p["status"].isNotNull() & (p["name"] != ""))
-    names = F.array_distinct(F.transform(pairs, lambda p: p["name"]))
-    last = lambda n: F.element_at(F.filter(pairs, lambda p: p["name"] == n), -1)["status"]
-    return F.map_from_arrays(names, F.transform(names, last))
+    return last_by_key(F.filter(F.transform(lines, one), lambda p: p["status"].isNotNull() & (p["name"] != "")), "name", "status")
+
+
+def last_by_key(entries: Column, key: str, value: str) -> Column:
+    """A map from an array of structs; of several entries with one key the last counts. One sort, whatever the repeats."""
+    placed = F.array_sort(F.transform(entries, lambda e, i: F.struct(e[key].alias("k"), i.alias("i"), e[value].alias("v"))))
+    ends = lambda s: F.filter(s, lambda e, i: F.coalesce(F.get(s, i + 1)["k"] != e["k"], F.lit(True)))
+    kept = F.get(F.transform(F.array(placed), ends), F.lit(0))
+    return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["k"], e["v"])))

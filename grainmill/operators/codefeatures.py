@@ -191,7 +191,7 @@ def _depth(node: ast.AST, d: int = 0) -> int:
 
 
 def source_structure(path: str | None, code: str | None) -> list[tuple]:
-    """[(language, code lines, functions, classes, imports, nesting depth)]; only root-level Python files are parsed."""
+    """[(language, code lines, plain functions, classes, imports, nesting depth)]; only root-level Python files are parsed."""
     name = path or ""
     language = fixed.EXTENSIONS.get("." + name.rsplit(".", 1)[-1] if "." in name else "", "unknown")
     loc = sum(bool(x.strip()) for x in (code or "").splitlines())
@@ -202,7 +202,7 @@ def source_structure(path: str | None, code: str | None) -> list[tuple]:
     except (SyntaxError, ValueError, RecursionError):
         return [(language, loc, 0, 0, 0, 0)]
     count = lambda *t: sum(isinstance(n, t) for n in ast.walk(tree))
-    return [(language, loc, count(ast.FunctionDef, ast.AsyncFunctionDef), count(ast.ClassDef), count(ast.Import, ast.ImportFrom), _depth(tree))]
+    return [(language, loc, count(ast.FunctionDef), count(ast.ClassDef), count(ast.Import, ast.ImportFrom), _depth(tree))]
 
 
 def test_features(files: DataFrame, keys: Sequence[str], content: str) -> DataFrame:

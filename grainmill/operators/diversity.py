@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainmill.functions.scalars import jaccard
+from grainmill.operators.ranks import at_ranks, middle_ranks
+from grainmill.operators.setjoin import PARTS, candidates, prefix_rows, sketch_width, word_counts
+from grainmill.session import cut_lineage
 
 
 def group_counts(df: DataFrame, by: str) -> DataFrame:
@@ -31,66 +34,63 @@ def coverage(df: DataFrame, by: str, expected: Sequence[str]) -> DataFrame:
     return found.select((F.size(F.array_intersect("f", want)) / F.lit(float(len(expected)))).alias("coverage"), F.array_join(F.array_except(want, "f"), ",").alias("missing"))
 
 
-def upper_median(x: str) -> Column:
-    """The element at n div 2 of the sorted values: read from the greater end, the discrete median of an even count is the upper one."""
-    return F.expr(f"percentile_disc(0.5) within group (order by {x} desc)")
-
-
 def length_stats(df: DataFrame, x: str) -> DataFrame:
-    """min, max, mean, upper median and true median of a numeric column; nulls are left out."""
-    return df.agg(F.min(x).alias("least"), F.max(x).alias("greatest"), F.avg(x).alias("mean"), upper_median(x).cast("long").alias("upper_median"), F.median(x).alias("median"), F.count(x).alias("n"))
+    """min, max, mean, upper median and true median of a numeric column, in one row; nulls are left out."""
+    rows = df.select(F.lit(0).alias("g"), F.col(x).alias("x")).where("x is not null")
+    lower, upper = middle_ranks(F.col("n"))
+    ranked = at_ranks(rows, ["g"], "x", {"lo": lower, "hi": upper}).select("g", "lo", "hi")
+    whole = df.agg(F.min(x).alias("least"), F.max(x).alias("greatest"), F.avg(x).alias("mean"), F.count(x).alias("n")).withColumn("g", F.lit(0))
+    median = ((F.col("lo") + F.col("hi")) / 2).cast("double")
+    return whole.join(ranked, "g", "left").select("least", "greatest", "mean", F.col("hi").cast("long").alias("upper_median"), median.alias("median"), "n")
 
 
-def prefix_pairs(sets: DataFrame, key: str, words: str, t: float, salts: int = 8) -> DataFrame:
+def prefix_pairs(sets: DataFrame, key: str, words: str, t: float, part: int = 2048) -> DataFrame:
     """key_a < key_b, similarity: pairs of rows whose word arrays (distinct) have Jaccard similarity >= t.
 
-    Equal sets collapse to classes first; classes meet on a shared rare word of their prefixes, never
-    by a nested loop; classes' members are joined back. Rows without words are in no pair.
+    Equal sets collapse to classes first; classes meet on a rare word of their prefixes, in bounded
+    cells; the distinct candidates are verified on the words and classes' members are joined back.
+    Rows without words are in no pair.
     """
-    base = sets.where(F.size(words) > 0).select(F.col(key).alias("k"), F.sort_array(words).alias("w")).withColumn("g", F.sha2(F.array_join("w", " "), 256))
-    cls = base.groupBy("g").agg(F.first("w").alias("w"), F.count("*").alias("m"))
-    tok = cls.select("g", F.explode("w").alias("t"))
-    freq = tok.groupBy("t").agg(F.count("*").alias("n")).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    ranked = tok.withColumn("s", F.pmod(F.xxhash64("g"), F.lit(salts)).cast("int")).join(freq, ["t", "s"]).groupBy("g").agg(F.sort_array(F.collect_list(F.struct("n", "t"))).alias("r"))
-    size = F.size("r")
-    keep = (size - F.ceil(size * F.lit(t) - F.lit(1e-9)) + 1).cast("int")
-    # candidates carry digests and sizes only; the words join the distinct pairs
-    rows = ranked.select("g", size.alias("n"), F.explode(F.filter(F.slice("r", F.lit(1), keep), lambda x: x["n"] > 1)).alias("e")).select("g", "n", F.col("e.t").alias("t"))
-    a = rows.select("t", F.col("g").alias("ga"), F.col("n").alias("na"))
-    b = rows.select("t", F.col("g").alias("gb"), F.col("n").alias("nb"))
-    near = a.join(b, "t").where((F.col("ga") < F.col("gb")) & (F.col("na") >= F.col("nb") * t - 1e-9) & (F.col("nb") >= F.col("na") * t - 1e-9)).select("ga", "gb").distinct()
-    near = near.join(cls.select(F.col("g").alias("ga"), F.col("w").alias("wa")), "ga").join(cls.select(F.col("g").alias("gb"), F.col("w").alias("wb")), "gb")
-    pairs = near.withColumn("similarity", jaccard(F.col("wa"), F.col("wb"))).where(F.col("similarity") >= t).select("ga", "gb", "similarity")
-    ma, mb = base.select(F.col("k").alias("a"), F.col("g").alias("ga")), base.select(F.col("k").alias("b"), F.col("g").alias("gb"))
-    across = pairs.join(ma, "ga").join(mb, "gb").select(F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b"), "similarity")
-    many = cls.where("m > 1").select(F.col("g").alias("ga"))
-    within = ma.join(many, "ga", "left_semi").join(mb, F.col("ga") == F.col("gb")).where("a < b").select(F.col("a").alias(f"{key}_a"), F.col("b").alias(f"{key}_b"), F.lit(1.0).alias("similarity"))
+    base = sets.where(F.size(words) > 0).select(F.col(key).alias("k"), F.sort_array(words).alias("w"))
+    base = base.withColumn("g", F.substring(F.unhex(F.sha2(F.array_join("w", " "), 256)), 1, 16))
+    cls = cut_lineage(base.groupBy("g").agg(F.first("w").alias("w"), F.count("*").alias("m")))
+    counts = sets.sparkSession.sparkContext.broadcast(word_counts(cls.select(F.explode("w").alias("w")), sketch_width(cls.count())))
+    near = candidates(cut_lineage(prefix_rows(cls, "g", "w", counts, t)), None, t, part)
+    near = near.join(cls.select(F.col("g").alias("ka"), F.col("w").alias("wa")), "ka").join(cls.select(F.col("g").alias("kb"), F.col("w").alias("wb")), "kb")
+    pairs = near.withColumn("similarity", jaccard(F.col("wa"), F.col("wb"))).where(F.col("similarity") >= t).select("ka", "kb", "similarity")
+    ma, mb = base.select(F.col("k").alias("a"), F.col("g").alias("ka")), base.select(F.col("k").alias("b"), F.col("g").alias("kb"))
+    ends = F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b")
+    across = pairs.join(ma, "ka").join(mb, "kb").select(*ends, "similarity")
+    many = cls.where("m > 1").select(F.col("g").alias("ka"))
+    within = ma.join(many, "ka", "left_semi").join(mb, F.col("ka") == F.col("kb")).where("a < b").select(*ends, F.lit(1.0).alias("similarity"))
     return across.unionByName(within)
 
 
-def best_match(new: DataFrame, new_key: str, corpus: DataFrame, corpus_key: str, text: str, words, t: float) -> DataFrame:
+def best_match(new: DataFrame, new_key: str, corpus: DataFrame, corpus_key: str, text: str, words, t: float, part: int = 2048) -> DataFrame:
     """new_key, corpus_key, similarity, how: an exact copy (by digest) first, else the most similar corpus row >= t (ties: smallest key).
 
-    Candidates meet on the rare-word prefixes of the corpus' word order.
+    Candidates meet on the prefixes of the corpus' word order, in bounded cells; copies on either side
+    stand for one text until the end.
     """
-    n = new.select(F.col(new_key).alias("nk"), F.sha2(F.col(text), 256).alias("h"), words(F.col(text)).alias("w")).where(F.col("h").isNotNull())
-    c = corpus.select(F.col(corpus_key).alias("ck"), F.sha2(F.col(text), 256).alias("h"), words(F.col(text)).alias("w")).where(F.col("h").isNotNull())
-    exact = n.join(c.groupBy("h").agg(F.min("ck").alias("ck")), "h").select("nk", "ck", F.lit(1.0).alias("similarity"), F.lit("exact").alias("how"))
-    rest = n.join(exact.select("nk"), "nk", "left_anti")
-    freq = c.select(F.explode("w").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
-
-    def prefixes(d: DataFrame, k: str) -> DataFrame:
-        r = d.select(k, F.explode("w").alias("t")).join(freq, "t", "left").groupBy(k).agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "t"))).alias("r"))
-        size = F.size("r")
-        head = F.slice("r", F.lit(1), (size - F.ceil(size * t - 1e-9) + 1).cast("int"))
-        # words that the corpus lacks hold their place in the prefix but meet nothing
-        return r.select(k, size.alias("n" + k), F.explode(F.filter(head, lambda x: x["n"] > 0)).alias("e")).select(k, "n" + k, F.col("e.t").alias("t"))
-
-    near = prefixes(rest, "nk").join(prefixes(c, "ck"), "t").where((F.col("nnk") >= F.col("nck") * t - 1e-9) & (F.col("nck") >= F.col("nnk") * t - 1e-9)).select("nk", "ck").distinct()
-    hits = near.join(rest.select("nk", F.col("w").alias("wn")), "nk").join(c.select("ck", F.col("w").alias("wc")), "ck").withColumn("similarity", jaccard(F.col("wn"), F.col("wc"))).where(F.col("similarity") >= t)
-    best = hits.groupBy("nk").agg(F.max(F.struct("similarity", (-F.col("ck")).alias("neg"))).alias("m"))
-    close = best.select("nk", (-F.col("m.neg")).alias("ck"), F.col("m.similarity").alias("similarity"), F.lit("similar").alias("how"))
-    return exact.unionByName(close).select(F.col("nk").alias(new_key), F.col("ck").alias(corpus_key), "similarity", "how")
+    digest = F.sha2(F.col(text), 256)
+    n = new.select(F.col(new_key).alias("nk"), F.col(text).alias("x"), digest.alias("h")).where(F.col("h").isNotNull())
+    c = corpus.select(F.col(corpus_key).alias("ck"), F.col(text).alias("x"), digest.alias("h")).where(F.col("h").isNotNull())
+    texts = cut_lineage(c.groupBy("h").agg(F.min("ck").alias("ck"), F.first("x").alias("x")).select("h", "ck", words(F.col("x")).alias("wc")))
+    wanted = cut_lineage(n.groupBy("h").agg(F.first("x").alias("x")).select("h", words(F.col("x")).alias("wn")))
+    exact = wanted.join(texts.select("h", "ck"), "h").select("h", "ck", F.lit(1.0).alias("similarity"), F.lit("exact").alias("how"))
+    rest = cut_lineage(wanted.join(texts.select("h"), "h", "left_anti"))
+    counts = new.sparkSession.sparkContext.broadcast(word_counts(texts.select(F.explode("wc").alias("w")), sketch_width(texts.count())))
+    # words that the corpus lacks hold their place in the prefix but meet nothing
+    left, right = (cut_lineage(prefix_rows(d, k, w, counts, t, least=1)) for d, k, w in ((rest, "h", "wn"), (texts, "ck", "wc")))
+    near = candidates(left, right, t, part)
+    hits = near.join(rest.withColumnRenamed("h", "ka"), "ka").join(texts.select(F.col("ck").alias("kb"), "wc"), "kb")
+    hits = hits.withColumn("similarity", jaccard(F.col("wn"), F.col("wc"))).where(F.col("similarity") >= t)
+    best = hits.groupBy(F.col("ka").alias("h")).agg(F.max(F.struct("similarity", (-F.col("kb")).alias("neg"))).alias("m"))
+    close = best.select("h", (-F.col("m.neg")).alias("ck"), F.col("m.similarity").alias("similarity"), F.lit("similar").alias("how"))
+    # copies of one new text are spread over parts when they take its match
+    spread = exact.unionByName(close).withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    rows = n.select("nk", "h", F.pmod(F.xxhash64("nk"), F.lit(PARTS)).cast("int").alias("p")).join(spread, ["h", "p"])
+    return rows.select(F.col("nk").alias(new_key), F.col("ck").alias(corpus_key), "similarity", "how")
 
 
 def content_digest(files: DataFrame, key: str, path: str, content: str) -> DataFrame:

@@ -14,6 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from grainmill.functions.scalars import last_by_key
+from grainmill.operators.timestamps import read_instant
+
 #: The names under which producers print a field of the trial record.
 ALIASES = {
     "is_resolved": ["resolved", "solved"],
@@ -27,6 +30,10 @@ ALIASES = {
 TRIAL_FIELDS = ["id", "trial_name", "task_id", "instruction", "is_resolved", "failure_mode", "parser_results", "recording_path", "total_input_tokens",
                 "total_output_tokens", "trial_started_at", "trial_ended_at", "agent_started_at", "agent_ended_at", "test_started_at", "test_ended_at"]
 TYPES = ["boolean", "number", "string", "object", "array"]
+#: Type of each field of the consistent table; fields not named here are text.
+FIELD_TYPES = {"is_resolved": "flag", "parser_results": "statuses", "total_input_tokens": "count", "total_output_tokens": "count"} | {
+    f: "instant" for f in TRIAL_FIELDS if f.endswith("_at")
+}
 
 
 def canonical_name(name: Column, fields: Sequence[str] = TRIAL_FIELDS, aliases: dict[str, list[str]] = ALIASES) -> Column:
@@ -61,24 +68,46 @@ def field_catalogue(df: DataFrame, producer: Sequence[str], file: str, record: s
     return got.select(*producer, F.col("_file").alias(file), "printed", canonical_name(F.col("printed")).alias("field"), "kinds", "n_records")
 
 
-def footer_catalogue(spark, paths: Sequence[str], producer: str) -> DataFrame:
-    """The same catalogue from parquet footers alone: producer, file, printed, kinds; no data page is read."""
-    from pyspark.sql.types import StringType
+def footer_catalogue(files: DataFrame, producer: Sequence[str], file: str, path: str) -> DataFrame:
+    """The same catalogue from parquet footers alone; no data page is read. ``files``: producer, file number or name, path.
+
+    n_records are the rows of the file. Kinds of columns: text, times and bytes are strings, structs
+    and maps are objects. A file whose footer can't be read keeps one row with a null field.
+    """
+    kinds = dict(files.dtypes)
+    held = [*producer, file]
+
+    def kind(t: pa.DataType) -> int:
+        is_ = pa.types
+        if is_.is_boolean(t):
+            return 1
+        if is_.is_struct(t) or is_.is_map(t):
+            return 8
+        if is_.is_list(t) or is_.is_large_list(t):
+            return 16
+        return 2 if is_.is_integer(t) or is_.is_floating(t) or is_.is_decimal(t) else 0 if is_.is_null(t) else 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.parquet as pq
 
         for b in batches:
-            out = []
-            for p in b.column("value").to_pylist():
-                for f in pq.read_schema(p):
-                    t = f.type
-                    kind = 1 if pa.types.is_boolean(t) else 8 if pa.types.is_struct(t) or pa.types.is_map(t) else 16 if pa.types.is_list(t) else 2 if pa.types.is_integer(t) or pa.types.is_floating(t) else 4
-                    out.append((producer, p, f.name, kind))
-            cols = list(zip(*out)) if out else [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.string(), pa.string(), pa.string(), pa.int32()))], names=["producer", "file", "printed", "kinds"])
-
-    return spark.createDataFrame(list(paths), StringType()).mapInArrow(run, "producer string, file string, printed string, kinds int")
+            at, out = [], []
+            for i, p in enumerate(b.column("_path").to_pylist()):
+                try:
+                    footer = pq.read_metadata(p.removeprefix("file://").removeprefix("file:"))
+                    rows = [(f.name, kind(f.type), footer.num_rows) for f in footer.schema.to_arrow_schema()]
+                except (OSError, pa.ArrowInvalid):
+                    rows = []
+                rows = rows or [(None, 0, 0)]
+                at += [i] * len(rows)
+                out += rows
+            cols = list(zip(*out)) if out else [(), (), ()]
+            made = [pa.array(list(c), t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*b.select(held).take(pa.array(at, pa.int64())).columns, *made], names=[*held, "printed", "kinds", "n_records"])
+
+    rows = files.select(*held, F.col(path).alias("_path")).where(F.col("_path").isNotNull())
+    got = rows.mapInArrow(run, ", ".join(f"`{k}` {kinds[k]}" for k in held) + ", printed string, kinds int, n_records long")
+    return got.select(*held, "printed", canonical_name(F.col("printed")).alias("field"), "kinds", "n_records")
 
 
 def schema_changes(catalogue: DataFrame, producer: Sequence[str], file: str) -> DataFrame:
@@ -121,44 +150,49 @@ def field_lifespans(catalogue: DataFrame, producer: Sequence[str], file: str) ->
     return seen.groupBy(*producer, "field", "_island", "printed", "kinds").agg(F.min(file).alias("first_file"), F.max(file).alias("last_file"), F.count("*").alias("n_files")).drop("_island")
 
 
-def consistent_table(df: DataFrame, keep: Sequence[str], record: str) -> DataFrame:
-    """Every valid record under one schema, the casts coming from the alias table. Invalid lines give no row.
+def _statuses(text: Column) -> Column:
+    """Test -> status, from an object or from a list of (test, status); the last of several entries for a test counts."""
+    listed = F.from_json(text, "array<struct<test string, status string>>")
+    named = F.filter(listed, lambda x: x["test"].isNotNull())
+    return F.when(F.ltrim(text).startswith("["), last_by_key(named, "test", "status")).otherwise(F.from_json(text, "map<string,string>"))
 
-    ``extra`` keeps the other fields, and values that their field's cast refuses, as JSON text.
-    """
-    v = F.try_parse_json(F.col(record))
-    rows = df.select(*keep, v.alias("_v"))
-    rows = rows.where(F.schema_of_variant("_v").startswith("OBJECT")).select(*keep, F.expr("cast(_v as map<string, variant>)").alias("_m"))
-    # one lookup map under the record's own names; a null under one name yields to a value under another
-    entries = F.filter(F.map_entries("_m"), lambda e: e["value"].isNotNull() & (F.schema_of_variant(e["value"]) != "VOID"))
-    named = F.transform(entries, lambda e: F.struct(canonical_name(e["key"]).alias("k"), F.to_json(e["value"]).alias("j")))
-    rows = rows.select(*keep, named.alias("_n"))
 
-    def raw(field: str) -> Column:
-        return F.get(F.filter("_n", lambda e: e["k"] == field), F.lit(0))["j"]
+def _flag(text: Column) -> Column:
+    low = F.lower(text)
+    return F.when(low.isin("true", "1", "1.0"), True).when(low.isin("false", "0", "0.0"), False)
 
-    def text(field: str) -> Column:
-        return F.coalesce(F.get_json_object(F.concat(F.lit('{"v":'), raw(field), F.lit("}")), "$.v"), F.lit(None).cast("string"))
 
-    def flag(field: str) -> Column:
-        t = F.lower(text(field))
-        return F.when(t.isin("true", "1", "1.0"), True).when(t.isin("false", "0", "0.0"), False)
+def _count(text: Column) -> Column:
+    return F.regexp_replace(F.coalesce(F.get_json_object(text, "$.count"), text), ",", "").try_cast("long")
 
-    def count(field: str) -> Column:
-        return F.regexp_replace(F.coalesce(F.get_json_object(text(field), "$.count"), text(field)), ",", "").try_cast("long")
 
-    pr = text("parser_results")
-    listed = F.from_json(pr, "array<struct<test string, status string>>")
-    as_map = F.when(F.ltrim(pr).startswith("["), F.map_from_entries(F.transform(F.filter(listed, lambda x: x["test"].isNotNull()), lambda x: F.struct(x["test"], x["status"])))).otherwise(
-        F.from_json(pr, "map<string,string>")
-    )
+def _instant(text: Column) -> Column:
+    """Numbers may be printed with an exponent."""
+    plain = text.try_cast("double").try_cast("decimal(38,6)").cast("string")
+    return read_instant(F.when(text.rlike(r"^[0-9.]+[eE]\+?[0-9]+$"), plain).otherwise(text))
+
+
+CASTS = {"flag": _flag, "count": _count, "statuses": _statuses, "instant": _instant, "text": lambda text: text}
 
-    def instant(field: str) -> Column:
-        t = text(field)
-        return F.when(t.rlike(r"^[0-9.]+(E[0-9]+)?$"), F.timestamp_micros((t.try_cast("double") * 1e6).cast("long"))).otherwise(F.try_to_timestamp(t))
 
-    casts = {"is_resolved": flag, "total_input_tokens": count, "total_output_tokens": count, "parser_results": lambda _: as_map} | {f: instant for f in TRIAL_FIELDS if f.endswith("_at")}
-    rows = rows.select(*keep, "_n", *[casts.get(f, text)(f).alias(f) for f in TRIAL_FIELDS])
-    others = F.filter("_n", lambda e: ~e["k"].isin(*TRIAL_FIELDS))
-    uncast = F.array_compact(F.array(*[F.when(F.col(f).isNull() & raw(f).isNotNull(), F.struct(F.lit(f).alias("k"), raw(f).alias("j"))) for f in TRIAL_FIELDS]))
-    return rows.select(*keep, *TRIAL_FIELDS, F.map_from_entries(F.concat(others, uncast)).alias("extra"))
+def consistent_table(df: DataFrame, keep: Sequence[str], record: str) -> DataFrame:
+    """Every valid record under one schema: a column per field of the trial record, cast as the alias and type tables say.
+
+    ``extra`` keeps, under their printed names and as JSON text, the other fields, values that their
+    field's cast refuses, and further values of a field that a record holds under several names.
+    Invalid lines give no row; a null under one name yields to a value under another.
+    """
+    v = F.try_parse_json(F.col(record))
+    rows = df.select(*keep, v.alias("_v"))
+    rows = rows.where(F.schema_of_variant("_v").startswith("OBJECT")).select(*keep, F.expr("cast(_v as map<string, variant>)").alias("_m"))
+    entries = F.filter(F.map_entries("_m"), lambda e: e["value"].isNotNull() & (F.schema_of_variant(e["value"]) != "VOID"))
+    named = F.transform(entries, lambda e: F.struct(canonical_name(e["key"]).alias("k"), e["key"].alias("p"), F.to_json(e["value"]).alias("j")))
+    rows = rows.select(*keep, named.alias("_n"))
+    first = lambda f: F.get(F.filter("_n", lambda e: e["k"] == f), F.lit(0))
+    rows = rows.select(*keep, "_n", *[first(f).alias(f"_{f}") for f in TRIAL_FIELDS])
+    # the value as text: strings lose their quotes, the rest stays JSON
+    text = lambda f: F.get_json_object(F.concat(F.lit('{"v":'), F.col(f"_{f}.j"), F.lit("}")), "$.v")
+    rows = rows.select(*keep, "_n", *[f"_{f}" for f in TRIAL_FIELDS], *[CASTS[FIELD_TYPES.get(f, "text")](text(f)).alias(f) for f in TRIAL_FIELDS])
+    taken = F.array(*[F.when(F.col(f).isNotNull(), F.col(f"_{f}.p")) for f in TRIAL_FIELDS])
+    others = F.filter("_n", lambda e: ~F.array_contains(F.array_compact(taken), e["p"]))
+    return rows.select(*keep, *TRIAL_FIELDS, F.map_from_entries(F.transform(others, lambda e: F.struct(e["p"], e["j"]))).alias("extra"))

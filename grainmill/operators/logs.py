@@ -1,9 +1,11 @@
 """Semi-structured log text -> entries with time, level, component and message.
 
-Literal anchors of all layouts sit in one Aho-Corasick automaton. One pass over a text retrieves,
-per line, the layouts whose anchors it holds; only their anchored expressions are then tried, and
-the first that verifies extracts the fields. Lines without a header join the entry before them up
-to the next blank line. Runs inside Arrow batches, so no shuffle is needed and text streams through.
+One Aho-Corasick automaton holds the level words and the literal anchors of all layouts. One pass
+over a text retrieves, per line, the layouts whose anchor it holds beside a level word; only their
+anchored expressions are then tried, and the first that verifies extracts the fields. After the known
+layouts two open ones take any line that begins with a time and a level, in either order. Lines
+without a header join the entry before them up to the next blank line. Runs inside Arrow batches, so
+no shuffle is needed and text streams through.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainmill.operators.timestamps import read_instant
+
 #: Level words and letters of logging programs.
 LEVELS = {
     "trace": "DEBUG", "trc": "DEBUG", "debug": "DEBUG", "dbg": "DEBUG",
@@ -34,6 +38,10 @@ _D, _T = r"\d{4}-\d\d-\d\d", r"\d\d:\d\d:\d\d"
 _Z = r"(?:Z|[+-]\d\d:?\d\d)?"
 _C = r"(?P<component>[^\s\[\]():|]+)"
 _M = r"(?P<message>.*)"
+# parts of the open layouts: any printed time, what may stand between fields, a named logger
+_ANY = rf"(?:\d{{4}}[-/]\d\d[-/]\d\d[T ]|\d\d/[A-Z][a-z]{{2}}/\d{{4}}[: ]|(?:[A-Z][a-z]{{2}} )?[A-Z][a-z]{{2}} [ \d]\d )?{_T}(?:[.,]\d+)? ?{_Z}|\d{{10}}(?:\.\d+)?|\d{{13}}|\d{{16}}"
+_SEP = r"(?:[ \t]+(?:[|\-:][ \t]+)?|[|:][ \t]*)"
+_NAMED = r"(?P<component>[A-Za-z_][\w.\-/]*)(?:\[\d+\]|:\d+)?"
 #: layout -> (literal that every line of the layout holds, expression anchored at the line's start)
 LAYOUTS: dict[str, tuple[str, str]] = {
     "iso_bracket": ("] ", rf"{_A}(?P<time>{_D}T{_T}(?:[.,]\d+)?{_Z}){_A} \[{_L}\] {_C}: {_M}"),
@@ -46,8 +54,10 @@ LAYOUTS: dict[str, tuple[str, str]] = {
     "server": ("#", rf"(?P<time>\d{{4}}/\d\d/\d\d {_T}) \[{_L}\] \d+#\d+: {_M}"),
     "thread": (" [", rf"(?P<time>{_T}[.,]\d+) \[[^\]]+\] {_L}(?<= )(?P<component>\S+) - {_M}"),
     "level_first": (" (", rf"{_L}(?<= )(?P<time>{_D}T{_T}(?:[.,]\d+)?{_Z}) \((?P<component>[^\s()]+)\) {_M}"),
+    "time_first": ("", rf"{_A}[\[(]?(?P<time>{_ANY}){_A}[\])]?{_SEP}(?:\[\d+\] )?[\[(<]?{_L}[\])>]?{_SEP}(?:{_NAMED}(?:: | - ))?{_M}"),
+    "level_time": ("", rf"[\[(<]?{_L}[\])>]?{_SEP}[\[(]?(?P<time>{_ANY}){_A}[\])]?{_SEP}(?:{_NAMED}(?:: | - ))?{_M}"),
     "key_value": ("level=", r"(?P<pairs>(?:[A-Za-z_.@]+=(?:\"(?:[^\"\\]|\\.)*\"|\S*)(?:\s+|$))+)$"),
-    "json": ('{"', r"(?P<object>\{.*\})\s*$"),
+    "json": ("{", r"(?P<object>\{.*\})\s*$"),
 }
 _PAIR = re.compile(r'([A-Za-z_.@]+)=("(?:[^"\\]|\\.)*"|\S*)')
 #: The keys that structured lines use for each field.
@@ -61,14 +71,21 @@ _CLOCK = re.compile(r"\d\d:\d\d(:\d\d)?|^\d{9,19}(\.\d+)?$")
 ENTRY = "first_line int, last_line int, layout string, log_time string, log_level string, component string, message string"
 
 
+#: Layouts whose level isn't a word of the line.
+_WORDLESS = ("letter_file",)
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")  # keeps positions, unlike str.lower
+
+
 def _automaton():
+    """The literals with the layouts they route to; a level word sets the bit after the last layout."""
     import ahocorasick
 
-    a, by_anchor = ahocorasick.Automaton(), {}
+    a, masks = ahocorasick.Automaton(), {w: 1 << len(LAYOUTS) for w in LEVELS}
     for i, (anchor, _) in enumerate(LAYOUTS.values()):
-        by_anchor[anchor] = by_anchor.get(anchor, 0) | 1 << i
-    for anchor, mask in by_anchor.items():
-        a.add_word(anchor, mask)
+        if anchor:
+            masks[anchor] = masks.get(anchor, 0) | 1 << i
+    for word, mask in masks.items():
+        a.add_word(word, mask)
     a.make_automaton()
     return a
 
@@ -105,6 +122,10 @@ class LogParser:
 
     def __init__(self) -> None:
         self.automaton = _automaton()
+        self.word = 1 << len(LAYOUTS)
+        bits = {name: 1 << i for i, name in enumerate(LAYOUTS)}
+        self.open = sum(bits[name] for name, (anchor, _) in LAYOUTS.items() if not anchor)
+        self.wordless = sum(bits[name] for name in _WORDLESS)
         self.layouts = [(name, re.compile(expr, re.IGNORECASE if name not in ("letter_file", "syslog") else 0)) for name, (_, expr) in LAYOUTS.items()]
 
     def entries(self, text: str) -> list[tuple]:
@@ -114,13 +135,14 @@ class LogParser:
             starts.append(at)
             at += len(line) + 1
         routed: dict[int, int] = {}
-        for end, mask in self.automaton.iter(text):
+        for end, mask in self.automaton.iter(text.translate(_LOWER)):
             n = bisect_right(starts, end) - 1
             routed[n] = routed.get(n, 0) | mask
         out: list[list] = []
         open_entry = False
         for n, line in enumerate(lines):
             mask, got = routed.get(n, 0), None
+            mask = (mask | self.open) & ~self.word if mask & self.word else mask & self.wordless
             bare = line.rstrip("\r")
             while mask and got is None:
                 low = mask & -mask
@@ -138,8 +160,28 @@ class LogParser:
         return [tuple(x) for x in out]
 
 
-def parse_log_entries(df: DataFrame, keys: Sequence[str], texts: dict[str, Column]) -> DataFrame:
-    """One row per log entry: ``keys``, stream_name, first_line, last_line, layout, log_time, log_level, component, message.
+def entry_instant(time: Column, recorded: Column) -> Column:
+    """The instant of a printed log time; no zone means UTC.
+
+    A time without a year or a date is the latest such time that isn't after ``recorded`` (by more
+    than a day, where only the year is missing); null where ``recorded`` is.
+    """
+    t = F.trim(time)
+    day, clock = F.date_format(recorded, "yyyy-MM-dd"), r"\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?"
+    short = read_instant(F.concat(day, F.lit(" "), t))
+    short = F.when(short > recorded, short - F.expr("interval 1 day")).otherwise(short)
+    year = F.year(recorded)
+    letters = F.regexp_replace(t, rf"^(\d\d)(\d\d) ({clock})$", "$1/$2/Y $3")
+    letters = F.regexp_replace(letters, rf"^(?:[A-Z][a-z]{{2}} )?([A-Z][a-z]{{2}}) +(\d{{1,2}}) ({clock})$", "$2 $1 Y $3")
+    dated = lambda y: read_instant(F.regexp_replace(letters, "Y", y.cast("string")))
+    yearless = F.when(dated(year) > recorded + F.expr("interval 1 day"), dated(year - 1)).otherwise(dated(year))
+    full = F.regexp_replace(t, r"^(\d\d)/([A-Z][a-z]{2})/(\d{4})[: ]", "$1 $2 $3 ")
+    return F.when(t.rlike(rf"^{clock}$"), short).when(t.rlike(rf"^(\d{{4}}|([A-Z][a-z]{{2}} )?[A-Z][a-z]{{2}} [ \d]\d) {clock}$"), yearless).otherwise(read_instant(full))
+
+
+def parse_log_entries(df: DataFrame, keys: Sequence[str], texts: dict[str, Column], recorded: str | None = None) -> DataFrame:
+    """One row per log entry: ``keys``, stream_name, first_line, last_line, layout, log_time, log_level, component, message; with
+    ``recorded``, the name of the time at which a text was written, also ``at``, the entry's instant (see ``entry_instant``).
 
     ``texts`` names the text columns to read. Lines count from 1, split at a line feed. A first line
     whose front was cut off matches no anchored expression and so starts no entry. Null and empty
@@ -147,9 +189,10 @@ def parse_log_entries(df: DataFrame, keys: Sequence[str], texts: dict[str, Colum
     length is read whole.
     """
     pairs = F.array(*[F.struct(F.lit(k).alias("stream_name"), c.alias("_text")) for k, c in texts.items()])
-    rows = df.select(*[F.col(k) for k in keys], F.inline(pairs)).where(F.col("_text").isNotNull() & (F.col("_text") != ""))
+    when = [F.col(recorded).cast("timestamp").alias("_recorded")] if recorded else []
+    rows = df.select(*[F.col(k) for k in keys], *when, F.inline(pairs)).where(F.col("_text").isNotNull() & (F.col("_text") != ""))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    held = [*keys, "stream_name"]
+    held = [*keys, *(["_recorded"] if recorded else []), "stream_name"]
     schema = ", ".join(f"`{k}` {kinds[k]}" for k in held) + ", " + ENTRY
     names = [x.split()[0] for x in ENTRY.split(", ")]
 
@@ -166,4 +209,5 @@ def parse_log_entries(df: DataFrame, keys: Sequence[str], texts: dict[str, Colum
             kinds_out = [pa.int32(), pa.int32()] + [pa.string()] * 5
             yield pa.RecordBatch.from_arrays([*kept.columns, *[pa.array(list(c), t) for c, t in zip(cols, kinds_out)]], names=[*held, *names])
 
-    return rows.mapInArrow(run, schema)
+    got = rows.mapInArrow(run, schema)
+    return got.withColumn("at", entry_instant(F.col("log_time"), F.col("_recorded"))).drop("_recorded") if recorded else got

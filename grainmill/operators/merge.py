@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainmill.session import cut_lineage
+
 
 def last_wins(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` per key, by a partial aggregation rather than a window. Null order comes first."""
@@ -69,21 +71,23 @@ def by_precedence(base: DataFrame, layers: Sequence[DataFrame], key: str, fields
     return out.select(key, *[F.coalesce(*[F.col(f"_{i}_{f}") for i in range(len(layers))]).alias(f) for f in fields])
 
 
-def contains_match(left: DataFrame, left_key: str, pattern: str, right: DataFrame, name: str, gram: int = 6) -> DataFrame:
+def contains_match(left: DataFrame, left_key: str, pattern: str, right: DataFrame, name: str, parts: int = 32) -> DataFrame:
     """left_key with the first ``name`` (in order) that contains its ``pattern``, without a nested-loop join.
 
-    A contained pattern's first ``gram`` characters are a substring of the name, so names are exploded
-    into their substrings of that length and met by equality; the containment is then checked. Patterns
-    shorter than ``gram`` meet the substrings of their own length. Empty and null patterns match nothing.
+    Names are exploded into their substrings of the lengths that patterns have and meet the distinct
+    patterns by equality, so every meeting is a match. Rows of a frequent pattern are spread over
+    ``parts`` when they take its match. Empty and null patterns match nothing.
     """
-    short = F.least(F.length(pattern), F.lit(gram))
-    lhs = left.where(F.length(pattern) > 0).select(left_key, F.col(pattern).alias("_p"), F.substring(F.col(pattern), F.lit(1), short).alias("_g"))
+    lhs = left.where(F.length(pattern) > 0).select(left_key, F.col(pattern).alias("_p"))
+    patterns = cut_lineage(lhs.select("_p").distinct())
+    # as many lengths as the longest pattern has characters
+    lengths = [r[0] for r in patterns.select(F.length("_p")).distinct().collect()]
     names = right.select(F.col(name).alias("_n")).where(F.length("_n") > 0).distinct()
-    lengths = F.sequence(F.lit(1), F.least(F.length("_n"), F.lit(gram)))
-    grams = names.withColumn("_l", F.explode(lengths))
-    grams = grams.withColumn("_g", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_n") - F.col("_l") + 1), lambda i: F.substring(F.col("_n"), i, F.col("_l"))))))
-    hits = lhs.join(grams.select("_n", "_g"), "_g").where(F.col("_n").contains(F.col("_p")))
-    return hits.groupBy(left_key).agg(F.min("_n").alias(name))
+    sized = F.filter(F.array(*[F.lit(x) for x in sorted(lengths)]).cast("array<int>"), lambda x: x <= F.length("_n"))
+    pieces = F.flatten(F.transform(sized, lambda x: F.transform(F.sequence(F.lit(1), F.length("_n") - x + 1), lambda i: F.substring(F.col("_n"), i, x))))
+    hits = names.select("_n", F.explode(F.array_distinct(pieces)).alias("_p")).join(patterns, "_p").groupBy("_p").agg(F.min("_n").alias(name))
+    spread = hits.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return lhs.withColumn("_s", F.pmod(F.xxhash64(left_key), F.lit(parts)).cast("int")).join(spread, ["_p", "_s"]).select(left_key, name)
 
 
 def basename_match(wanted: DataFrame, key: Sequence[str], file: str, files: DataFrame, path: str) -> DataFrame:
@@ -112,8 +116,9 @@ def tripped(df: DataFrame, order: str, failing: Column, group: Sequence[str] = (
 
     The earliest failing position is aggregated per group and joined back, so no group is sorted in one task.
     """
-    keys = list(group) or ["_all"]
-    rows = df if group else df.withColumn("_all", F.lit(1))
-    first = rows.where(failing).groupBy(*keys).agg(F.min(order).alias("_first"))
-    out = rows.join(first, keys, "left").withColumn("skipped", F.coalesce(F.col(order) > F.col("_first"), F.lit(False)))
+    if not group:
+        at = df.where(failing).agg(F.min(order)).first()[0]  # one value
+        return df.withColumn("skipped", F.coalesce(F.col(order) > F.lit(at), F.lit(False)))
+    first = df.where(failing).groupBy(*group).agg(F.min(order).alias("_first"))
+    out = df.join(first, list(group), "left").withColumn("skipped", F.coalesce(F.col(order) > F.col("_first"), F.lit(False)))
     return out.select(*df.columns, "skipped")

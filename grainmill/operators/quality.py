@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainmill.functions.scalars import line_count, test_functions
+from grainmill.operators.ranks import at_ranks, middle_ranks
 
 
 def unpivoted(df: DataFrame, key: str, metrics: Sequence[str]) -> DataFrame:
@@ -17,8 +18,12 @@ def unpivoted(df: DataFrame, key: str, metrics: Sequence[str]) -> DataFrame:
 
 
 def cohort_stats(df: DataFrame, key: str, metrics: Sequence[str]) -> DataFrame:
-    """metric, n, least, greatest, mean, median of every metric, in one pass over the rows."""
-    return unpivoted(df, key, metrics).groupBy("metric").agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("greatest"), F.avg("value").alias("mean"), F.median("value").alias("median"))
+    """metric, n, least, greatest, mean, median of every metric; a metric without values has no row."""
+    rows = unpivoted(df, key, metrics)
+    lower, upper = middle_ranks(F.col("n"))
+    middle = at_ranks(rows, ["metric"], "value", {"lo": lower, "hi": upper}).select("metric", ((F.col("lo") + F.col("hi")) / 2).alias("median"))
+    plain = rows.groupBy("metric").agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("greatest"), F.avg("value").alias("mean"))
+    return plain.join(middle, "metric")
 
 
 def compare_cohorts(a: DataFrame, b: DataFrame, key: str, metrics: Sequence[str]) -> DataFrame:

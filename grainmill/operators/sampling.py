@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from grainmill.session import cut_lineage
+
 
 def uniform(seed: int, *keys: str) -> Column:
     """A number in (0, 1) from the MD5 of seed and keys: the same in every engine."""
@@ -52,6 +54,7 @@ def budgeted(df: DataFrame, budget: int, group: str, score: str, size: str, key:
     fit = df.where((F.col(size) > 0) & (F.col(size) <= budget)).select(F.col(group).alias("g"), F.col(score).alias("s"), F.col(size).cast("long").alias("z"), F.col(key).alias("k"))
     best = fit.groupBy("g").agg(F.max_by("k", F.struct("s", -F.col("k"))).alias("b"))
     ranked = fit.join(best, "g").withColumn("o", F.struct((F.col("k") != F.col("b")).alias("later"), F.when(F.col("k") == F.col("b"), F.col("g")).alias("g"), (-F.col("s")).alias("s"), "k"))
+    ranked = cut_lineage(ranked.select("o", "z", "k"))  # written once, every wave starts from it
     left, chosen, at = budget, [], None
     while True:
         rest = ranked.where(F.col("z") <= left)

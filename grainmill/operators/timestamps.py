@@ -106,6 +106,44 @@ def _epoch_us(v: Column) -> Column:
     ).otherwise(scaled)
 
 
+def _month(name: Column) -> Column:
+    """The number of a printed month, by number or by the first letters of its English name."""
+    low = F.lower(name)
+    at = F.call_function("locate", F.substring(low, 1, 3), F.lit(MONTHS))
+    return F.when(low.rlike("^[a-z]"), F.when((at > 0) & (at % 3 == 1), ((at + 2) / 3).cast("int"))).otherwise(name.try_cast("int"))
+
+
+def read_instant(value: Column, zone: Column | None = None) -> Column:
+    """The one reading of a printed time under fixed conventions, as a column: slashes month first (year first if it has four
+    digits), dots day first, no zone means ``zone`` or UTC. Null where the value denotes no instant."""
+    v = F.regexp_replace(F.trim(value), r"^(\d{4})/(\d{2})/(\d{2})", "$1-$2-$3")
+    zone = F.coalesce(zone if zone is not None else F.lit(None).cast("string"), F.lit("UTC"))
+    names = F.create_map(*[F.lit(x) for k, z in ZONE_OFFSETS.items() for x in (k, z[0])])
+
+    def build(p: Column, kind: str) -> Column:
+        part = lambda i: F.get(p, F.lit(i))
+        month, day = (part(2), part(1)) if kind == "dot" else (part(1), part(2))
+        hour = part(3).try_cast("int")
+        half = F.lower(part(7))
+        hour = F.when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "pm", 12).otherwise(0))
+        second = F.concat(F.coalesce(F.nullif(part(5), F.lit("")), F.lit("0")), F.lit("."), F.rpad(F.substring(part(6), 1, 6), 6, "0")).try_cast("decimal(16,6)")
+        z, digits = part(8), F.regexp_replace(part(8), "[^0-9]", "")
+        offset = F.concat(F.substring(z, 1, 1), F.substring(digits, 1, 2), F.lit(":"), F.rpad(F.substring(digits, 3, 2), 2, "0"))
+        tz = F.when(z == "", zone).when(F.upper(z) == "Z", "+00:00").when(z.startswith("["), F.regexp_extract(z, r"^\[(.+)\]$", 1)).when(z.rlike("^[+-]"), offset)
+        tz = F.coalesce(tz, F.try_element_at(names, F.upper(z)))
+        return F.when(F.size(p) == 9, F.try_make_timestamp(part(0).try_cast("int"), _month(month), day.try_cast("int"), hour, part(4).try_cast("int"), second, tz))
+
+    # the value and its kind are bound once, then its parts
+    def read(x: Column) -> Column:
+        out = F.when(x["k"] == "epoch", F.timestamp_micros(_epoch_us(x["v"])))
+        for kind in FORMATS:
+            one = F.get(F.transform(F.array(_parts(x["v"], kind)), lambda p: build(p, kind)), F.lit(0))
+            out = out.when(x["k"] == kind, one)
+        return out
+
+    return F.get(F.transform(F.array(F.struct(v.alias("v"), _kind(v).alias("k"))), read), F.lit(0))
+
+
 def interpretations(
     df: DataFrame,
     value: str,
@@ -130,13 +168,6 @@ def interpretations(
     ok = F.size("_p") == 9
     p = lambda i: F.when(ok, F.get("_p", F.lit(i)))
 
-    def number_or_month(i: int) -> Column:
-        name = F.lower(p(i))
-        at = F.call_function("locate", F.substring(name, 1, 3), F.lit(MONTHS))
-        return F.when(name.rlike("^[a-z]"), F.when((at > 0) & (at % 3 == 1), ((at + 2) / 3).cast("int"))).otherwise(
-            p(i).try_cast("int")
-        )
-
     hour = p(3).try_cast("int")
     ampm = F.lower(p(7))
     hour = (
@@ -146,8 +177,8 @@ def interpretations(
     df = df.select(
         "*",
         p(0).try_cast("int").alias("_y"),
-        number_or_month(1).alias("_a"),
-        number_or_month(2).alias("_b"),
+        _month(p(1)).alias("_a"),
+        _month(p(2)).alias("_b"),
         hour.alias("_h"),
         p(4).try_cast("int").alias("_mi"),
         (F.coalesce(F.nullif(p(5), F.lit("")), F.lit("0")).try_cast("int") * F.lit(1_000_000)

@@ -22,8 +22,11 @@ def tests_passed(results: Column) -> tuple[Column, Column]:
 
 
 def pass_at_k(n: Column, c: Column, k: Column) -> Column:
-    """Unbiased estimate 1 - prod(1 - k / i) for i in n-c+1..n; 1 if fewer than k attempts failed, 0 if none passed."""
-    fold = F.aggregate(F.sequence(n - c + 1, n), F.lit(1.0), lambda acc, i: acc * (1.0 - k / i))
+    """Unbiased estimate 1 - prod((n - c - j) / (n - j)) for j < k; 1 if fewer than k attempts failed, 0 if none passed.
+
+    k terms, whatever the number of passes: a task may hold a third of all attempts.
+    """
+    fold = F.aggregate(F.sequence(F.lit(0).cast("long"), k.cast("long") - 1), F.lit(1.0), lambda acc, j: acc * ((n - c - j) / (n - j)))
     return F.when(c == 0, 0.0).when(n - c < k, 1.0).otherwise(1.0 - fold)
 
 

@@ -36,9 +36,10 @@ def p3_inferred(spark: SparkSession, d: str) -> DataFrame:
     return got.where("not canonical").select("table_name", "row_id", "field_name", "epoch_us").distinct()
 
 
-def _log_entries(spark: SparkSession, d: str) -> DataFrame:
+def _log_entries(spark: SparkSession, d: str, recorded: str | None = None) -> DataFrame:
     w = "details.without_solution."
-    return parse_log_entries(table(spark, d, "validation_attempts"), ["attempt_id"], {"stdout": F.col(w + "stdout_tail"), "stderr": F.col(w + "stderr_tail")})
+    texts = {"stdout": F.col(w + "stdout_tail"), "stderr": F.col(w + "stderr_tail")}
+    return parse_log_entries(table(spark, d, "validation_attempts"), ["attempt_id"], texts, recorded)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -47,8 +48,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_fields(spark: SparkSession, d: str) -> DataFrame:
-    """All fields of every entry: layout, printed time, level, component, message."""
-    return _log_entries(spark, d)
+    """All fields of every entry: layout, printed time and instant, level, component, message."""
+    return _log_entries(spark, d, "recorded_at")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

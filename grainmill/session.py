@@ -38,6 +38,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     current = sc._jsc.sc().getCheckpointDir()
+    # what no frame refers to any more is deleted; read when a checkpoint is written, so it may be set now
+    sc._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if current.isDefined():
         return current.get()
     if not named:

@@ -8,7 +8,7 @@ from brute_times import read
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grainmill.operators.drift import canonical_name, consistent_table, field_catalogue, field_lifespans, footer_catalogue, schema_changes
+from grainmill.operators.drift import TRIAL_FIELDS, canonical_name, consistent_table, field_catalogue, field_lifespans, footer_catalogue, schema_changes
 from grainmill.operators.logs import parse_log_entries
 from grainmill.operators.nested import unnest_reports
 from grainmill.operators.timestamps import normalize_timestamps, viterbi
@@ -57,6 +57,42 @@ def test_log_edges(spark):
     assert parse(spark, []).count() == 0
 
 
+OPEN = """2025-01-01 00:00:00 INFO root: x
+[12:00:00] INFO app: y
+12:00:00 WARN z
+
+{ "ts": "2025-01-01T00:00:00Z", "level": "info", "msg": "m" }
+INFO: [2025-01-01T00:00:00Z] a.b - hello
+1741488979 error | disk full
+at 12:00:00 INFO no
+12:00:00 informative text
+ERROR at column 3"""
+
+
+def test_log_open_layouts(spark):
+    got = [tuple(r) for r in parse(spark, [OPEN]).orderBy("first_line").select("first_line", "last_line", "log_level", "component", "message").collect()]
+    assert got == [
+        (1, 1, "INFO", "root", "x"), (2, 2, "INFO", "app", "y"), (3, 3, "WARNING", "", "z"), (5, 5, "INFO", "", "m"), (6, 6, "INFO", "a.b", "hello"),
+        (7, 10, "ERROR", "", "disk full\nat 12:00:00 INFO no\n12:00:00 informative text\nERROR at column 3"),
+    ]
+
+
+def test_log_instants(spark):
+    from grainmill.operators.logs import entry_instant
+
+    cases = [
+        ("2025-04-14 07:15:03,347", "2025-04-14 07:15:03.347"), ("2025-04-14T07:15:03.5+02:00", "2025-04-14 05:15:03.5"), ("1741488979.271", "2025-03-09 02:56:19.271"),
+        ("2025/04/05 06:16:12", "2025-04-05 06:16:12"), ("0105 12:38:53.486787", "2025-01-05 12:38:53.486787"), ("1231 12:38:53.486787", "2024-12-31 12:38:53.486787"),
+        ("Jan  5 12:38:53", "2025-01-05 12:38:53"), ("Dec 31 23:00:00", "2024-12-31 23:00:00"), ("09:59:59.5", "2025-01-05 09:59:59.5"), ("10:00:01", "2025-01-04 10:00:01"),
+        ("05/Jan/2025:10:00:00 +0000", "2025-01-05 10:00:00"), ("1399 12:38:53.0", None), ("soon", None), (None, None),
+    ]
+    df = spark.createDataFrame(cases, "t string, want string").withColumn("rec", F.lit("2025-01-05 10:00:00").cast("timestamp"))
+    got = df.select("t", entry_instant(F.col("t"), F.col("rec")).cast("string").alias("got"), F.col("want").cast("timestamp").cast("string").alias("want")).collect()
+    assert [(r.t, r.got) for r in got] == [(r.t, r.want) for r in got]
+    none = spark.createDataFrame([("10:00:01",), ("2025-04-14 07:15:03",)], "t string").select(entry_instant(F.col("t"), F.lit(None).cast("timestamp")).alias("x")).collect()
+    assert none[0].x is None and none[1].x is not None
+
+
 def test_p3_whole_tables(spark, data):
     want = set()
     for t, k, fs in (("trials", "trial_key", ("agent_started_at", "agent_ended_at")), ("task_status", "status_id", ("updated_at",))):
@@ -171,9 +207,51 @@ def test_canonical_names(spark):
 
 
 def test_footers(spark, tmp_path):
-    spark.range(3).select("id", F.col("id").cast("string").alias("s"), F.array("id").alias("a")).coalesce(1).write.parquet(str(tmp_path / "x"))
-    files = [str(p) for p in (tmp_path / "x").glob("*.parquet")]
-    assert {(r.printed, r.kinds) for r in footer_catalogue(spark, files, "p").collect()} == {("id", 2), ("s", 4), ("a", 16)}
+    """Footers feed the same change log as records do."""
+    df = spark.range(3).select("id", F.col("id").cast("string").alias("solved"), F.array("id").alias("a"), F.struct("id").alias("o"))
+    df.coalesce(1).write.parquet(str(tmp_path / "1"))
+    df.select("id", (F.col("id") > 0).alias("is_resolved"), F.col("id").cast("timestamp").alias("t"), F.lit(1.5).alias("x")).coalesce(1).write.parquet(str(tmp_path / "2"))
+    (tmp_path / "3.parquet").write_text("broken")
+    paths = [("p", n, str(next((tmp_path / str(n)).glob("*.parquet")))) for n in (1, 2)] + [("p", 3, str(tmp_path / "3.parquet")), ("p", 4, None)]
+    cat = footer_catalogue(spark.createDataFrame(paths, "s string, f int, path string"), ["s"], "f", "path")
+    assert {tuple(r) for r in cat.where("f < 3").collect()} == {
+        ("p", 1, "id", "id", 2, 3), ("p", 1, "solved", "is_resolved", 4, 3), ("p", 1, "a", "a", 16, 3), ("p", 1, "o", "o", 8, 3),
+        ("p", 2, "id", "id", 2, 3), ("p", 2, "is_resolved", "is_resolved", 1, 3), ("p", 2, "t", "t", 4, 3), ("p", 2, "x", "x", 2, 3),
+    }
+    assert {tuple(r)[1:] for r in schema_changes(cat.where("f < 3"), ["s"], "f").collect()} == {
+        (2, "is_resolved", "renamed"), (2, "is_resolved", "retyped"), (2, "a", "removed"), (2, "o", "removed"), (2, "t", "added"), (2, "x", "added"),
+    }
+    assert {tuple(r)[1:] for r in schema_changes(cat, ["s"], "f").where("f = 3").collect()} == {(3, k, "removed") for k in ("id", "is_resolved", "t", "x")}
+    assert cat.columns == field_catalogue(spark.createDataFrame([("p", 1, "{}")], "s string, f int, j string"), ["s"], "f", "j").columns
+
+
+def test_consistent_table_reads_odd_values(spark):
+    forms = {
+        "agent_started_at": 1741064767123, "agent_ended_at": "03/04/2025 05:06:07 PM", "trial_started_at": "Tue Mar  4 17:06:07 2025", "trial_ended_at": "20250304-170607",
+        "test_started_at": "04.03.2025 17:06:07", "test_ended_at": "2025-13-04 17:06:07",
+    }
+    tests = [{"test": "a", "status": "passed"}, {"test": "b", "status": "passed"}, {"test": "a", "status": "failed"}, {"test": None, "status": "x"}]
+    docs = [{**forms, "parser_results": tests}, {"solved": "maybe", "is_resolved": True, "isResolved": False}, {"agent_start": 1.741064767e9}, {}]
+    df = spark.createDataFrame([(i, json.dumps(x)) for i, x in enumerate(docs)] + [(8, "[1]"), (9, None)], "s long, j string").withColumn("extra", F.lit("clash"))
+    got = consistent_table(df, ["s"], "j").withColumns({c: F.unix_micros(c) for c in TRIAL_FIELDS if c.endswith("_at")}).orderBy("s").collect()
+    assert [r.s for r in got] == [0, 1, 2, 3]
+    at = us("2025-03-04 17:06:07")
+    assert (got[0].agent_started_at, got[0].agent_ended_at, got[0].trial_started_at, got[0].trial_ended_at, got[0].test_started_at, got[0].test_ended_at) == (1741064767123000, at, at, at, at, None)
+    assert got[0].parser_results == {"a": "failed", "b": "passed"} and got[0].extra == {"test_ended_at": '"2025-13-04 17:06:07"'}
+    # the first name in order gives the value, nothing of the others is lost
+    assert got[1].is_resolved is False and got[1].extra == {"is_resolved": "true", "solved": '"maybe"'}
+    assert got[2].agent_started_at == 1741064767000000 and got[3].extra == {}
+
+
+def test_read_instant_agrees_with_the_sequences(spark, data):
+    """The single reading equals the decoded one wherever the conventions decide."""
+    from grainmill.operators.timestamps import read_instant
+
+    rows_ = general._printed_times(spark, data)
+    one = rows_.select("table_name", "row_id", "field_name", F.unix_micros(read_instant(F.col("value"), F.col("host_tz"))).alias("us")).where("us is not null")
+    want = {tuple(r) for r in general.p3_found(spark, data).collect()}
+    got = {tuple(r) for r in one.collect()}
+    assert len(want - got) == 0
 
 
 @pytest.mark.parametrize("name", ["p4_trials", "p6_table"])
