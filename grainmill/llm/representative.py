@@ -15,12 +15,18 @@ per field is kept. Probabilities stay in log space, so any number of sources may
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainmill.operators.setjoin import word_counts
 from grainmill.session import cut_lineage
 
+#: Counters of the sketch that finds crowded groups.
+SKETCH = 1 << 16
+
 VALUES = ["task_dir", "failed_stage", "classification", "passes", "total", "pass_rate"]
 
 
@@ -51,8 +57,10 @@ def choose_rows(df: DataFrame, group: Sequence[str], row_id: str, recorded: str,
 
 #: Sources of a pattern by position, and the values stated by the same set of sources: a number for the set, its positions, how many.
 UNIT = "struct<field: string, present: array<string>, sets: array<struct<item: bigint, at: array<int>, m: bigint>>>"
-#: Rows of source quality, one per field and source, up to which they are broadcast to the patterns; beyond they are joined by shuffle.
+#: Rows of source quality (one per field and source) and of patterns up to which they are broadcast; beyond they are joined by shuffle.
 FEW = 100_000
+#: Rows from which a group is spread over tasks.
+HOT_ROWS = 50_000
 #: Patterns of a partition.
 PART_ROWS = 20_000
 _HIDDEN = "\u0000"  # the field under which every row states that its source is present
@@ -66,27 +74,42 @@ def _facts(df: DataFrame, single: Sequence[str], multi: Sequence[str]) -> Column
     return F.filter(F.concat(F.array(here, *stated), *lists), lambda f: f["value"].isNotNull())
 
 
-def _statements(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source: str, single: Sequence[str], multi: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(values: g, field, value, claims of multi-valued fields; groups: g, names, present, sets).
+def _statements(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source: str, single: Sequence[str], multi: Sequence[str], hot: int) -> DataFrame:
+    """g, names, present, sets: a row per group with the sets of sources that state its values.
 
-    One row per distinct value of a group carries the sources that state it and its latest row; rows
-    of equal value meet by partial aggregation. Values of a field stated by the same sources are then
-    counted, with the latest of them, so a group's row holds its sets of sources, not its values.
+    ``g`` is 128 bits of a digest of the group's columns, so that long keys travel once. Values of a
+    field stated by the same sources are counted, with the latest of them; only multi-valued fields
+    list them, as the result does. A group's rows meet in one exchange. Groups that may have more than
+    ``hot`` rows, by a count sketch of fixed size, never gather: their equal values, then their equal
+    sets of sources meet by partial aggregation.
     """
     names = F.struct(*group)
-    facts = df.select(
+    rows = df.select(
         F.unhex(F.md5(F.to_json(names))).alias("g"), names.alias("names"), F.coalesce(F.col(source), F.lit("")).alias("src"),
-        F.struct(F.col(recorded).alias("t"), F.col(row_id).alias("id")).alias("last"), F.inline(_facts(df, single, multi)),
-    ).withColumn("names", F.when(F.col("field") == _HIDDEN, F.col("names")))
-    values = facts.groupBy("g", "field", "value").agg(F.sort_array(F.collect_set("src")).alias("claims"), F.max("last").alias("last"), F.max("names").alias("names"))
-    values = cut_lineage(values)
-    sets = values.groupBy("g", "field", "claims").agg(F.count("*").alias("m"), F.max(F.struct("last", "value")).alias("top"), F.max("names").alias("names"))
-    groups = sets.groupBy("g").agg(
-        F.max("names").alias("names"),
-        F.max(F.when(F.col("field") == _HIDDEN, F.col("claims"))).alias("present"),
-        F.collect_list(F.when(F.col("field") != _HIDDEN, F.struct("field", F.xxhash64("claims").alias("item"), "claims", "m", "top"))).alias("sets"),
-    )
-    return values.where(F.col("field").isin(*multi) if multi else F.lit(False)), groups
+        F.struct(F.col(recorded).alias("t"), F.col(row_id).alias("id")).alias("last"), _facts(df, single, multi).alias("facts"),
+    )
+    counts = word_counts(rows.select(F.col("g").alias("w")), SKETCH)
+    crowded = np.flatnonzero(counts > hot).tolist()
+    parts = [rows.repartition("g")]
+    if crowded:
+        # counters above ``hot``: at most the rows over ``hot``, and never more than the sketch has
+        buckets = df.sparkSession.createDataFrame([(x,) for x in crowded], "b long")
+        rows = rows.withColumn("b", F.pmod(F.xxhash64("g"), F.lit(len(counts))))
+        parts = [rows.join(F.broadcast(buckets), "b", "left_anti").repartition("g"), rows.join(F.broadcast(buckets), "b", "left_semi")]
+    out = []
+    for part in parts:
+        facts = part.select("g", "names", "src", "last", F.inline("facts")).withColumn("names", F.when(F.col("field") == _HIDDEN, F.col("names")))
+        values = facts.groupBy("g", "field", "value").agg(F.sort_array(F.collect_set("src")).alias("claims"), F.max("last").alias("last"), F.max("names").alias("names"))
+        listed = F.collect_list(F.when(F.col("field").isin(*multi), F.col("value"))) if multi else F.array().cast("array<string>")
+        sets = values.groupBy("g", "field", "claims").agg(
+            F.count("*").alias("m"), F.max(F.struct("last", "value")).alias("top"), F.max("names").alias("names"), listed.alias("listed")
+        )
+        entry = F.struct("field", F.xxhash64("claims").alias("item"), "claims", "m", "top", "listed")
+        out.append(sets.groupBy("g").agg(
+            F.max("names").alias("names"), F.max(F.when(F.col("field") == _HIDDEN, F.col("claims"))).alias("present"),
+            F.collect_list(F.when(F.col("field") != _HIDDEN, entry)).alias("sets"),
+        ))
+    return reduce(DataFrame.unionByName, out)
 
 
 def _units(single: Sequence[str]) -> Column:
@@ -154,7 +177,7 @@ def _expect(patterns: DataFrame, quality: DataFrame, exclusive: bool, few: bool)
 
 
 def _infer(patterns: DataFrame, single: Sequence[str], multi: Sequence[str], rounds: int) -> DataFrame:
-    """pattern, item, p after ``rounds`` iterations of the single-valued fields and half as many of the multi-valued ones.
+    """pattern, ps (item, p of every set) after ``rounds`` iterations of the single-valued fields and half as many of the multi-valued ones.
 
     Single-valued fields start from the shares of the statements; their conflicts tell the sources
     apart. Multi-valued fields start from the sources' quality over all single-valued ones.
@@ -178,35 +201,32 @@ def _infer(patterns: DataFrame, single: Sequence[str], multi: Sequence[str], rou
         for _ in range(rounds // 2):
             q = cut_lineage(_quality(_counts(_expect(others, q, False, few)), by))
         p = p.unionByName(_expect(others, q, False, few))
-    return p.selectExpr("pattern", "inline(arrays_zip(sets.item, p)) as (item, p)")
+    return p.selectExpr("pattern", "transform(arrays_zip(sets, p), z -> struct(z.sets.item as item, z.p as p)) as ps")
 
 
-def infer_truth(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source: str, single: Sequence[str], multi: Sequence[str], rounds: int = 8) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(groups: g, names; best: g, field, p, top of every set of a single-valued field; many: g, field, value, p of every value of a multi-valued one).
-
-    ``g`` is 128 bits of a digest of the group's columns, so that long keys travel once.
+def infer_truth(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source: str, single: Sequence[str], multi: Sequence[str], rounds: int = 8, hot: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(groups: g, names; units: g, field, sets): the sets of a group's values of a field, each with p, top (latest value) and listed.
 
     A group's sources are those with a row in it; each states or doesn't state each of the group's
     values. Of a single-valued field's values at most one is true, so they share one unit of
     probability; values of a multi-valued field stand for themselves.
     """
-    values, groups = _statements(df, group, row_id, recorded, source, single, multi)
-    groups = groups.select("g", "names", "sets", F.transform(_units(single), lambda x: F.struct(F.xxhash64(x["u"]).alias("pattern"), x["u"].alias("u"), x["n"].alias("n"))).alias("units"))
-    groups = cut_lineage(groups)
-    flat = groups.select(F.inline("units"))
-    patterns = flat.groupBy("pattern").agg(F.sum("n").alias("n"), F.first("u").alias("u")).select("pattern", "n", "u.field", "u.present", "u.sets")
-    p = cut_lineage(_infer(cut_lineage(patterns), single, multi, rounds))
-    # a group's units meet the probabilities of their patterns
-    tops = lambda u: F.transform(F.filter("sets", lambda s: s["field"] == u["u"]["field"]), lambda s: F.struct(s["item"].alias("item"), s["top"].alias("top")))
-    units = groups.select("g", F.explode(F.filter("units", lambda u: u["u"]["field"].isin(*single))).alias("x"), "sets")
-    units = units.select("g", "x.pattern", F.col("x.u.field").alias("field"), F.inline(tops(F.col("x"))))
-    best = units.join(p, ["pattern", "item"]).select("g", "field", "p", "top")
-    alone = groups.select("g", F.explode(F.filter("units", lambda u: ~u["u"]["field"].isin(*single))).alias("x")).select("g", "x.pattern", F.col("x.u.field").alias("field"), F.col("x.u.sets")[0]["item"].alias("item"))
-    many = alone.join(p, ["pattern", "item"]).select("g", "field", "item", "p").join(values.select("g", "field", "value", F.xxhash64("claims").alias("item")), ["g", "field", "item"])
-    return groups.select("g", "names"), best, many.select("g", "field", "value", "p")
-
-
-def fuse(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source: str, single: Sequence[str], multi: dict[str, Column], threshold: float = 0.5) -> DataFrame:
+    groups = _statements(df, group, row_id, recorded, source, single, multi, hot)
+    unit = lambda x: F.struct(F.xxhash64(x["u"]).alias("pattern"), x["u"].alias("u"), x["n"].alias("n"))
+    groups = cut_lineage(groups.select("g", "names", "sets", F.transform(_units(single), unit).alias("units")))
+    patterns = groups.select(F.inline("units")).groupBy("pattern").agg(F.sum("n").alias("n"), F.first("u").alias("u"))
+    patterns = cut_lineage(patterns.select("pattern", "n", "u.field", "u.present", "u.sets"))
+    p = cut_lineage(_infer(patterns, single, multi, rounds))
+    p = F.broadcast(p) if p.limit(FEW + 1).count() <= FEW else p
+    own = F.filter("sets", lambda s: F.array_contains(F.transform(F.col("x.u.sets"), lambda y: y["item"]), s["item"]) & (s["field"] == F.col("x.u.field")))
+    slim = F.transform(own, lambda s: F.struct(s["item"].alias("item"), s["top"].alias("top"), s["listed"].alias("listed")))
+    units = groups.select("g", "sets", F.explode("units").alias("x")).select("g", "x.pattern", F.col("x.u.field").alias("field"), slim.alias("own"))
+    units = units.join(p, "pattern")
+    scored = F.transform("own", lambda s: F.struct(F.get(F.filter("ps", lambda y: y["item"] == s["item"]), F.lit(0))["p"].alias("p"), s["top"].alias("top"), s["listed"].alias("listed")))
+    return groups.select("g", "names"), units.select("g", "field", scored.alias("sets"))
+
+
+def fuse(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source: str, single: Sequence[str], multi: dict[str, Column], threshold: float = 0.5, hot: int = HOT_ROWS) -> DataFrame:
     """group columns and one fused value per field.
 
     Single-valued fields take the most probable value (ties: latest, then largest id), as text;
@@ -216,12 +236,16 @@ def fuse(df: DataFrame, group: Sequence[str], row_id: str, recorded: str, source
     rows = df.where(" and ".join(f"`{g}` is not null" for g in group)).select(
         *group, F.col(row_id).alias("_id"), F.col(recorded).alias("_t"), F.col(source).alias("_src"), *single, *[a.alias(m) for m, a in multi.items()]
     )
-    groups, best, many = infer_truth(rows, group, "_id", "_t", "_src", single, list(multi))
-    ranked = F.struct(F.round("p", 9).alias("p"), F.col("top.last").alias("last"), F.col("top.value").alias("value"))
-    best = best.select("g", *[F.when(F.col("field") == c, ranked).alias(c) for c in single])
-    many = many.where(F.col("p") >= threshold).select("g", *[F.when(F.col("field") == m, F.col("value")).alias(f"_{m}") for m in multi])
-    every = groups.unionByName(best, allowMissingColumns=True).unionByName(many, allowMissingColumns=True)
+    groups, units = infer_truth(rows, group, "_id", "_t", "_src", single, list(multi), hot=hot)
+    ranked = F.transform("sets", lambda s: F.struct(F.round(s["p"], 9).alias("p"), s["top"]["last"].alias("last"), s["top"]["value"].alias("value")))
+    kept = F.flatten(F.transform(F.filter("sets", lambda s: s["p"] >= threshold), lambda s: s["listed"]))
+    one = F.col("field").isin(*single)
+    chosen = units.select("g", "field", F.when(one, F.array_max(ranked)["value"]).alias("value"), F.when(~one, kept).alias("kept"))
+    chosen = chosen.where("value is not null or size(kept) > 0")
+    every = groups.unionByName(chosen, allowMissingColumns=True)
+    pick = lambda c, x: F.when(F.col("field") == c, F.col(x))
     out = every.groupBy("g").agg(
-        F.max("names").alias("names"), *[F.max(c)["value"].alias(c) for c in single], *[F.sort_array(F.collect_set(f"_{m}")).alias(m) for m in multi]
-    )
+        F.max("names").alias("names"), *[F.max(pick(c, "value")).alias(c) for c in single],
+        *[F.sort_array(F.array_distinct(F.flatten(F.collect_list(pick(m, "kept"))))).alias(m) for m in multi],
+    )
     return out.select("names.*", *single, *[F.when(F.size(m) > 0, F.col(m)).alias(m) for m in multi])

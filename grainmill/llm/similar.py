@@ -25,13 +25,12 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainmill.operators.setjoin import prefixes, sketch_width, word_counts
 from grainmill.session import cut_lineage
 
 BITS = 128
 #: Parts over which the rows of a hot word are spread when they meet its cells.
 SALTS = 32
-#: Counters of the word sketch: its size whatever the data (32 bits each). Words that share a counter share its count.
-SKETCH = 1 << 22
 
 
 def word_set(text: Column) -> Column:
@@ -67,26 +66,6 @@ def tile_pairs(sig: np.ndarray, size: np.ndarray, left: np.ndarray, right: np.nd
                 yield i[x], j[y]
 
 
-def word_counts(words: DataFrame, width: int) -> np.ndarray:
-    """The count sketch of a column ``w`` of words: counters by hash, at most ``width`` rows whatever the data."""
-    got = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(width)).alias("i")).agg(F.least(F.count("*"), F.lit(2**31 - 1)).cast("int").alias("n")).toPandas()
-    out = np.zeros(width, np.int32)
-    out[got["i"].to_numpy()] = got["n"].to_numpy()
-    return out
-
-
-def prefixes(values: np.ndarray, offsets: np.ndarray, counts: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words, their counts, offsets): of each row the first n - ceil(t n) + 1 words, rare ones first, without those counted once."""
-    size = np.diff(offsets)
-    row = np.repeat(np.arange(len(size)), size)
-    n = counts[values % len(counts)]  # a floor modulus, as pmod
-    order = np.lexsort((values, n, row))
-    values, n = values[order], n[order]
-    keep = size - np.ceil(size * t - 1e-9).astype(np.int64) + 1
-    first = (np.arange(len(values)) - offsets[:-1][row] < keep[row]) & (n > 1)
-    return values[first], n[first], np.concatenate([[0], np.cumsum(np.bincount(row[first], minlength=len(size)))])
-
-
 def _fold_rows(counts, t: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -155,9 +134,9 @@ def word_classes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFra
     return classes.drop("sig"), members
 
 
-def similar_classes(classes: DataFrame, t: float, tile: int = 2048, sketch: int = SKETCH) -> DataFrame:
-    """rep_a < rep_b, similarity: all pairs of classes with similarity >= t."""
-    counts = classes.sparkSession.sparkContext.broadcast(word_counts(classes.select(F.explode("words").alias("w")), sketch))
+def similar_classes(classes: DataFrame, t: float, tile: int = 2048, sketch: int | None = None) -> DataFrame:
+    """rep_a < rep_b, similarity: all pairs of classes with similarity >= t. ``sketch``: counters of the word sketch, by default by the number of classes."""
+    counts = classes.sparkSession.sparkContext.broadcast(word_counts(classes.select(F.explode("words").alias("w")), sketch or sketch_width(classes.count())))
     # words travel as 64-bit hashes: two words that met in one would only share a block, never lose a pair
     rows = classes.select("rep", F.transform("words", lambda x: F.xxhash64(x)).alias("hashes"))
     # written once, as the cool and the hot blocks below both start from it

@@ -221,6 +221,9 @@ def test_p5_fused_whole_table(spark, data):
     want = plain_model(items, single, ["issues"])
     got = {(r.batch, r.topic_key): r for r in queries.p5_fused(spark, data).collect()}
     assert set(got) == set(want)
+    # groups of more than two rows spread over tasks: the same result
+    spread = fuse(src, ["batch", "topic_key"], "result_id", "recorded_at", "origin", single, {"issues": F.col("stages.functional.issues")}, hot=2)
+    assert {(r.batch, r.topic_key): r for r in spread.collect()} == got
     for g, r in got.items():
         assert {c: r[c] for c in single if r[c] is not None} == {c: v for c, v in want[g].items() if c != "issues"}
         assert sorted(r.issues or []) == sorted(want[g].get("issues", []))
