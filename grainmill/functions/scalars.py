@@ -89,6 +89,16 @@ def topic_language(x: Column) -> Column:
     return first_match(F.coalesce(x, F.lit("")), fixed.LANGUAGE_RULES, "unknown")
 
 
+def known_or_topic_language(known: Column, x: Column) -> Column:
+    """A language looked up beforehand, else by keyword without the rule for typescript; 'other' where none holds."""
+    return F.coalesce(known, first_match(F.coalesce(x, F.lit("")), [r for r in fixed.LANGUAGE_RULES if r[0] != "typescript"], "other"))
+
+
+def older_than(created: Column, now: Column, seconds: int = 1200) -> Column:
+    """Whether something is past an age; null times are not."""
+    return F.coalesce(F.unix_seconds(now) - F.unix_seconds(created) > seconds, F.lit(False))
+
+
 def any_keyword(values: Column, words: list[str]) -> Column:
     """Whether any element of an array of texts holds any of the words, ignoring case."""
     return F.exists(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.coalesce(F.lower(v).rlike("|".join(words)), F.lit(False)))

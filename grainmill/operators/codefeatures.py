@@ -284,3 +284,33 @@ def task_diffs(files: DataFrame, key: str, path: str, content: str) -> DataFrame
     sizes = F.array(F.when(~F.col("_script"), "no solution script"), F.when(F.col("_script") & F.col("_written").isNull(), "no file in the solution script"), F.when(f == 0, "no file changed"), F.when(f > 2, "many files"),
                     F.when(n < 2, "single region"), F.when(n > 8, "many regions"), F.when(c > 80, "large change"), F.when(loc > 200, "large source"))
     return got.withColumn("warnings", F.concat(F.coalesce("_lost", F.array().cast("array<string>")), F.array_compact(sizes))).drop("_script", "_written", "_lost")
+
+
+def full_features(tasks: DataFrame, files: DataFrame, key: str, path: str, content: str, instruction: str) -> DataFrame:
+    """One row per task: what its solution changes, the kinds of change and their places, its tests, its source and its instruction.
+
+    ``tasks`` (key, instruction) decides the rows; a part that a task lacks has zero counts. Diff,
+    tests and source are worked out from file rows, each part aggregated per task before it joins.
+    """
+    from grainmill.functions.scalars import instruction_features
+    from grainmill.operators.quality import position_gaps
+
+    changes = solution_changes(files, key, path, content)
+    kinds = changes.groupBy(key, "kind").agg(F.count("*").alias("n")).groupBy(key).agg(
+        F.sum("n").alias("n_changes"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "n")))).alias("change_kinds")
+    )
+    diffs = task_diffs(files, key, path, content)
+    places = changes.groupBy(key).agg(F.collect_list("position").alias("p")).join(diffs.select(key, "source_loc"), key)
+    places = position_gaps(places, key, "p", F.col("source_loc"))
+    tests = files.where(F.col(path).startswith("tests/") & F.col(path).endswith(".py"))
+    tests = test_features(tests, [key], content).groupBy(key).agg(*[F.sum(c).alias(c) for c in ("n_tests", "n_docstrings", "n_descriptive", "n_assertions")], F.max("uses_subprocess").alias("uses_subprocess"))
+    name = F.element_at(F.split(path, "/"), -1)
+    own = files.where(~name.isin(*fixed.INFRA_FILES, "solution.sh") & ~F.col(path).startswith("tests/"))
+    source = source_features(own, [key], path, content).groupBy(key).agg(
+        F.count("*").alias("n_files"), *[F.sum(c).alias(c) for c in ("loc", "n_functions", "n_classes", "n_imports")], F.max("depth").alias("depth")
+    )
+    rows = tasks.select(key, *instruction_features(F.col(instruction)))
+    for part in (diffs, kinds, places, tests, source):
+        rows = rows.join(part, key, "left")
+    counts = ["n_changes", "max_gap", "avg_gap", "spread", "n_tests", "n_docstrings", "n_descriptive", "n_assertions", "n_files", "loc", "n_functions", "n_classes", "n_imports", "depth"]
+    return rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in counts})

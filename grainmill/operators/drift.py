@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainmill.functions.scalars import last_by_key
-from grainmill.operators.timestamps import read_instant
+from grainmill.operators.timestamps import read_instants
 
 #: The names under which producers print a field of the trial record.
 ALIASES = {
@@ -166,13 +166,13 @@ def _count(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(F.get_json_object(text, "$.count"), text), ",", "").try_cast("long")
 
 
-def _instant(text: Column) -> Column:
-    """Numbers may be printed with an exponent."""
+def _printed_number(text: Column) -> Column:
+    """Numbers of a time may be printed with an exponent."""
     plain = text.try_cast("double").try_cast("decimal(38,6)").cast("string")
-    return read_instant(F.when(text.rlike(r"^[0-9.]+[eE]\+?[0-9]+$"), plain).otherwise(text))
+    return F.when(text.rlike(r"^[0-9.]+[eE]\+?[0-9]+$"), plain).otherwise(text)
 
 
-CASTS = {"flag": _flag, "count": _count, "statuses": _statuses, "instant": _instant, "text": lambda text: text}
+CASTS = {"flag": _flag, "count": _count, "statuses": _statuses, "text": lambda text: text}
 
 
 def consistent_table(df: DataFrame, keep: Sequence[str], record: str) -> DataFrame:
@@ -192,7 +192,10 @@ def consistent_table(df: DataFrame, keep: Sequence[str], record: str) -> DataFra
     rows = rows.select(*keep, "_n", *[first(f).alias(f"_{f}") for f in TRIAL_FIELDS])
     # the value as text: strings lose their quotes, the rest stays JSON
     text = lambda f: F.get_json_object(F.concat(F.lit('{"v":'), F.col(f"_{f}.j"), F.lit("}")), "$.v")
-    rows = rows.select(*keep, "_n", *[f"_{f}" for f in TRIAL_FIELDS], *[CASTS[FIELD_TYPES.get(f, "text")](text(f)).alias(f) for f in TRIAL_FIELDS])
+    times = [f for f in TRIAL_FIELDS if FIELD_TYPES.get(f) == "instant"]
+    rows = rows.withColumn("_times", read_instants([_printed_number(text(f)) for f in times]))
+    typed = {f: F.get("_times", F.lit(times.index(f))) if f in times else CASTS[FIELD_TYPES.get(f, "text")](text(f)) for f in TRIAL_FIELDS}
+    rows = rows.select(*keep, "_n", *[f"_{f}" for f in TRIAL_FIELDS], *[c.alias(f) for f, c in typed.items()])
     taken = F.array(*[F.when(F.col(f).isNotNull(), F.col(f"_{f}.p")) for f in TRIAL_FIELDS])
     others = F.filter("_n", lambda e: ~F.array_contains(F.array_compact(taken), e["p"]))
     return rows.select(*keep, *TRIAL_FIELDS, F.map_from_entries(F.transform(others, lambda e: F.struct(e["p"], e["j"]))).alias("extra"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.operators.timestamps import read_instant
+from grainmill.operators.timestamps import read_instants
 
 #: Level words and letters of logging programs.
 LEVELS = {
@@ -168,15 +168,21 @@ def entry_instant(time: Column, recorded: Column) -> Column:
     """
     t = F.trim(time)
     day, clock = F.date_format(recorded, "yyyy-MM-dd"), r"\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?"
-    short = read_instant(F.concat(day, F.lit(" "), t))
-    short = F.when(short > recorded, short - F.expr("interval 1 day")).otherwise(short)
-    year = F.year(recorded)
-    letters = F.regexp_replace(t, rf"^(\d\d)(\d\d) ({clock})$", "$1/$2/Y $3")
-    letters = F.regexp_replace(letters, rf"^(?:[A-Z][a-z]{{2}} )?([A-Z][a-z]{{2}}) +(\d{{1,2}}) ({clock})$", "$2 $1 Y $3")
-    dated = lambda y: read_instant(F.regexp_replace(letters, "Y", y.cast("string")))
-    yearless = F.when(dated(year) > recorded + F.expr("interval 1 day"), dated(year - 1)).otherwise(dated(year))
+    short, yearless = t.rlike(rf"^{clock}$"), t.rlike(rf"^(\d{{4}}|([A-Z][a-z]{{2}} )?[A-Z][a-z]{{2}} [ \d]\d) {clock}$")
+    with_year = F.regexp_replace(t, rf"^(\d\d)(\d\d) ({clock})$", "$1/$2/Y $3")
+    with_year = F.regexp_replace(with_year, rf"^(?:[A-Z][a-z]{{2}} )?([A-Z][a-z]{{2}}) +(\d{{1,2}}) ({clock})$", "$2 $1 Y $3")
+    dated = lambda back: F.regexp_replace(with_year, "Y", (F.year(recorded) - back).cast("string"))
     full = F.regexp_replace(t, r"^(\d\d)/([A-Z][a-z]{2})/(\d{4})[: ]", "$1 $2 $3 ")
-    return F.when(t.rlike(rf"^{clock}$"), short).when(t.rlike(rf"^(\d{{4}}|([A-Z][a-z]{{2}} )?[A-Z][a-z]{{2}} [ \d]\d) {clock}$"), yearless).otherwise(read_instant(full))
+    # the readings that may hold, one of which is chosen
+    first = F.when(short, F.concat(day, F.lit(" "), t)).when(yearless, dated(0)).otherwise(full)
+    read = read_instants([first, F.when(yearless, dated(1))])
+
+    def choose(x: Column) -> Column:
+        now, before = F.get(x, F.lit(0)), F.get(x, F.lit(1))
+        ahead = F.when(short, now > recorded).otherwise(now > recorded + F.expr("interval 1 day"))
+        return F.when(short & ahead, now - F.expr("interval 1 day")).when(yearless & (ahead | now.isNull()), before).otherwise(now)
+
+    return F.get(F.transform(F.array(read), choose), F.lit(0))
 
 
 def parse_log_entries(df: DataFrame, keys: Sequence[str], texts: dict[str, Column], recorded: str | None = None) -> DataFrame:

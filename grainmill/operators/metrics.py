@@ -74,6 +74,38 @@ def with_rates(df: DataFrame) -> DataFrame:
     })
 
 
+def batch_summary(df: DataFrame, usage: DataFrame, by: str) -> DataFrame:
+    """One report row per group: funnel counts, rows that were tested functionally, the map of error categories, tokens and their
+    weighted cost, mean duration and cost per learnable row (0 without any). ``usage``: by, prompt, completion, cost_units."""
+    counts = funnel(df, [by]).withColumn("duration_min", F.bround(F.col("duration_ds") / 600, 1))
+    more = df.groupBy(by).agg(
+        F.count_if(F.col("stages.functional").isNotNull()).alias("functional_tested"),
+        F.coalesce(F.try_divide(F.bround(F.sum("duration_sec"), 3), F.count("*")), F.lit(0.0)).alias("mean_duration"),
+    )
+    kinds = df.select(by, error_category().alias("k")).where("k is not null").groupBy(by, "k").agg(F.count("*").alias("n"))
+    kinds = kinds.groupBy(by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "n")))).alias("errors"))  # one entry per category
+    got = counts.join(more, by).join(kinds, by, "left").join(usage, by, "left")
+    costs = F.coalesce("cost_units", F.lit(0))
+    return got.withColumns({"cost_units": costs, "cost_per_learnable": F.coalesce(F.try_divide(costs, F.col("learnable")), F.lit(0.0)), "errors": F.coalesce("errors", F.create_map().cast("map<string,bigint>"))})
+
+
+def evaluation_usage(trials: DataFrame, tiers: DataFrame, rates: DataFrame, link: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Tokens of the trials of all tiers, weighted by a table of rates per model (model, input_rate, output_rate); unknown models weigh 0."""
+    rows = trials.join(tiers.select(*link, "model"), list(link), "left").join(rates, "model", "left")
+    i, o = F.coalesce("input_tokens", F.lit(0)), F.coalesce("output_tokens", F.lit(0))
+    cost = i * F.coalesce("input_rate", F.lit(0)) + o * F.coalesce("output_rate", F.lit(0))
+    return rows.groupBy(*by).agg(F.sum(i).alias("input_tokens"), F.sum(o).alias("output_tokens"), F.sum(cost).alias("cost_units"))
+
+
+def batch_trend(df: DataFrame, usage: DataFrame, by: str) -> DataFrame:
+    """by, learnable, yield_pct (one decimal), cost_units and cost per learnable row (two decimals, 0 without any)."""
+    n = F.count_if(F.coalesce(F.col("classification") == "learnable", F.lit(False)))
+    got = df.groupBy(by).agg(n.alias("learnable"), F.bround(100 * n / F.count("*"), 1).alias("yield_pct"))
+    cost = F.coalesce("cost_units", F.lit(0))
+    each = F.coalesce(F.bround(F.try_divide(cost, F.nullif(F.col("learnable"), F.lit(0))), 2), F.lit(0.0))
+    return got.join(usage.select(by, "cost_units"), by, "left").select(by, "learnable", "yield_pct", cost.alias("cost_units"), each.alias("cost_per_learnable"))
+
+
 def header_counts(df: DataFrame, stage: Column, cost: Column, by: Sequence[str] = ()) -> DataFrame:
     """Total, done (completed or failed), running, failed and the classes of tasks, and the cost per learnable one (0 without any)."""
     c, completed, failed = F.col("classification"), F.count_if(stage == "completed"), F.count_if(stage == "failed")

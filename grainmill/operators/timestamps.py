@@ -113,35 +113,41 @@ def _month(name: Column) -> Column:
     return F.when(low.rlike("^[a-z]"), F.when((at > 0) & (at % 3 == 1), ((at + 2) / 3).cast("int"))).otherwise(name.try_cast("int"))
 
 
-def read_instant(value: Column, zone: Column | None = None) -> Column:
-    """The one reading of a printed time under fixed conventions, as a column: slashes month first (year first if it has four
-    digits), dots day first, no zone means ``zone`` or UTC. Null where the value denotes no instant."""
-    v = F.regexp_replace(F.trim(value), r"^(\d{4})/(\d{2})/(\d{2})", "$1-$2-$3")
+def read_instants(values: Sequence[Column], zone: Column | None = None) -> Column:
+    """An array with the one reading of each printed time under fixed conventions: slashes month first (year first if it has four
+    digits), dots day first, no zone means ``zone`` or UTC. Null where a value denotes no instant. One expression for all values."""
     zone = F.coalesce(zone if zone is not None else F.lit(None).cast("string"), F.lit("UTC"))
     names = F.create_map(*[F.lit(x) for k, z in ZONE_OFFSETS.items() for x in (k, z[0])])
 
-    def build(p: Column, kind: str) -> Column:
-        part = lambda i: F.get(p, F.lit(i))
-        month, day = (part(2), part(1)) if kind == "dot" else (part(1), part(2))
-        hour = part(3).try_cast("int")
-        half = F.lower(part(7))
+    def pieces(x: Column) -> Column:
+        out = None
+        for kind in FORMATS:
+            hit = x["k"] == kind
+            out = F.when(hit, _parts(x["v"], kind)) if out is None else out.when(hit, _parts(x["v"], kind))
+        return F.struct(x["v"].alias("v"), x["k"].alias("k"), out.alias("p"))
+
+    def build(x: Column) -> Column:
+        part = lambda i: F.get(x["p"], F.lit(i))
+        first, second = _month(part(1)), part(2).try_cast("int")
+        dotted = x["k"] == "dot"
+        month, day = F.when(dotted, second).otherwise(first), F.when(dotted, first).otherwise(second)
+        hour, half = part(3).try_cast("int"), F.lower(part(7))
         hour = F.when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "pm", 12).otherwise(0))
-        second = F.concat(F.coalesce(F.nullif(part(5), F.lit("")), F.lit("0")), F.lit("."), F.rpad(F.substring(part(6), 1, 6), 6, "0")).try_cast("decimal(16,6)")
+        sec = F.concat(F.coalesce(F.nullif(part(5), F.lit("")), F.lit("0")), F.lit("."), F.rpad(F.substring(part(6), 1, 6), 6, "0")).try_cast("decimal(16,6)")
         z, digits = part(8), F.regexp_replace(part(8), "[^0-9]", "")
         offset = F.concat(F.substring(z, 1, 1), F.substring(digits, 1, 2), F.lit(":"), F.rpad(F.substring(digits, 3, 2), 2, "0"))
         tz = F.when(z == "", zone).when(F.upper(z) == "Z", "+00:00").when(z.startswith("["), F.regexp_extract(z, r"^\[(.+)\]$", 1)).when(z.rlike("^[+-]"), offset)
-        tz = F.coalesce(tz, F.try_element_at(names, F.upper(z)))
-        return F.when(F.size(p) == 9, F.try_make_timestamp(part(0).try_cast("int"), _month(month), day.try_cast("int"), hour, part(4).try_cast("int"), second, tz))
+        made = F.try_make_timestamp(part(0).try_cast("int"), month, day, hour, part(4).try_cast("int"), sec, F.coalesce(tz, F.try_element_at(names, F.upper(z))))
+        return F.when(x["k"] == "epoch", F.timestamp_micros(_epoch_us(x["v"]))).when(F.size(x["p"]) == 9, made)
 
-    # the value and its kind are bound once, then its parts
-    def read(x: Column) -> Column:
-        out = F.when(x["k"] == "epoch", F.timestamp_micros(_epoch_us(x["v"])))
-        for kind in FORMATS:
-            one = F.get(F.transform(F.array(_parts(x["v"], kind)), lambda p: build(p, kind)), F.lit(0))
-            out = out.when(x["k"] == kind, one)
-        return out
+    plain = F.transform(F.array(*values), lambda v: F.regexp_replace(F.trim(v), r"^(\d{4})/(\d{2})/(\d{2})", "$1-$2-$3"))
+    kinded = F.transform(plain, lambda v: F.struct(v.alias("v"), _kind(v).alias("k")))
+    return F.transform(F.transform(kinded, pieces), build)
 
-    return F.get(F.transform(F.array(F.struct(v.alias("v"), _kind(v).alias("k"))), read), F.lit(0))
+
+def read_instant(value: Column, zone: Column | None = None) -> Column:
+    """The reading of one value; see ``read_instants``."""
+    return F.get(read_instants([value], zone), F.lit(0))
 
 
 def interpretations(

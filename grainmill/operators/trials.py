@@ -52,6 +52,11 @@ def run_accuracy(trials: DataFrame, by: Sequence[str], resolved: Column) -> Data
     return got.withColumn("accuracy", safe_ratio(F.col("n_resolved"), F.col("n_resolved") + F.col("n_unresolved")))
 
 
+def run_outcomes(trials: DataFrame, run: str, trial: str, resolved: Column) -> DataFrame:
+    """The id lists of a run as rows, since a run may hold a third of all trials: run, trial, outcome; a null outcome is unresolved."""
+    return trials.select(run, trial, F.when(F.coalesce(resolved, F.lit(False)), "resolved").otherwise("unresolved").alias("outcome"))
+
+
 def failure_modes(trials: DataFrame, mode: str, resolved: Column) -> DataFrame:
     """Failure modes of unresolved trials: count and share of all trials."""
     r = F.coalesce(resolved, F.lit(False))

@@ -47,6 +47,16 @@ def attempt_passed(extended: bool = True) -> Column:
     return ok & ~F.col("solution_idempotent").eqNullSafe(False) if extended else ok
 
 
+def functional_passed(builds: Column, fails_without: Column, passes_with: Column, timed_out: Column, idempotent: Column | None = None, same_each_time: Column | None = None) -> Column:
+    """Builds, fails without the solution (running out of time there counts as failing) and passes with it; where the extended checks
+    are given they must be true too. Null is not true."""
+    true = lambda c: c.eqNullSafe(F.lit(True))
+    ok = true(builds) & (true(fails_without) | true(timed_out)) & true(passes_with)
+    for extended in (idempotent, same_each_time):
+        ok = ok if extended is None else ok & true(extended)
+    return ok
+
+
 def size_findings(mb: Column, slowest: Column) -> tuple[Column, Column]:
     """(issues, warnings) of an image's size and the slowest test phase."""
     return issues((mb > 2048, "image above 2048 MB")), issues(((mb > 1024) & (mb <= 2048), "image above 1024 MB"), (slowest > 60, "tests take over 60 s"))

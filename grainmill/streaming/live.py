@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from heapq import nsmallest
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,16 @@ def windowed_counts(df: DataFrame, time: str, by: str, width: str = "1 hour", la
     return df.withWatermark(time, late).groupBy(F.window(time, width), by).agg(F.count("*").alias("n"))
 
 
+def complete_counts(df: DataFrame, by: Sequence[str], path: str, checkpoint: str) -> StreamingQuery:
+    """Counts per group over everything read so far, the result table replaced as a whole by every micro-batch (complete mode)."""
+
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    counts = df.groupBy(*by).agg(F.count("*").alias("n"))
+    return counts.writeStream.outputMode("complete").foreachBatch(replace).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 class RunningClass(StatefulProcessor):
     """Per task: passes and trials so far; emits the class once, when it is certain."""
 
@@ -51,8 +62,10 @@ class RunningClass(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
         passes, total, done = self.state.get() if self.state.exists() else (0, 0, False)
-        out = []
-        for ok in (x for pdf in rows for x in pdf.sort_values("seq")["resolved"].tolist()):
+        out, head = [], []
+        for pdf in rows:  # a batch of one task may come in several frames; its first n trials decide
+            head = nsmallest(self.n, [*head, *zip(pdf["seq"].tolist(), pdf["resolved"].tolist())], key=lambda x: x[0])
+        for _, ok in head:
             if done or total >= self.n:
                 break
             passes, total = passes + bool(ok), total + 1

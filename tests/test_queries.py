@@ -7,9 +7,10 @@ from compare import TABLES, key
 
 
 def load():
-    from grainmill.plans import general, inventory
+    from grainmill.plans import features, files, general, inventory
 
-    return {**general.QUERIES, **inventory.QUERIES}, {**getattr(general, "ORACLES", {}), **inventory.ORACLES}
+    modules = [general, inventory, files, features]
+    return {k: f for m in modules for k, f in m.QUERIES.items()}, {k: s for m in modules for k, s in m.ORACLES.items()}
 
 
 QUERIES, ORACLES = load()
