@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import json
 import re
-from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -80,7 +79,9 @@ def _automaton():
     """The literals with the layouts they route to; a level word sets the bit after the last layout."""
     import ahocorasick
 
-    a, masks = ahocorasick.Automaton(), {w: 1 << len(LAYOUTS) for w in LEVELS}
+    # a level word within another stands for both
+    least = [w for w in LEVELS if not any(v != w and v in w for v in LEVELS)]
+    a, masks = ahocorasick.Automaton(), {w: 1 << len(LAYOUTS) for w in least}
     for i, (anchor, _) in enumerate(LAYOUTS.values()):
         if anchor:
             masks[anchor] = masks.get(anchor, 0) | 1 << i
@@ -134,9 +135,12 @@ class LogParser:
         for line in lines:
             starts.append(at)
             at += len(line) + 1
+        starts.append(at)
         routed: dict[int, int] = {}
-        for end, mask in self.automaton.iter(text.translate(_LOWER)):
-            n = bisect_right(starts, end) - 1
+        n = 0
+        for end, mask in self.automaton.iter(text.translate(_LOWER)):  # in the order of their ends
+            while starts[n + 1] <= end:
+                n += 1
             routed[n] = routed.get(n, 0) | mask
         out: list[list] = []
         open_entry = False

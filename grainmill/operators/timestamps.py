@@ -124,7 +124,7 @@ def read_instants(values: Sequence[Column], zone: Column | None = None) -> Colum
         for kind in FORMATS:
             hit = x["k"] == kind
             out = F.when(hit, _parts(x["v"], kind)) if out is None else out.when(hit, _parts(x["v"], kind))
-        return F.struct(x["v"].alias("v"), x["k"].alias("k"), out.alias("p"))
+        return F.when(x.isNotNull(), F.struct(x["v"].alias("v"), x["k"].alias("k"), out.alias("p")))
 
     def build(x: Column) -> Column:
         part = lambda i: F.get(x["p"], F.lit(i))
@@ -138,10 +138,10 @@ def read_instants(values: Sequence[Column], zone: Column | None = None) -> Colum
         offset = F.concat(F.substring(z, 1, 1), F.substring(digits, 1, 2), F.lit(":"), F.rpad(F.substring(digits, 3, 2), 2, "0"))
         tz = F.when(z == "", zone).when(F.upper(z) == "Z", "+00:00").when(z.startswith("["), F.regexp_extract(z, r"^\[(.+)\]$", 1)).when(z.rlike("^[+-]"), offset)
         made = F.try_make_timestamp(part(0).try_cast("int"), month, day, hour, part(4).try_cast("int"), sec, F.coalesce(tz, F.try_element_at(names, F.upper(z))))
-        return F.when(x["k"] == "epoch", F.timestamp_micros(_epoch_us(x["v"]))).when(F.size(x["p"]) == 9, made)
+        return F.when(x.isNull(), None).when(x["k"] == "epoch", F.timestamp_micros(_epoch_us(x["v"]))).when(F.size(x["p"]) == 9, made)
 
     plain = F.transform(F.array(*values), lambda v: F.regexp_replace(F.trim(v), r"^(\d{4})/(\d{2})/(\d{2})", "$1-$2-$3"))
-    kinded = F.transform(plain, lambda v: F.struct(v.alias("v"), _kind(v).alias("k")))
+    kinded = F.transform(plain, lambda v: F.when(v.isNotNull(), F.struct(v.alias("v"), _kind(v).alias("k"))))
     return F.transform(F.transform(kinded, pieces), build)
 
 

@@ -13,7 +13,7 @@ from grainmill.functions import scalars as S
 from grainmill.operators import codefeatures, diversity, merge, metrics, sampling, trials, validate
 from grainmill.operators.nested import unnest_reports
 from grainmill.operators.quality import position_gaps, task_quality
-from grainmill.plans import inventory
+from grainmill.plans import general, inventory
 from grainmill.session import table
 
 QUERIES: dict = {}
@@ -312,14 +312,11 @@ def header_counts(spark, d):
     return metrics.header_counts(table(spark, d, "task_status"), F.col("stage"), F.coalesce("pass_rate", F.lit(0.0)))
 
 
-_REPORT = """r as (select report_id, case when json_type(report_json)='ARRAY' then report_json::json else coalesce(json_extract(report_json,'$.results'), json_extract(report_json,'$.report.results')) end as rs from batch_reports where report_json is not null and json_valid(report_json)),
- e as (select report_id, unnest(range(json_array_length(rs)::bigint))::int as result_no, rs from r where json_type(rs)='ARRAY'), x as (select report_id, result_no, json_extract(rs, '$['||result_no||']') as j from e),
- ti as (select report_id, result_no, k as tier, json_extract(j, '$.stages.evaluation.tier_results."'||k||'"') as t from (select *, unnest(json_keys(j,'$.stages.evaluation.tier_results')) as k from x where json_type(j,'$.stages.evaluation.tier_results')='OBJECT')),
- tr as (select report_id, result_no, tier, json_extract_string(t,'$.model') as model, unnest(json_extract(t,'$.trials[*]')) as c from ti where json_type(t)='OBJECT')"""
+_IN, _OUT = (f"coalesce(try_cast(json_extract_string(q,'$.{k}_tokens') as bigint),0)" for k in ("input", "output"))
 
 
-@query(f"""with {_REPORT} select report_id, coalesce(sum(coalesce(try_cast(json_extract_string(c,'$.input_tokens') as bigint),0)),0)::bigint as input_tokens, coalesce(sum(coalesce(try_cast(json_extract_string(c,'$.output_tokens') as bigint),0)),0)::bigint as output_tokens,
- coalesce(sum(case when model like 'eval-model-%' then coalesce(try_cast(json_extract_string(c,'$.input_tokens') as bigint),0)*2+coalesce(try_cast(json_extract_string(c,'$.output_tokens') as bigint),0)*7 else 0 end),0)::bigint as cost_units from tr group by report_id""")
+@query(f"""with {general._REPORTS}, m as (select tl.*, json_extract_string(tt.t,'$.model') as model from tl join tt using (report_id, result_no, tier))
+ select report_id, sum({_IN})::bigint as input_tokens, sum({_OUT})::bigint as output_tokens, sum(case when model like 'eval-model-%' then {_IN}*2+{_OUT}*7 else 0 end)::bigint as cost_units from m group by report_id""")
 def evaluation_costs(spark, d):
     """Tokens of the trials of all tiers of a report, weighted by a given table of rates per model."""
     t = unnest_reports(table(spark, d, "batch_reports"), "report_id", "report_json")
@@ -327,13 +324,11 @@ def evaluation_costs(spark, d):
     return metrics.evaluation_usage(t["trials"], t["tiers"], rates, ["report_id", "result_no", "tier"], ["report_id"])
 
 
-@query("""with recursive t as (select task_key, coalesce(category,'unknown') as g, (octet_length(encode(instruction))//4)::bigint as z from tasks where instruction is not null),
+#: The greedy choice row by row.
+ORACLES["budget_selection"] = """with recursive t as (select task_key, coalesce(category,'unknown') as g, (octet_length(encode(instruction))//4)::bigint as z from tasks where instruction is not null),
  s as (select *, greatest(0.0, 1.0)+(case when g='debugging' then 0.5 else 0.0 end)+greatest(0.0,(8000-z)/8000.0)*0.3 as sc from t where z between 1 and 4000),
  b as (select g, arg_min(task_key, {{k}}) as best from (select *, row_number() over (partition by g order by sc desc, task_key) as rk from s) group by g), o as (select s.task_key, z, row_number() over (order by s.task_key<>best, case when s.task_key=best then s.g end, sc desc, s.task_key) as n from s join b on s.g=b.g),
- w(n, spent, took) as (select 0::bigint, 0::bigint, null::bigint union all select o.n, case when spent+z<=4000 then spent+z else spent end, case when spent+z<=4000 then o.task_key end from w join o on o.n=w.n+1) select took as task_key from w where took is not null""".replace("{{k}}", "rk"))
-def budget_choice(spark, d):
-    """The same greedy choice as budget_selection, beside a row-by-row recursion in SQL."""
-    return inventory.budget_selection(spark, d)
+ w(n, spent, took) as (select 0::bigint, 0::bigint, null::bigint union all select o.n, case when spent+z<=4000 then spent+z else spent end, case when spent+z<=4000 then o.task_key end from w join o on o.n=w.n+1) select took as task_key from w where took is not null""".replace("{{k}}", "rk")
 
 
 @query("""with c as (select task_key, coalesce(category,'unknown') as g, 100::bigint as z from tasks), s as (select task_key from (select *, row_number() over (partition by g order by task_key) as rn from c) where rn=1)
@@ -382,7 +377,4 @@ def _log_sql() -> str:
  select attempt_id, run, stream_name, test, arg_max(status, no) as status from p where status is not null and test<>'' group by all"""
 
 
-@query(_log_sql())
-def test_log_rows(spark, d):
-    """The same rows as test_logs, beside SQL."""
-    return inventory.test_logs(spark, d)
+ORACLES["test_logs"] = _log_sql()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.operators.drift import ALIASES, TRIAL_FIELDS, consistent_table, field_catalogue, field_lifespans, schema_changes
+from grainmill.operators.drift import ALIASES, TRIAL_FIELDS, consistent_table, field_catalogue, field_lifespans, footer_catalogue, schema_changes
 from grainmill.operators.logs import parse_log_entries
 from grainmill.operators.nested import unnest_reports
 from grainmill.operators.timestamps import normalize_timestamps
@@ -84,6 +84,21 @@ def p6_table(spark: SparkSession, d: str) -> DataFrame:
     return consistent_table(table(spark, d, "trial_files"), ["stream_id", "file_no", "record_no"], "record_json")
 
 
+def p6_values(spark: SparkSession, d: str) -> DataFrame:
+    """The plain fields of the consistent table, whatever name and form they were printed in."""
+    return p6_table(spark, d).select("stream_id", "file_no", "record_no", "id", "failure_mode", "is_resolved", "total_input_tokens", "total_output_tokens")
+
+
+def p6_footers(spark: SparkSession, d: str) -> DataFrame:
+    """The catalogue of the tables' own files, from their footers alone."""
+    names = ["tasks", "trials", "documents", "trial_files", "pipeline_results", "pack_limits"]
+    # every part of a table, whether it is one file or a folder
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load([f"{d}/{n}.parquet" for n in names])
+    files = files.select(F.lit("tables").alias("set"), F.regexp_extract("path", r"/(\w+)\.parquet(?:/[^/]+)?$", 1).alias("file"), "path").where(F.col("file").isin(*names))
+    got = footer_catalogue(files, ["set"], "file", "path").where("printed is not null")
+    return got.groupBy(F.col("file").alias("file_name"), F.col("printed").alias("field_name")).agg(F.bit_or("kinds").alias("kinds"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_fields": p1_fields,
@@ -103,6 +118,8 @@ QUERIES = {
     "p6_found": p6_found,
     "p6_lifespans": p6_lifespans,
     "p6_table": p6_table,
+    "p6_values": p6_values,
+    "p6_footers": p6_footers,
 }
 
 _NAME = "case " + " ".join(f"when name in ({', '.join(repr(a) for a in [f, *names])}) then '{f}'" for f, names in ALIASES.items()) + " end"
@@ -131,6 +148,56 @@ ORACLES = {
 }
 
 
+#: Results, functional validations, tiers and trials of the reports as JSON, each with its links.
+_REPORTS = """r as (select report_id, case when json_type(report_json)='ARRAY' then report_json::json else coalesce(json_extract(report_json,'$.results'), json_extract(report_json,'$.report.results')) end as rs,
+  coalesce(json_extract(report_json,'$.metrics'), json_extract(report_json,'$.report.metrics')) as ms from batch_reports where report_json is not null and json_valid(report_json)),
+ e as (select report_id, unnest(range(json_array_length(rs)::bigint))::int as result_no, rs from r where json_type(rs)='ARRAY'), x as (select report_id, result_no, json_extract(rs, '$['||result_no||']') as j from e),
+ o as (select * from x where json_type(j)='OBJECT'),
+ c as (select report_id, result_no, 0 as attempt_no, json_extract(j,'$.stages.functional') as f from o
+  union all select report_id, result_no, substr(k,7)::int, json_extract(j,'$.stages.'||k||'.functional') from (select *, unnest(json_keys(j,'$.stages')) as k from o where json_type(j,'$.stages')='OBJECT') where regexp_matches(k,'^retry_[0-9]+$')
+  union all select report_id, result_no, json_extract(a,'$.attempt')::int, a from (select report_id, result_no, unnest(json_extract(j,'$.validation_attempts[*]')) as a from o)),
+ ch as (select * from c where json_type(f)='OBJECT'),
+ de as (select *, case when json_type(f,'$.details')='VARCHAR' then json_extract_string(f,'$.details')::json else json_extract(f,'$.details') end as det from ch),
+ ti as (select report_id, result_no, k as tier, json_extract(j, '$.stages.evaluation.tier_results."'||k||'"') as t from (select *, unnest(json_keys(j,'$.stages.evaluation.tier_results')) as k from o where json_type(j,'$.stages.evaluation.tier_results')='OBJECT')),
+ tt as (select * from ti where json_type(t)='OBJECT'),
+ tr as (select report_id, result_no, tier, (unnest(range(json_array_length(t,'$.trials')::bigint)))::int as trial_no, t from tt where json_type(t,'$.trials')='ARRAY'), tl as (select report_id, result_no, tier, trial_no, json_extract(t,'$.trials['||trial_no||']') as q from tr)"""
+_s = lambda j, k: f"json_extract_string({j},'$.{k}')"
+_flag = lambda x: f"case when lower({x}) in ('true','t','yes','1','1.0') then 'true' when lower({x}) in ('false','f','no','0','0.0') then 'false' else 'unknown' end"
+_ms = "case when {0} like '%ms' then round(trim(replace({0},'ms',''))::decimal(18,6))::bigint else round(trim(replace({0},'s',''))::decimal(18,6)*1000)::bigint end"
+ORACLES |= {
+    "p4_results": f"""with {_REPORTS} select report_id, result_no, {_s('j', 'topic')} as topic, {_s('j', 'task_dir')} as task_dir, {_s('j', 'status')} as status, {_s('j', 'failed_stage')} as failed_stage,
+ coalesce({_s('j', 'classification')}, {_s('j', 'stages.evaluation.classification')}) as classification, try_cast({_s('j', 'retries')} as int) as retries, try_cast({_s('j', 'duration_sec')} as double) as duration_sec from o""",
+    "p4_tiers": f"with {_REPORTS} select report_id, result_no, tier, {_s('t', 'model')} as model, try_cast({_s('t', 'passes')} as bigint) as passes, try_cast({_s('t', 'total')} as bigint) as total from tt",
+    "p4_trials": f"""with {_REPORTS} select report_id, result_no, tier, trial_no, {_s('q', 'trial')} as trial, {_flag(_s('q', 'resolved'))} as resolved, try_cast({_s('q', 'input_tokens')} as bigint) as input_tokens,
+ try_cast({_s('q', 'output_tokens')} as bigint) as output_tokens, {_s('q', 'failure_mode')} as failure_mode from tl""",
+    "p4_metrics": f"with {_REPORTS}, m as (select report_id, unnest(json_keys(ms)) as metric, ms from r where json_type(ms)='OBJECT') select report_id, metric, json_extract_string(ms, '$.\"'||metric||'\"') as value from m",
+    "p4_builds": f"""with {_REPORTS}, b as (select *, json_extract(det,'$.build') as b, case when json_type(f,'$.execution_times')='ARRAY' then json_extract_string(list_filter(json_extract(f,'$.execution_times[*]'), lambda p: json_extract_string(p,'$.phase')='build')[1],'$.seconds') else {_s('f', 'execution_times.build')} end as t from de)
+ select report_id, result_no, attempt_no, {_flag(_s('b', 'success'))} as build_success, coalesce({_ms.format('t')}, -1) as build_ms, {_s('b', 'error')} as build_error from b where json_type(b)='OBJECT'""",
+    "p4_issues": f"""with {_REPORTS}, i as (select report_id, result_no, attempt_no, (unnest(range(json_array_length(f,'$.issues')::bigint)))::int as issue_no, f from ch where json_type(f,'$.issues')='ARRAY')
+ select report_id, result_no, attempt_no, issue_no, json_extract_string(f,'$.issues['||issue_no||']') as issue from i where json_extract_string(f,'$.issues['||issue_no||']') is not null""",
+    "p4_times": f"""with {_REPORTS}, t as (select report_id, result_no, attempt_no, {_s('p', 'phase')} as phase, {_s('p', 'seconds')} as printed from (select *, unnest(json_extract(f,'$.execution_times[*]')) as p from ch where json_type(f,'$.execution_times')='ARRAY')
+  union all select report_id, result_no, attempt_no, k, json_extract_string(f,'$.execution_times."'||k||'"') from (select *, unnest(json_keys(f,'$.execution_times')) as k from ch where json_type(f,'$.execution_times')='OBJECT'))
+ select report_id, result_no, attempt_no, phase, printed, {_ms.format('printed')} as ms from t""",
+    "p4_runs": f"""with {_REPORTS}, k as (select *, unnest(json_keys(det)) as run from de where json_type(det)='OBJECT'), u as (select *, json_extract(det, '$."'||run||'"') as u from k where run<>'build')
+ select report_id, result_no, attempt_no, run, try_cast({_s('u', 'exit_code')} as int) as exit_code, {_flag(_s('u', 'timed_out'))} as timed_out, {_s('u', 'stdout_tail')} as stdout_tail, {_s('u', 'stderr_tail')} as stderr_tail from u where json_type(u)<>'NULL'""",
+    "p6_lifespans": f"""with v as (select stream_id, file_no, record_json as j from trial_files where record_json is not null and json_valid(record_json)), o as (select * from v where json_type(j)='OBJECT'), k as (select stream_id, file_no, j, unnest(json_keys(j)) as name from o),
+ t as (select stream_id, file_no, name, case when {_SNAKE} in ({_FIELDS}) then {_SNAKE} else coalesce({_NAME}, {_NAME.replace('name in', _SNAKE + ' in')}, name) end as field,
+  case json_type(j, '$."'||name||'"') when 'BOOLEAN' then 1 when 'VARCHAR' then 4 when 'OBJECT' then 8 when 'ARRAY' then 16 when 'NULL' then 0 else 2 end as kind from k),
+ f as (select stream_id, file_no, field, string_agg(distinct name, ',' order by name) as printed, bit_or(kind)::int as kinds from t group by all),
+ n as (select stream_id, file_no, row_number() over (partition by stream_id order by file_no) as no from (select distinct stream_id, file_no from trial_files)),
+ s as (select f.*, no, no - lag(no) over w = 1 and printed = lag(printed) over w and kinds = lag(kinds) over w as same from f join n using (stream_id, file_no) window w as (partition by stream_id, field order by no)),
+ i as (select *, sum(case when same then 0 else 1 end) over (partition by stream_id, field order by no) as island from s)
+ select stream_id, field, printed, kinds, min(file_no)::int as first_file, max(file_no)::int as last_file, count(*) as n_files from i group by stream_id, field, island, printed, kinds""",
+    "p6_values": """with v as (select stream_id, file_no, record_no, record_json as j from trial_files where record_json is not null and json_valid(record_json)), o as (select * from v where json_type(j)='OBJECT'),
+ w as (select stream_id, file_no, record_no, coalesce(j->>'is_resolved', j->>'isResolved', j->>'resolved', j->>'solved') as r, coalesce(j->>'total_input_tokens', j->>'totalInputTokens', j->>'input_tokens', j->>'prompt_tokens') as i, coalesce(j->>'total_output_tokens', j->>'completion_tokens') as u,
+  j->>'id' as id, j->>'failure_mode' as failure_mode from o)
+ select stream_id, file_no, record_no, id, failure_mode, case when lower(r) in ('true','1','1.0') then true when lower(r) in ('false','0','0.0') then false end as is_resolved,
+  try_cast(replace(case when i like '{%' then i->>'count' else i end, ',', '') as bigint) as total_input_tokens, try_cast(replace(case when u like '{%' then u->>'count' else u end, ',', '') as bigint) as total_output_tokens from w""",
+    "p6_footers": """select distinct table_name as file_name, column_name as field_name, case when data_type='BOOLEAN' then 1 when data_type like '%[]' then 16 when data_type like 'STRUCT%' or data_type like 'MAP%' then 8
+ when data_type in ('TINYINT','SMALLINT','INTEGER','BIGINT','FLOAT','DOUBLE') then 2 else 4 end as kinds from duckdb_columns() where table_name in ('tasks','trials','documents','trial_files','pipeline_results','pack_limits')""",
+}
+
+
 def _log_sql() -> str:
     """p1_found in SQL: one pattern per layout on lines without colour codes, segments by running counts."""
     lv = "(?i:(trace|debug|dbg|info|inf|notice|warning|warn|wrn|error|err|critical|crit|fatal))"
