@@ -161,10 +161,23 @@ def _pairs_sql(kind: str) -> str:
     return f"select '{kind}' as kind, a.id as id_a, b.id as id_b from {rows} a join {rows} b on a.id<b.id and len(a.w)>0 and len(list_intersect(a.w,b.w))>=0.7*(len(a.w)+len(b.w)-len(list_intersect(a.w,b.w)))"
 
 
+def _groups_sql(kind: str) -> str:
+    """Links of every text, and the smallest row that it reaches over them."""
+    t, k, _ = TEXTS[kind]
+    return f"""select '{kind}' as kind, n.id as row_id, least(n.id, coalesce(min(r.root), n.id)) as group_id, coalesce(any_value(l.n), 0)::bigint as n_links
+ from (select {k} as id from {t}) n left join reached_{kind} r on r.id=n.id left join (select a, count(*) as n from links_{kind} group by a) l on l.a=n.id group by n.id"""
+
+
+def _reach_sql(kind: str) -> str:
+    return f"""links_{kind} as (select id_a as a, id_b as b from ({_pairs_sql(kind)}) union all select id_b, id_a from ({_pairs_sql(kind)})),
+ reached_{kind} as (select distinct b as id, a as root from links_{kind} union select l.b, r.root from reached_{kind} r join links_{kind} l on l.a=r.id where r.root<l.b)"""
+
+
 _PRESENT = " + ".join(f"(case when {c} is not null and trim({c}::varchar)<>'' then 1 else 0 end)" for c in VALUES)
 _FORM = canonical_sql("text")
 ORACLES = {
     "p2_found": _pairs_sql("task") + " union all " + _pairs_sql("topic"),
+    "p2_groups": "with recursive " + ", ".join(map(_reach_sql, TEXTS)) + " " + " union all ".join(map(_groups_sql, TEXTS)),
     "p5_found": f"""with r as (select *, regexp_replace(lower(topic),'[^\\p{{L}}\\p{{N}}]','','g') as k, {_PRESENT} as n from pipeline_results where topic is not null and batch is not null),
  g as (select batch, k, first(result_id order by n desc, recorded_at desc nulls last, result_id desc) as survivor_id, coalesce(first(result_id order by (origin='report') desc, recorded_at desc nulls last, result_id desc) filter (trim(classification)<>''),-1) as class_row_id from r group by batch, k having count(*)>1)
  select batch, survivor_id, class_row_id from g""",
