@@ -44,7 +44,8 @@ def as_flag(x: str) -> str:
 
 def unnest_reports(df: DataFrame, key: str, doc: str) -> dict[str, DataFrame]:
     """Flat tables of nested reports: metrics, results, stages, checks (functional validations), their
-    issues, times, builds and runs, tiers and trials.
+    issues, times, builds and runs, tiers and trials, and the others: fields of results, tiers and
+    trials that have no column, one row each (tier and trial_no tell where).
 
     Links: every row holds ``key``; below that, but for metrics, result_no (position in the report,
     from 0, null elements counted), attempt_no for checks and their children, tier for trials.
@@ -97,7 +98,19 @@ def unnest_reports(df: DataFrame, key: str, doc: str) -> dict[str, DataFrame]:
     tiers = parsed.select("_key", F.expr(f"""flatten(transform(filter(_rs, s -> s.r is not null), s -> transform(map_entries(coalesce(from_json(from_json(s.r.stages['evaluation'], 'tier_results string').tier_results, 'map<string,string>'), map())),
         e -> struct(s.result_no as result_no, e.key as tier, from_json(e.value, '{TIER}') as t))))""").alias("_ts"))
     flat_tiers = tiers.select(key_col, F.expr("inline(transform(filter(_ts, x -> x.t is not null), x -> struct(x.result_no as result_no, x.tier as tier, x.t.model as model, try_cast(x.t.passes as bigint) as passes, try_cast(x.t.total as bigint) as total)))"))
-    trials = tiers.select(key_col, F.expr(f"""inline(flatten(transform(filter(_ts, x -> x.t is not null), x -> transform(coalesce(x.t.trials, array()), (j, n) -> struct(x.result_no as result_no, x.tier as tier, n as trial_no,
-        from_json(j, '{TRIAL}').trial as trial, {as_flag(f"from_json(j, '{TRIAL}').resolved")} as resolved, try_cast(from_json(j, '{TRIAL}').input_tokens as bigint) as input_tokens,
-        try_cast(from_json(j, '{TRIAL}').output_tokens as bigint) as output_tokens, from_json(j, '{TRIAL}').failure_mode as failure_mode)))))"""))
-    return {"metrics": metrics, "results": results, "stages": stages, "checks": flat_checks, "issues": issues, "times": times, "builds": builds, "runs": runs, "tiers": flat_tiers, "trials": trials}
+    each = tiers.select("_key", F.expr(f"""flatten(transform(filter(_ts, x -> x.t is not null), x -> transform(coalesce(x.t.trials, array()),
+        (j, n) -> struct(x.result_no as result_no, x.tier as tier, n as trial_no, j as j, from_json(j, '{TRIAL}') as y)))) as _ys"""))
+    trials = each.select(key_col, F.expr(f"""inline(transform(_ys, x -> struct(x.result_no as result_no, x.tier as tier, x.trial_no as trial_no, x.y.trial as trial, {as_flag('x.y.resolved')} as resolved,
+        try_cast(x.y.input_tokens as bigint) as input_tokens, try_cast(x.y.output_tokens as bigint) as output_tokens, x.y.failure_mode as failure_mode)))"""))
+    # fields without a column, one row each
+    unknown = lambda doc, known: f"map_entries({other(doc, *(x.split()[0] for x in known.split(', ')))})"
+    row = "struct({} as result_no, {} as tier, {} as trial_no, e.key as field, e.value as value)"
+    of_results = base.select(key_col, F.expr(f"""inline(flatten(transform(_results, (d, i) -> transform({unknown('d', RESULT)}, e -> {row.format('i', 'cast(null as string)', 'cast(null as int)')}))))"""))
+    of_tiers = parsed.select(key_col, F.expr(f"""inline(flatten(flatten(transform(filter(_rs, s -> s.r is not null), s -> transform(map_entries(coalesce(from_json(from_json(s.r.stages['evaluation'],
+        'tier_results string').tier_results, 'map<string,string>'), map())), t -> transform({unknown('t.value', TIER)}, e -> {row.format('s.result_no', 't.key', 'cast(null as int)')}))))))"""))
+    of_trials = each.select(key_col, F.expr(f"inline(flatten(transform(_ys, x -> transform({unknown('x.j', TRIAL)}, e -> {row.format('x.result_no', 'x.tier', 'x.trial_no')}))))"))
+    others = of_results.unionByName(of_tiers).unionByName(of_trials)
+    return {
+        "metrics": metrics, "results": results, "stages": stages, "checks": flat_checks, "issues": issues, "times": times, "builds": builds, "runs": runs,
+        "tiers": flat_tiers, "trials": trials, "others": others,
+    }

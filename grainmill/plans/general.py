@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from grainmill.operators.drift import ALIASES, TRIAL_FIELDS, consistent_table, field_catalogue, field_lifespans, footer_catalogue, schema_changes
 from grainmill.operators.logs import parse_log_entries
-from grainmill.operators.nested import unnest_reports
+from grainmill.operators.nested import RESULT, unnest_reports
 from grainmill.operators.timestamps import normalize_timestamps
 from grainmill.session import table
 
@@ -115,6 +115,7 @@ QUERIES = {
     "p4_metrics": _p4("metrics"),
     "p4_tiers": _p4("tiers"),
     "p4_trials": _p4("trials"),
+    "p4_others": _p4("others"),
     "p6_found": p6_found,
     "p6_lifespans": p6_lifespans,
     "p6_table": p6_table,
@@ -170,6 +171,10 @@ ORACLES |= {
     "p4_tiers": f"with {_REPORTS} select report_id, result_no, tier, {_s('t', 'model')} as model, try_cast({_s('t', 'passes')} as bigint) as passes, try_cast({_s('t', 'total')} as bigint) as total from tt",
     "p4_trials": f"""with {_REPORTS} select report_id, result_no, tier, trial_no, {_s('q', 'trial')} as trial, {_flag(_s('q', 'resolved'))} as resolved, try_cast({_s('q', 'input_tokens')} as bigint) as input_tokens,
  try_cast({_s('q', 'output_tokens')} as bigint) as output_tokens, {_s('q', 'failure_mode')} as failure_mode from tl""",
+    "p4_others": f"""with {_REPORTS}, u as (select report_id, result_no, null::varchar as tier, null::int as trial_no, unnest(json_keys(j)) as field, j as d from o union all select report_id, result_no, tier, null, unnest(json_keys(t)), t from tt
+  union all select report_id, result_no, tier, trial_no, unnest(json_keys(q)), q from tl where json_type(q)='OBJECT')
+ select report_id, result_no, tier, trial_no, field, json_extract_string(d,'$."'||field||'"') as value from u where json_extract_string(d,'$."'||field||'"') is not null and
+  field not in ({', '.join(repr(x.split()[0]) for x in RESULT.split(', '))}) and (tier is null or trial_no is not null or field not in ('model','passes','total','trials')) and (trial_no is null or field not in ('trial','resolved','failure_mode','input_tokens','output_tokens'))""",
     "p4_metrics": f"with {_REPORTS}, m as (select report_id, unnest(json_keys(ms)) as metric, ms from r where json_type(ms)='OBJECT') select report_id, metric, json_extract_string(ms, '$.\"'||metric||'\"') as value from m",
     "p4_builds": f"""with {_REPORTS}, b as (select *, json_extract(det,'$.build') as b, case when json_type(f,'$.execution_times')='ARRAY' then json_extract_string(list_filter(json_extract(f,'$.execution_times[*]'), lambda p: json_extract_string(p,'$.phase')='build')[1],'$.seconds') else {_s('f', 'execution_times.build')} end as t from de)
  select report_id, result_no, attempt_no, {_flag(_s('b', 'success'))} as build_success, coalesce({_ms.format('t')}, -1) as build_ms, {_s('b', 'error')} as build_error from b where json_type(b)='OBJECT'""",

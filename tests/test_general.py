@@ -289,6 +289,15 @@ def test_reports_keep_their_leaves(spark):
     assert rows(t["trials"].where("id = 1").select("failure_mode", "output_tokens")) == [("timeout", 4)]
 
 
+def test_reports_keep_unknown_fields(spark):
+    trial = {"trial": "t0", "seed": 7, "why": None}
+    doc = [None, {"topic": "a", "owner": "x", "stages": {"evaluation": {"tier_results": {"final": {"passes": 1, "early_stopped": True, "trials": [None, trial]}}}}}, {"tags": ["b"]}]
+    t = unnest_reports(spark.createDataFrame([(1, json.dumps(doc)), (2, None)], "id long, j string"), "id", "j")
+    assert sorted((tuple(r) for r in t["others"].collect()), key=str) == [
+        (1, 1, "final", 1, "seed", "7"), (1, 1, "final", None, "early_stopped", "true"), (1, 1, None, None, "owner", "x"), (1, 2, None, None, "tags", '["b"]'),
+    ]
+
+
 def test_consistent_table_keeps_every_field(spark):
     record = {
         "instruction": "do", "trialStartedAt": "2024-03-01T10:00:00Z", "trial_ended_at": 1709287260, "agent_start": "2024-03-01T10:01:00Z", "agent_end": "2024-03-01T10:02:00Z",
