@@ -65,13 +65,14 @@ def funnel_aggregates(generated: Column | None = None, evaluated: Column | None
     ]
 
 
-def with_rates(df: DataFrame) -> DataFrame:
-    """Yield of learnable rows, functional rate of generated ones, learnable rate of evaluated ones; 0 on empty denominators."""
-    return df.withColumns({
-        "learnable_yield": safe_ratio(F.col("learnable"), F.col("total")),
-        "functional_rate": safe_ratio(F.col("functional"), F.col("generated")),
-        "learnable_rate": safe_ratio(F.col("learnable"), F.col("evaluated")),
-    })
+def with_rates(df: DataFrame, places: int | None = None) -> DataFrame:
+    """Yield of learnable rows, functional rate of generated ones, learnable rate of evaluated ones; 0 on empty denominators.
+
+    ``places``: decimals of a printed report, half to even; by default unrounded.
+    """
+    pairs = {"learnable_yield": ("learnable", "total"), "functional_rate": ("functional", "generated"), "learnable_rate": ("learnable", "evaluated")}
+    rates = {k: safe_ratio(F.col(a), F.col(b)) for k, (a, b) in pairs.items()}
+    return df.withColumns(rates if places is None else {k: F.bround(c, places) for k, c in rates.items()})
 
 
 def batch_summary(df: DataFrame, usage: DataFrame, by: str) -> DataFrame:

@@ -85,14 +85,14 @@ def share_findings(patterns: DataFrame, dist: DataFrame, label: str, base: str,
 
 
 def position_gaps(df: DataFrame, key: str, positions: str, total: Column) -> DataFrame:
-    """largest and mean gap between sorted positions and their span over ``total``; zeros below two positions."""
+    """largest and mean gap between sorted positions and their span over ``total`` (two decimals); zeros below two positions."""
     p = F.array_sort(positions)
     gaps = F.zip_with(F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(0))), F.slice(p, F.lit(1), F.greatest(F.size(p) - 1, F.lit(0))), lambda a, b: a - b)
     few = F.size(p) < 2
     span = F.element_at(p, -1) - F.element_at(p, 1)
     return df.select(key, F.when(few, 0).otherwise(F.array_max(gaps)).alias("max_gap"),
                      F.when(few, 0.0).otherwise(F.aggregate(gaps, F.lit(0).cast("long"), lambda a, x: a + x) / F.size(gaps)).alias("avg_gap"),
-                     F.when(few, 0.0).otherwise(F.coalesce(F.try_divide(span, total), F.lit(0.0))).alias("spread"))
+                     F.when(few, 0.0).otherwise(F.bround(F.coalesce(F.try_divide(span, total), F.lit(0.0)).cast("double"), 2)).alias("spread"))
 
 
 def task_quality(files: DataFrame, key: str, path: str, content: str) -> DataFrame:

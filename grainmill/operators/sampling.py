@@ -91,8 +91,11 @@ def example_score(rate: Column, match: Column, tokens: Column) -> Column:
     return near + F.when(F.coalesce(match, F.lit(False)), 0.5).otherwise(0.0) + small
 
 
-def topic_weights(results: DataFrame, old: DataFrame, topic: str, least_attempts: int = 2, floor: float = 0.05) -> DataFrame:
-    """topic, weight, from the functional and learnable rates of past attempts; too few attempts keep the old weight (default 1)."""
+def topic_weights(results: DataFrame, old: DataFrame, topic: str, least_attempts: int = 2, floor: float = 0.05, places: int | None = None) -> DataFrame:
+    """topic, weight, from the functional and learnable rates of past attempts; too few attempts keep the old weight (default 1).
+
+    ``places``: decimals of weights that are written back, half to even; by default unrounded.
+    """
     ok = F.col("stages.functional.passed").eqNullSafe(True)
     bad = ~ok & F.coalesce(F.col("status"), F.lit("")).contains("functional")
     c = F.col("classification")
@@ -103,4 +106,5 @@ def topic_weights(results: DataFrame, old: DataFrame, topic: str, least_attempts
     raw = F.when(func > 0, func * 0.4 + learn * 0.6).otherwise(0.0)
     kept = F.coalesce("old_weight", F.lit(1.0))
     few = F.coalesce(tried + F.col("evals"), F.lit(0)) < least_attempts
-    return old.join(stats, topic, "left").select(topic, F.when(few, kept).otherwise(F.greatest(F.lit(floor), raw)).alias("weight"))
+    new = F.greatest(F.lit(floor), raw if places is None else F.bround(raw, places))
+    return old.join(stats, topic, "left").select(topic, F.when(few, kept).otherwise(new).alias("weight"))

@@ -78,13 +78,6 @@ def failure_of(exception: Column, table: dict[str, str], default: str = "unknown
     return F.coalesce(F.try_element_at(m, exception), F.lit(default))
 
 
-def running(trials: DataFrame, task: str, order: Sequence[str], resolved: Column) -> DataFrame:
-    """Adds trial_no (from 1) and passes so far, per task in trial order."""
-    w = Window.partitionBy(task).orderBy(*order)
-    r = F.coalesce(resolved, F.lit(False)).cast("int")
-    return trials.withColumns({"trial_no": F.row_number().over(w), "passes": F.sum(r).over(w.rowsBetween(Window.unboundedPreceding, 0))})
-
-
 def early_stop(trials: DataFrame, task: str, order: Sequence[str], resolved: Column, n: int = 5, first: int = 3, low: int = 1, high: int = 3, skip_at: int | None = None, prior: tuple[int, int] = (0, 0)) -> DataFrame:
     """task, decided_at, passes, decision: the first point at which the outcome is certain.
 

@@ -305,6 +305,22 @@ def batch_trends(spark, d):
     return metrics.batch_trend(inventory._results(spark, d), inventory.usage_by_batch(spark, d), "batch")
 
 
+@query("""with f as (select batch, count(*) as total, count(*) filter (classification='learnable') as l, count(*) filter (classification<>'') as ev from pipeline_results group by batch)
+ select batch, round_even(l::double/total,4)::double as learnable_yield, coalesce(round_even(l::double/nullif(ev,0),4)::double,0.0) as learnable_rate from f""")
+def printed_rates(spark, d):
+    """Rates of every batch as a report prints them, with four decimals."""
+    got = metrics.with_rates(inventory._results(spark, d).groupBy("batch").agg(*metrics.funnel_aggregates()), places=4)
+    return got.select("batch", "learnable_yield", "learnable_rate")
+
+
+@query(f"select topic, case when weight=1.0 then 1.0 else greatest(0.05, round_even(weight,2)::double) end as weight from ({inventory.ORACLES['topic_weights']})")
+def printed_weights(spark, d):
+    """Sampling weights with the two decimals in which they are written back."""
+    r = inventory._results(spark, d)
+    old = r.where("topic is not null").select("topic").distinct().withColumn("old_weight", F.lit(1.0))
+    return sampling.topic_weights(r, old, "topic", places=2)
+
+
 @query("""select count(*) as total, count(*) filter (stage in ('completed','failed')) as done, count(*) filter (stage in ('generating','structural','functional','evaluating')) as running, count(*) filter (stage='failed') as failed,
  count(*) filter (classification='learnable') as learnable, count(*) filter (classification='too_easy') as too_easy, count(*) filter (classification='too_hard') as too_hard, coalesce(sum(coalesce(pass_rate,0))/nullif(count(*) filter (classification='learnable'),0),0.0) as cost_per_learnable from task_status""")
 def header_counts(spark, d):
