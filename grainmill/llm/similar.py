@@ -29,6 +29,8 @@ from grainmill.operators.setjoin import prefixes, sketch_width, word_counts
 from grainmill.session import cut_lineage
 
 BITS = 128
+#: Rows of a block up to which all such blocks of a batch are compared together.
+SMALL = 48
 #: Parts over which the rows of a hot word are spread when they meet its cells.
 SALTS = 32
 
@@ -66,6 +68,28 @@ def tile_pairs(sig: np.ndarray, size: np.ndarray, left: np.ndarray, right: np.nd
                 yield i[x], j[y]
 
 
+def near_pairs(sig: np.ndarray, size: np.ndarray, side: np.ndarray, length: np.ndarray, t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within the radius of all blocks of at most SMALL rows, blocks lying one after the other: all rows are compared with
+    the d-th row after them, for d = 1, 2, …, in one exclusive-or each. Blocks of both sides compare across them only."""
+    if not len(side):
+        return
+    start = np.cumsum(length) - length
+    two = np.repeat(np.add.reduceat(side, start) > 0, length)
+    left = np.repeat(np.where(length <= SMALL, length, 0), length) - (np.arange(len(size)) - np.repeat(start, length))  # rows from here to the block's end
+    r = (1 - t) / (1 + t)
+    i = np.flatnonzero(left > 1)
+    d = 1
+    while len(i):
+        j = i + d
+        fit = (size[i] >= size[j] * t - 1e-9) & (size[j] >= size[i] * t - 1e-9) & (~two[i] | (side[i] != side[j]))
+        x, y = i[fit], j[fit]
+        apart = np.bitwise_count(sig[x] ^ sig[y]).sum(axis=1, dtype=np.int32)
+        ok = apart <= r * (size[x] + size[y]) + 1e-9
+        yield x[ok], y[ok]
+        d += 1
+        i = i[left[i] > d]
+
+
 def _fold_rows(counts, t: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -88,10 +112,13 @@ def _compare(t: float):
         bits = tab.column("bits").combine_chunks().cast(pa.binary(BITS // 8))
         sig = np.frombuffer(bits.buffers()[1], np.uint64, len(bits) * BITS // 64, bits.offset * BITS // 8).reshape(-1, BITS // 64)
         cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+        length = np.diff(cut)
         xs, ys = [], []
-        for s, e in zip(cut[:-1], cut[1:]):
-            if e - s < 2:
-                continue
+        for x, y in near_pairs(sig, size, side, length, t):
+            xs.append(x)
+            ys.append(y)
+        for b in np.flatnonzero(length > SMALL).tolist():
+            s, e = cut[b], cut[b + 1]
             at = np.arange(s, e)
             at = at[np.argsort(size[s:e], kind="stable")]
             if (side[s:e] == 0).all():

@@ -70,6 +70,30 @@ def test_similar_edges(spark):
     assert {i: n for i, (_, n) in g.items()} == links
 
 
+def test_small_blocks_together():
+    """Blocks compared together give the pairs that tiles give one by one."""
+    from grainmill.llm.similar import SMALL, near_pairs, tile_pairs
+
+    rnd = np.random.default_rng(6)
+    length = np.array([1, 2, SMALL, SMALL + 1, 5, 1, 30, 7])
+    n = int(length.sum())
+    sig, size = rnd.integers(0, 2**63, (n, 2)).astype(np.uint64) & np.uint64(0x0F0F), rnd.integers(4, 9, n)
+    side = np.zeros(n, np.int32)
+    side[-20:-10] = 1  # parts of the last two blocks
+    want, s = set(), 0
+    for k in length:
+        at = s + np.argsort(size[s : s + k], kind="stable")
+        both = (side[at] == 0).all()
+        pairs = tile_pairs(sig, size, at, at, 0.3) if both else tile_pairs(sig, size, at[side[at] == 0], at[side[at] == 1], 0.3)
+        fits = lambda i, j: min(size[i], size[j]) >= 0.3 * max(size[i], size[j]) - 1e-9
+        if k <= SMALL:
+            want |= {(min(i, j), max(i, j)) for x, y in pairs for i, j in zip(x.tolist(), y.tolist()) if fits(i, j)}
+        s += k
+    got = [(i, j) for x, y in near_pairs(sig, size, side, length, 0.3) for i, j in zip(x.tolist(), y.tolist())]
+    assert len(got) == len(set(got)) and set(got) == want and want
+    assert list(near_pairs(sig[:0], size[:0], side[:0], length[:0], 0.3)) == []
+
+
 def test_components(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(1, 12)] + [(20, 21)], "a long, b long")
     assert {r.node: r.component for r in components(e).collect()} == {**{i: 1 for i in range(1, 13)}, 20: 20, 21: 20}
