@@ -164,6 +164,32 @@ def test_prefix_pairs_is_exact(spark):
     assert rows(diversity.ordered_text(notes, "k", "p", "c")) == [("a", "**_bugs.md**\nwhy\n**x**\n1")]
 
 
+def test_word_counts_hold_no_row_per_counter(spark):
+    """The sketch reaches the driver packed, also where the session has Arrow off."""
+    import tracemalloc
+
+    import numpy as np
+
+    from grainmill.operators.setjoin import word_counts
+
+    arrow = "spark.sql.execution.arrow.pyspark.enabled"
+    words = spark.range(150_000).select((F.col("id") % 100_000).cast("string").alias("w"))
+    spark.conf.set(arrow, "false")
+    tracemalloc.start()
+    try:
+        got = word_counts(words, 1 << 17)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        spark.conf.set(arrow, "true")
+    at = words.select(F.pmod(F.xxhash64("w"), F.lit(1 << 17)).alias("i")).groupBy("i").count().collect()
+    want = np.zeros(1 << 17, np.int32)
+    for r in at:
+        want[r["i"]] = r["count"]
+    assert (got == want).all() and got.sum() == 150_000 and peak < 6e6
+    assert word_counts(words.limit(0), 64).tolist() == [0] * 64
+
+
 def test_cells_lose_no_pair(spark):
     import random
 
