@@ -17,140 +17,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.operators.setjoin import prefixes, sketch_width, word_counts
+from grainmill.operators.setjoin import near_sets, sketch_width, word_counts
 from grainmill.session import cut_lineage
 
-BITS = 128
-#: Rows of a block up to which all such blocks of a batch are compared together.
-SMALL = 48
-#: Parts over which the rows of a hot word are spread when they meet its cells.
-SALTS = 32
-
-
 def word_set(text: Column) -> Column:
     """Distinct runs of a-z after lower-casing, sorted; null for a null text."""
     return F.sort_array(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("([a-z]+)"), F.lit(1))))
 
 
-def fold(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Bit vectors (rows x BITS/64) of ragged hash arrays: the exclusive-or of each row's word bits."""
-    sig = np.zeros((len(offsets) - 1, BITS // 64), np.uint64)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    bit = values.view(np.uint64) % np.uint64(BITS)
-    np.bitwise_xor.at(sig, (row, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
-    return sig
-
-
-def tile_pairs(sig: np.ndarray, size: np.ndarray, left: np.ndarray, right: np.ndarray, t: float, tile: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i of left, j of right) within the radius; both sides sorted by size. ``left is right`` compares i < j."""
-    same = left is right
-    r = (1 - t) / (1 + t)
-    for a in range(0, len(left), tile):
-        i = left[a : a + tile]
-        for b in range(a if same else 0, len(right), tile):
-            j = right[b : b + tile]
-            if size[j[0]] * t > size[i[-1]] + 1e-9 or size[i[0]] * t > size[j[-1]] + 1e-9:
-                continue  # population counts differ beyond the radius
-            apart = np.bitwise_count(sig[i][:, None, :] ^ sig[j][None, :, :]).sum(axis=2, dtype=np.int32)
-            ok = apart <= r * (size[i][:, None] + size[j][None, :]) + 1e-9
-            if same and a == b:
-                ok &= np.triu(np.ones_like(ok), 1)
-            x, y = np.nonzero(ok)
-            if len(x):
-                yield i[x], j[y]
-
-
-def near_pairs(sig: np.ndarray, size: np.ndarray, side: np.ndarray, length: np.ndarray, t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs within the radius of all blocks of at most SMALL rows, blocks lying one after the other: all rows are compared with
-    the d-th row after them, for d = 1, 2, …, in one exclusive-or each. Blocks of both sides compare across them only."""
-    if not len(side):
-        return
-    start = np.cumsum(length) - length
-    two = np.repeat(np.add.reduceat(side, start) > 0, length)
-    left = np.repeat(np.where(length <= SMALL, length, 0), length) - (np.arange(len(size)) - np.repeat(start, length))  # rows from here to the block's end
-    r = (1 - t) / (1 + t)
-    i = np.flatnonzero(left > 1)
-    d = 1
-    while len(i):
-        j = i + d
-        fit = (size[i] >= size[j] * t - 1e-9) & (size[j] >= size[i] * t - 1e-9) & (~two[i] | (side[i] != side[j]))
-        x, y = i[fit], j[fit]
-        apart = np.bitwise_count(sig[x] ^ sig[y]).sum(axis=1, dtype=np.int32)
-        ok = apart <= r * (size[x] + size[y]) + 1e-9
-        yield x[ok], y[ok]
-        d += 1
-        i = i[left[i] > d]
-
-
-def _fold_rows(counts, t: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            c = b.column("hashes")
-            off = c.offsets.to_numpy()
-            values, off = c.values.to_numpy()[off[0] : off[-1]], (off - off[0]).astype(np.int64)
-            sig = fold(values, off)
-            bits = pa.Array.from_buffers(pa.binary(BITS // 8), len(sig), [None, pa.py_buffer(sig.tobytes())]).cast(pa.binary())
-            token, n, cut = prefixes(values, off, counts.value, t)
-            prefix = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.StructArray.from_arrays([pa.array(n), pa.array(token)], ["n", "token"]))
-            out = pa.RecordBatch.from_arrays([b.column("rep"), pa.array(np.diff(off), pa.int32()), bits, prefix], names=["rep", "size", "bits", "prefix"])
-            yield out.filter(pa.array(np.diff(cut) > 0))
-
-    return run
-
-
-def _compare(t: float):
-    def emit(tab: pa.Table) -> Iterator[pa.RecordBatch]:
-        block, side, rep, size = (tab.column(k).to_numpy() for k in ("block", "side", "rep", "size"))
-        bits = tab.column("bits").combine_chunks().cast(pa.binary(BITS // 8))
-        sig = np.frombuffer(bits.buffers()[1], np.uint64, len(bits) * BITS // 64, bits.offset * BITS // 8).reshape(-1, BITS // 64)
-        cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
-        length = np.diff(cut)
-        xs, ys = [], []
-        for x, y in near_pairs(sig, size, side, length, t):
-            xs.append(x)
-            ys.append(y)
-        for b in np.flatnonzero(length > SMALL).tolist():
-            s, e = cut[b], cut[b + 1]
-            at = np.arange(s, e)
-            at = at[np.argsort(size[s:e], kind="stable")]
-            if (side[s:e] == 0).all():
-                found = tile_pairs(sig, size, at, at, t)
-            else:
-                found = tile_pairs(sig, size, at[side[at] == 0], at[side[at] == 1], t)
-            for x, y in found:
-                xs.append(x)
-                ys.append(y)
-        if xs:
-            a, b = rep[np.concatenate(xs)], rep[np.concatenate(ys)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["rep_a", "rep_b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for b in batches:
-            if not b.num_rows:
-                continue
-            tab = pa.Table.from_batches([b])
-            tab = pa.concat_tables([held, tab]) if held is not None else tab
-            block = tab.column("block").to_numpy()
-            other = np.flatnonzero(block != block[-1])
-            n = int(other[-1]) + 1 if len(other) else 0
-            if n:
-                yield from emit(tab.slice(0, n))
-            held = tab.slice(n)
-        if held is not None:
-            yield from emit(held)
-
-    return run
-
-
 def word_classes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(classes: rep, words, n_members), (members: id, rep). Null texts and texts without a word are left out."""
     base = df.select(F.col(key).cast("long").alias("id"), word_set(F.col(text)).alias("words")).where(F.size("words") > 0)
@@ -164,27 +41,7 @@ def word_classes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFra
 def similar_classes(classes: DataFrame, t: float, tile: int = 2048, sketch: int | None = None) -> DataFrame:
     """rep_a < rep_b, similarity: all pairs of classes with similarity >= t. ``sketch``: counters of the word sketch, by default by the number of classes."""
     counts = classes.sparkSession.sparkContext.broadcast(word_counts(classes.select(F.explode("words").alias("w")), sketch or sketch_width(classes.count())))
-    # words travel as 64-bit hashes: two words that met in one would only share a block, never lose a pair
-    rows = classes.select("rep", F.transform("words", lambda x: F.xxhash64(x)).alias("hashes"))
-    # written once, as the cool and the hot blocks below both start from it
-    rows = cut_lineage(rows.mapInArrow(_fold_rows(counts, t), "rep long, size int, bits binary, prefix array<struct<n: int, token: long>>"))
-    rows = rows.select("rep", "size", "bits", F.inline("prefix"))
-    # a counter is never below its word's frequency, so a cool block is within the tile
-    cool = rows.where(F.col("n") <= tile).select(F.col("token").alias("block"), F.lit(0).alias("side"), "rep", "size", "bits")
-    hot = rows.where(F.col("n") > tile).select("token", "rep", "size", "bits")
-    cells = cut_lineage(hot.groupBy("token", "size").agg(F.ceil(F.count("*") / tile).cast("int").alias("salts")))
-    near = cells.groupBy("token").agg(F.collect_list(F.struct("size", "salts")).alias("cells"))
-    within = F.filter("cells", lambda c: (c["size"] >= F.col("size") * t - 1e-9) & (c["size"] * t <= F.col("size") + 1e-9))
-    near = cells.join(near, "token").select("token", "size", "salts", within.alias("cells"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part"))
-    own = hot.withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(near, ["token", "size", "part"])
-    own = own.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("salts")).cast("int"))
-    own = own.withColumn("cell", F.explode("cells")).withColumn("salt2", F.explode(F.sequence(F.lit(0), F.col("cell.salts") - 1)))
-    mine, theirs = F.struct("size", "salt"), F.struct(F.col("cell.size").alias("size"), F.col("salt2").alias("salt"))
-    key = F.xxhash64("token", F.least(mine, theirs), F.greatest(mine, theirs))
-    tiled = own.select(key.alias("block"), F.when(mine > theirs, 1).otherwise(0).alias("side"), "rep", "size", "bits")
-    blocks = cool.unionByName(tiled)
-    blocks = blocks.repartition("block").sortWithinPartitions("block")
-    pairs = blocks.mapInArrow(_compare(t), "rep_a long, rep_b long").distinct()
+    pairs = near_sets(classes.select("rep", "words"), None, counts, t, tile)
     a = classes.select(F.col("rep").alias("rep_a"), F.col("words").alias("wa"))
     b = classes.select(F.col("rep").alias("rep_b"), F.col("words").alias("wb"))
     both = F.size(F.array_intersect("wa", "wb"))

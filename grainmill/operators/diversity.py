@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from grainmill.functions.scalars import jaccard
 from grainmill.operators.ranks import at_ranks, middle_ranks
-from grainmill.operators.setjoin import PARTS, candidates, prefix_rows, sketch_width, word_counts
+from grainmill.operators.setjoin import PARTS, near_sets, sketch_width, word_counts
 from grainmill.session import cut_lineage
 
 
@@ -48,15 +48,17 @@ def prefix_pairs(sets: DataFrame, key: str, words: str, t: float, part: int = 20
     """key_a < key_b, similarity: pairs of rows whose word arrays (distinct) have Jaccard similarity >= t.
 
     Equal sets collapse to classes first; classes meet on a rare word of their prefixes, in bounded
-    cells; the distinct candidates are verified on the words and classes' members are joined back.
+    cells, where a bit test drops most; what is left is verified and classes' members are joined back.
     Rows without words are in no pair.
     """
     base = sets.where(F.size(words) > 0).select(F.col(key).alias("k"), F.sort_array(words).alias("w"))
     base = base.withColumn("g", F.substring(F.unhex(F.sha2(F.array_join("w", " "), 256)), 1, 16))
-    cls = cut_lineage(base.groupBy("g").agg(F.first("w").alias("w"), F.count("*").alias("m")))
-    counts = sets.sparkSession.sparkContext.broadcast(word_counts(cls.select(F.explode("w").alias("w")), sketch_width(cls.count())))
-    near = candidates(cut_lineage(prefix_rows(cls, "g", "w", counts, t)), None, t, part)
-    near = near.join(cls.select(F.col("g").alias("ka"), F.col("w").alias("wa")), "ka").join(cls.select(F.col("g").alias("kb"), F.col("w").alias("wb")), "kb")
+    cls = base.groupBy("g").agg(F.first("w").alias("words"), F.count("*").alias("m"))
+    cls = cut_lineage(cls.select(F.monotonically_increasing_id().alias("rep"), "g", "words", "m"))
+    counts = sets.sparkSession.sparkContext.broadcast(word_counts(cls.select(F.explode("words").alias("w")), sketch_width(cls.count())))
+    near = near_sets(cls.select("rep", "words"), None, counts, t, part)
+    side = lambda x: cls.select(F.col("rep").alias(f"rep_{x}"), F.col("g").alias(f"k{x}"), F.col("words").alias(f"w{x}"))
+    near = near.join(side("a"), "rep_a").join(side("b"), "rep_b")
     pairs = near.withColumn("similarity", jaccard(F.col("wa"), F.col("wb"))).where(F.col("similarity") >= t).select("ka", "kb", "similarity")
     ma, mb = base.select(F.col("k").alias("a"), F.col("g").alias("ka")), base.select(F.col("k").alias("b"), F.col("g").alias("kb"))
     ends = F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b")
@@ -69,23 +71,23 @@ def prefix_pairs(sets: DataFrame, key: str, words: str, t: float, part: int = 20
 def best_match(new: DataFrame, new_key: str, corpus: DataFrame, corpus_key: str, text: str, words, t: float, part: int = 2048) -> DataFrame:
     """new_key, corpus_key, similarity, how: an exact copy (by digest) first, else the most similar corpus row >= t (ties: smallest key).
 
-    Candidates meet on the prefixes of the corpus' word order, in bounded cells; copies on either side
-    stand for one text until the end.
+    Copies on either side stand for one text until the end. Texts meet on rare words of their prefixes,
+    in bounded cells, and are written once as they are: word lists are made where they are read.
     """
-    digest = F.sha2(F.col(text), 256)
+    digest = F.unhex(F.sha2(F.col(text), 256))
     n = new.select(F.col(new_key).alias("nk"), F.col(text).alias("x"), digest.alias("h")).where(F.col("h").isNotNull())
     c = corpus.select(F.col(corpus_key).alias("ck"), F.col(text).alias("x"), digest.alias("h")).where(F.col("h").isNotNull())
-    texts = cut_lineage(c.groupBy("h").agg(F.min("ck").alias("ck"), F.first("x").alias("x")).select("h", "ck", words(F.col("x")).alias("wc")))
-    wanted = cut_lineage(n.groupBy("h").agg(F.first("x").alias("x")).select("h", words(F.col("x")).alias("wn")))
-    exact = wanted.join(texts.select("h", "ck"), "h").select("h", "ck", F.lit(1.0).alias("similarity"), F.lit("exact").alias("how"))
-    rest = cut_lineage(wanted.join(texts.select("h"), "h", "left_anti"))
-    counts = new.sparkSession.sparkContext.broadcast(word_counts(texts.select(F.explode("wc").alias("w")), sketch_width(texts.count())))
-    # words that the corpus lacks hold their place in the prefix but meet nothing
-    left, right = (cut_lineage(prefix_rows(d, k, w, counts, t, least=1)) for d, k, w in ((rest, "h", "wn"), (texts, "ck", "wc")))
-    near = candidates(left, right, t, part)
-    hits = near.join(rest.withColumnRenamed("h", "ka"), "ka").join(texts.select(F.col("ck").alias("kb"), "wc"), "kb")
-    hits = hits.withColumn("similarity", jaccard(F.col("wn"), F.col("wc"))).where(F.col("similarity") >= t)
-    best = hits.groupBy(F.col("ka").alias("h")).agg(F.max(F.struct("similarity", (-F.col("kb")).alias("neg"))).alias("m"))
+    both = c.withColumn("asked", F.lit(False)).unionByName(n.select(F.lit(None).cast(dict(c.dtypes)["ck"]).alias("ck"), "x", "h", F.lit(True).alias("asked")))
+    texts = both.groupBy("h").agg(F.min("ck").alias("ck"), F.bool_or("asked").alias("asked"), F.bool_and("asked").alias("fresh"), F.first("x").alias("x"))
+    texts = cut_lineage(texts.select(F.monotonically_increasing_id().alias("rep"), "h", "ck", "asked", "fresh", "x"))
+    exact = texts.where("asked and not fresh").select("h", "ck", F.lit(1.0).alias("similarity"), F.lit("exact").alias("how"))
+    known, rest = texts.where("ck is not null"), texts.where("fresh")
+    sets = lambda d: d.select("rep", words(F.col("x")).alias("words"))
+    counts = new.sparkSession.sparkContext.broadcast(word_counts(sets(texts).select(F.explode("words").alias("w")), sketch_width(texts.count())))
+    near = near_sets(sets(rest), sets(known), counts, t, part)
+    hits = near.join(rest.select(F.col("rep").alias("rep_a"), "h", F.col("x").alias("xa")), "rep_a").join(known.select(F.col("rep").alias("rep_b"), "ck", F.col("x").alias("xb")), "rep_b")
+    hits = hits.withColumn("similarity", jaccard(words(F.col("xa")), words(F.col("xb")))).where(F.col("similarity") >= t)
+    best = hits.groupBy("h").agg(F.max(F.struct("similarity", (-F.col("ck")).alias("neg"))).alias("m"))
     close = best.select("h", (-F.col("m.neg")).alias("ck"), F.col("m.similarity").alias("similarity"), F.lit("similar").alias("how"))
     # copies of one new text are spread over parts when they take its match
     spread = exact.unionByName(close).withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))

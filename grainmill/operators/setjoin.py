@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,10 @@ from grainmill.session import cut_lineage
 SKETCH = 1 << 22
 #: Parts over which rows are spread when they meet the cells of their word.
 PARTS = 32
+#: Bits of a set's folded vector.
+BITS = 128
+#: Rows of a block up to which all such blocks of a batch are compared together.
+SMALL = 48
 
 
 def sketch_width(n_sets: int) -> int:
@@ -59,42 +64,146 @@ def prefixes(values: np.ndarray, offsets: np.ndarray, counts: np.ndarray, t: flo
     return values[first], n[first], np.concatenate([[0], np.cumsum(np.bincount(row[first], minlength=len(size)))])
 
 
-def prefix_rows(sets: DataFrame, key: str, words: str, counts, t: float, least: int = 2) -> DataFrame:
-    """k, n (words of the set), w (hash of one of its first words): the rows that a set is found by. ``counts``: a broadcast sketch."""
-    kind = dict(sets.dtypes)[key]
-
+def fold(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Bit vectors (rows x BITS/64) of ragged hash arrays: the exclusive-or of each row's word bits."""
+    sig = np.zeros((len(offsets) - 1, BITS // 64), np.uint64)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    bit = values.view(np.uint64) % np.uint64(BITS)
+    np.bitwise_xor.at(sig, (row, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+    return sig
+
+
+def tile_pairs(sig: np.ndarray, size: np.ndarray, left: np.ndarray, right: np.ndarray, t: float, tile: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i of left, j of right) within the radius; both sides sorted by size. ``left is right`` compares i < j."""
+    same = left is right
+    r = (1 - t) / (1 + t)
+    for a in range(0, len(left), tile):
+        i = left[a : a + tile]
+        for b in range(a if same else 0, len(right), tile):
+            j = right[b : b + tile]
+            if size[j[0]] * t > size[i[-1]] + 1e-9 or size[i[0]] * t > size[j[-1]] + 1e-9:
+                continue  # population counts differ beyond the radius
+            apart = np.bitwise_count(sig[i][:, None, :] ^ sig[j][None, :, :]).sum(axis=2, dtype=np.int32)
+            ok = apart <= r * (size[i][:, None] + size[j][None, :]) + 1e-9
+            if same and a == b:
+                ok &= np.triu(np.ones_like(ok), 1)
+            x, y = np.nonzero(ok)
+            if len(x):
+                yield i[x], j[y]
+
+
+def near_pairs(sig: np.ndarray, size: np.ndarray, side: np.ndarray, length: np.ndarray, t: float, across: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within the radius of all blocks of at most SMALL rows, blocks lying one after the other: all rows are compared with
+    the d-th row after them, for d = 1, 2, …, in one exclusive-or each. Blocks of both sides compare across them only, and with ``across`` all do."""
+    if not len(side):
+        return
+    start = np.cumsum(length) - length
+    two = np.repeat(across | (np.add.reduceat(side, start) > 0), length)
+    left = np.repeat(np.where(length <= SMALL, length, 0), length) - (np.arange(len(size)) - np.repeat(start, length))  # rows from here to the block's end
+    r = (1 - t) / (1 + t)
+    i = np.flatnonzero(left > 1)
+    d = 1
+    while len(i):
+        j = i + d
+        fit = (size[i] >= size[j] * t - 1e-9) & (size[j] >= size[i] * t - 1e-9) & (~two[i] | (side[i] != side[j]))
+        x, y = i[fit], j[fit]
+        apart = np.bitwise_count(sig[x] ^ sig[y]).sum(axis=1, dtype=np.int32)
+        ok = apart <= r * (size[x] + size[y]) + 1e-9
+        yield x[ok], y[ok]
+        d += 1
+        i = i[left[i] > d]
+
+
+def _fold_rows(counts, t: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            c = b.column("h")
+            c = b.column("hashes")
             off = c.offsets.to_numpy()
-            token, _, cut = prefixes(c.values.to_numpy()[off[0] : off[-1]], (off - off[0]).astype(np.int64), counts.value, t, least)
-            at = pa.array(np.repeat(np.arange(len(cut) - 1), np.diff(cut)))
-            yield pa.RecordBatch.from_arrays([b.column("k").take(at), pa.array(np.diff(off), pa.int32()).take(at), pa.array(token)], names=["k", "n", "w"])
-
-    rows = sets.where(F.size(words) > 0).select(F.col(key).alias("k"), F.transform(words, lambda x: F.xxhash64(x)).alias("h"))
-    return rows.mapInArrow(run, f"k {kind}, n int, w long")
-
+            values, off = c.values.to_numpy()[off[0] : off[-1]], (off - off[0]).astype(np.int64)
+            sig = fold(values, off)
+            bits = pa.Array.from_buffers(pa.binary(BITS // 8), len(sig), [None, pa.py_buffer(sig.tobytes())]).cast(pa.binary())
+            token, n, cut = prefixes(values, off, counts.value, t)
+            prefix = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.StructArray.from_arrays([pa.array(n), pa.array(token)], ["n", "token"]))
+            out = pa.RecordBatch.from_arrays([b.column("rep"), b.column("side"), pa.array(np.diff(off), pa.int32()), bits, prefix], names=["rep", "side", "size", "bits", "prefix"])
+            yield out.filter(pa.array(np.diff(cut) > 0))
+
+    return run
+
+
+def _compare(t: float, across: bool):
+    def emit(tab: pa.Table) -> Iterator[pa.RecordBatch]:
+        block, side, rep, size = (tab.column(k).to_numpy() for k in ("block", "side", "rep", "size"))
+        bits = tab.column("bits").combine_chunks().cast(pa.binary(BITS // 8))
+        sig = np.frombuffer(bits.buffers()[1], np.uint64, len(bits) * BITS // 64, bits.offset * BITS // 8).reshape(-1, BITS // 64)
+        cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+        length = np.diff(cut)
+        xs, ys = [], []
+        for x, y in near_pairs(sig, size, side, length, t, across):
+            xs.append(x)
+            ys.append(y)
+        for b in np.flatnonzero(length > SMALL).tolist():
+            s, e = cut[b], cut[b + 1]
+            at = np.arange(s, e)
+            at = at[np.argsort(size[s:e], kind="stable")]
+            if not across and (side[s:e] == 0).all():
+                found = tile_pairs(sig, size, at, at, t)
+            else:
+                found = tile_pairs(sig, size, at[side[at] == 0], at[side[at] == 1], t)
+            for x, y in found:
+                xs.append(x)
+                ys.append(y)
+        if xs:
+            x, y = np.concatenate(xs), np.concatenate(ys)
+            turn = side[x] > side[y] if across else rep[x] > rep[y]
+            yield pa.RecordBatch.from_arrays([pa.array(rep[np.where(turn, y, x)]), pa.array(rep[np.where(turn, x, y)])], names=["rep_a", "rep_b"])
 
-def candidates(a: DataFrame, b: DataFrame | None, t: float, part: int = 2048) -> DataFrame:
-    """ka, kb: distinct pairs of rows of ``a`` and ``b`` (or within ``a``, each once) that share a word and whose sizes allow similarity t.
-
-    A word's rows of one size are cut into parts of about ``part``; a join key holds one part of either side.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            tab = pa.Table.from_batches([b])
+            tab = pa.concat_tables([held, tab]) if held is not None else tab
+            block = tab.column("block").to_numpy()
+            other = np.flatnonzero(block != block[-1])
+            n = int(other[-1]) + 1 if len(other) else 0
+            if n:
+                yield from emit(tab.slice(0, n))
+            held = tab.slice(n)
+        if held is not None:
+            yield from emit(held)
+
+    return run
+
+
+def near_sets(a: DataFrame, b: DataFrame | None, counts, t: float, tile: int = 2048) -> DataFrame:
+    """rep_a, rep_b: distinct pairs of sets of ``a`` and ``b`` (or within ``a``, rep_a < rep_b) that share a prefix word and pass the bit test.
+
+    ``a``, ``b``: (rep long, words); no rep is in both. ``counts``: a broadcast sketch of the words of all sets. No pair with
+    similarity >= t is missing; what is listed must still be verified.
     """
-    cells = lambda rows: rows.groupBy("w", "n").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
-    ca = cut_lineage(cells(a))
-    cb = ca if b is None else cells(b)
-    near = ca.select("w", F.col("n").alias("na"), F.col("parts").alias("pa")).join(cb.select("w", F.col("n").alias("nb"), F.col("parts").alias("pb")), "w")
-    near = near.where((F.col("na") >= F.col("nb") * t - 1e-9) & (F.col("nb") >= F.col("na") * t - 1e-9))
-    if b is None:
-        near = near.where("nb <= na")
-    near = cut_lineage(near.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))))
-
-    def side(rows: DataFrame, mine: str, theirs: str) -> DataFrame:
-        r = rows.select("w", F.col("n").alias(f"n{mine}"), F.col("k").alias(f"k{mine}"), F.pmod(F.xxhash64("k"), F.lit(PARTS)).cast("int").alias("salt"))
-        r = r.join(near, ["w", f"n{mine}", "salt"]).withColumn(f"s{mine}", F.pmod(F.xxhash64(f"k{mine}", F.lit(1)), F.col(f"p{mine}")).cast("int"))
-        return r.select("w", "na", "nb", f"k{mine}", f"s{mine}", F.explode(F.sequence(F.lit(0), F.col(f"p{theirs}") - 1)).alias(f"s{theirs}"))
-
-    pairs = side(a, "a", "b").join(side(a if b is None else b, "b", "a"), ["w", "na", "sa", "nb", "sb"])
-    if b is None:
-        pairs = pairs.where("nb < na or ka < kb")
-    return pairs.select("ka", "kb").distinct()
+    across = b is not None
+    # words travel as 64-bit hashes: two words that met in one would only share a block, never lose a pair
+    hashed = lambda d, side: d.select("rep", F.lit(side).alias("side"), F.transform("words", lambda x: F.xxhash64(x)).alias("hashes"))
+    rows = hashed(a, 0).unionByName(hashed(b, 1)) if across else hashed(a, 0)
+    # written once, as the cool and the hot blocks below both start from it
+    rows = cut_lineage(rows.where(F.size("hashes") > 0).mapInArrow(_fold_rows(counts, t), "rep long, side int, size int, bits binary, prefix array<struct<n: int, token: long>>"))
+    rows = rows.select("rep", "side", "size", "bits", F.inline("prefix"))
+    # a counter is never below its word's frequency, so a cool block is within the tile
+    cool = rows.where(F.col("n") <= tile).select(F.col("token").alias("block"), "side", "rep", "size", "bits")
+    hot = rows.where(F.col("n") > tile).select("token", "side", "rep", "size", "bits")
+    cells = cut_lineage(hot.groupBy("token", "side", "size").agg(F.ceil(F.count("*") / tile).cast("int").alias("salts")))
+    # the cells that a row meets: of the other side, or of its own within one table
+    near = cells.groupBy("token", ((1 - F.col("side")) if across else F.col("side")).alias("side")).agg(F.collect_list(F.struct("size", "salts")).alias("cells"))
+    within = F.filter("cells", lambda c: (c["size"] >= F.col("size") * t - 1e-9) & (c["size"] * t <= F.col("size") + 1e-9))
+    near = cells.join(near, ["token", "side"]).select("token", "side", "size", "salts", within.alias("cells"), F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    own = hot.withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(PARTS)).cast("int")).join(near, ["token", "side", "size", "part"])
+    own = own.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("salts")).cast("int"))
+    own = own.withColumn("cell", F.explode("cells")).withColumn("salt2", F.explode(F.sequence(F.lit(0), F.col("cell.salts") - 1)))
+    mine, theirs = F.struct("size", "salt"), F.struct(F.col("cell.size").alias("size"), F.col("salt2").alias("salt"))
+    turn = F.col("side") == 1 if across else mine > theirs
+    key = F.xxhash64("token", F.when(turn, theirs).otherwise(mine), F.when(turn, mine).otherwise(theirs))
+    tiled = own.select(key.alias("block"), F.when(turn, 1).otherwise(0).alias("side"), "rep", "size", "bits")
+    blocks = cool.unionByName(tiled)
+    blocks = blocks.repartition("block").sortWithinPartitions("block")
+    return blocks.mapInArrow(_compare(t, across), "rep_a long, rep_b long").distinct()

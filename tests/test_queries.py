@@ -42,3 +42,20 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("name", ["instruction_match"])
+def test_similarity_joins_write_little(spark, name, tmp_path):
+    """What a similarity join writes stays within a small multiple of its texts; cells of all words, a row for each of 32 parts, did not."""
+    t, c = ("topic_entries", "topic") if "topic" in name else ("tasks", "instruction")
+    sc, d = spark.sparkContext, "/root/testdata/sf0.01"
+    texts = spark.read.parquet(f"{d}/{t}.parquet").selectExpr(f"sum(octet_length({c}))").first()[0]
+    before = sc.getCheckpointDir()
+    try:
+        sc.setCheckpointDir(str(tmp_path))
+        df = QUERIES[name](spark, d)
+        df.count()
+        written = sum(p.stat().st_size for p in tmp_path.rglob("part-*"))
+    finally:
+        sc.setCheckpointDir(before) if before else None
+    assert 0 < written < (4 if t == "topic_entries" else 2) * texts, written / texts
