@@ -355,11 +355,11 @@ def topic_pairs(spark, d):
 def unique_topics(spark, d):
     """Both notions of the number of unique topics: less the pairs, and less the topics in any pair."""
     t = table(spark, d, "topic_entries")
-    p = topic_pairs(spark, d)
-    members = p.select(F.explode(F.array("topic_id_a", "topic_id_b")).alias("t")).distinct()
-    # three counts as rows of one table, summed
-    counts = [x.agg(F.count("*").alias("n")).select((F.col("n") * u).alias("minus_pairs"), (F.col("n") * v).alias("minus_members")) for x, u, v in ((t, 1, 1), (p, -1, 0), (members, 0, -1))]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).agg(F.sum("minus_pairs").alias("minus_pairs"), F.sum("minus_members").alias("minus_members"))
+    # the pairs are made once: every topic's number of pairs gives both counts, as each pair has two ends
+    ends = topic_pairs(spark, d).select(F.explode(F.array("topic_id_a", "topic_id_b")).alias("t")).groupBy("t").agg(F.count("*").alias("n"))
+    found = ends.agg((F.coalesce(F.sum("n"), F.lit(0)) / -2).cast("long").alias("minus_pairs"), (-F.count("*")).alias("minus_members"))
+    whole = t.agg(F.count("*").alias("minus_pairs"), F.count("*").alias("minus_members"))
+    return whole.unionByName(found).agg(F.sum("minus_pairs").alias("minus_pairs"), F.sum("minus_members").alias("minus_members"))
 
 
 _LANG = "case " + " ".join(f"when contains(lower(coalesce(topic,'')), '{w}') then '{v}'" for w, v in fixed.LANGUAGE_RULES) + " else 'unknown' end"

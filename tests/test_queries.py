@@ -44,7 +44,7 @@ def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-@pytest.mark.parametrize("name", ["topic_pairs", "instruction_match", "instruction_revisions"])
+@pytest.mark.parametrize("name", ["topic_pairs", "unique_topics", "instruction_match", "instruction_revisions"])
 def test_similarity_joins_write_little(spark, name, tmp_path):
     """What a similarity join writes stays within a small multiple of its texts; cells of all words, a row for each of 32 parts, did not."""
     t, c = ("topic_entries", "topic") if "topic" in name else ("tasks", "instruction")
