@@ -72,7 +72,9 @@ def footer_catalogue(files: DataFrame, producer: Sequence[str], file: str, path:
     """The same catalogue from parquet footers alone; no data page is read. ``files``: producer, file number or name, path.
 
     n_records are the rows of the file. Kinds of columns: text, times and bytes are strings, structs
-    and maps are objects. A file whose footer can't be read keeps one row with a null field.
+    and maps are objects. A file that isn't parquet or is damaged keeps one row with a null field and, unlike
+    a file without columns, null kinds and n_records: nothing is known of it. A path that can't be opened
+    (missing, forbidden, of another file system) is an error and no result.
     """
     kinds = dict(files.dtypes)
     held = [*producer, file]
@@ -95,10 +97,11 @@ def footer_catalogue(files: DataFrame, producer: Sequence[str], file: str, path:
             for i, p in enumerate(b.column("_path").to_pylist()):
                 try:
                     footer = pq.read_metadata(p.removeprefix("file://").removeprefix("file:"))
-                    rows = [(f.name, kind(f.type), footer.num_rows) for f in footer.schema.to_arrow_schema()]
-                except (OSError, pa.ArrowInvalid):
-                    rows = []
-                rows = rows or [(None, 0, 0)]
+                    rows = [(f.name, kind(f.type), footer.num_rows) for f in footer.schema.to_arrow_schema()] or [(None, 0, footer.num_rows)]
+                except (OSError, pa.ArrowInvalid) as e:
+                    if getattr(e, "errno", None) is not None:  # the file system's answer; damaged content has no number
+                        raise
+                    rows = [(None, None, None)]
                 at += [i] * len(rows)
                 out += rows
             cols = list(zip(*out)) if out else [(), (), ()]

@@ -90,12 +90,14 @@ def p6_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_footers(spark: SparkSession, d: str) -> DataFrame:
-    """The catalogue of the tables' own files, from their footers alone."""
+    """The catalogue of the tables' own files, from their footers alone; a file whose footer can't be read is an error."""
     names = ["tasks", "trials", "documents", "trial_files", "pipeline_results", "pack_limits"]
     # every part of a table, whether it is one file or a folder
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load([f"{d}/{n}.parquet" for n in names])
     files = files.select(F.lit("tables").alias("set"), F.regexp_extract("path", r"/(\w+)\.parquet(?:/[^/]+)?$", 1).alias("file"), "path").where(F.col("file").isin(*names))
-    got = footer_catalogue(files, ["set"], "file", "path").where("printed is not null")
+    got = footer_catalogue(files, ["set"], "file", "path")
+    unread = F.raise_error(F.concat(F.lit("no footer can be read in a file of table "), "file")).cast("string")
+    got = got.withColumn("printed", F.when(F.col("n_records").isNull(), unread).otherwise(F.col("printed"))).where("printed is not null")
     return got.groupBy(F.col("file").alias("file_name"), F.col("printed").alias("field_name")).agg(F.bit_or("kinds").alias("kinds"))
 
 

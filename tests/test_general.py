@@ -225,6 +225,35 @@ def test_footers(spark, tmp_path):
     assert cat.columns == field_catalogue(spark.createDataFrame([("p", 1, "{}")], "s string, f int, j string"), ["s"], "f", "j").columns
 
 
+def test_unread_footers_are_no_result(spark, data, tmp_path):
+    """A damaged file differs from one without columns, a path that can't be opened is an error, and the query names the table."""
+    import os
+    import shutil
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from grainmill.plans.general import p6_footers
+
+    pq.write_table(pa.table({}), tmp_path / "none.parquet")
+    pq.write_table(pa.table({"a": [1, 2]}), tmp_path / "whole.parquet")
+    body = (tmp_path / "whole.parquet").read_bytes()
+    (tmp_path / "cut.parquet").write_bytes(body[: len(body) // 2])
+    (tmp_path / "thrift.parquet").write_bytes(body[:4] + b"\xff" * (len(body) - 12) + body[-8:])
+    cat = lambda *names: footer_catalogue(spark.createDataFrame([("p", i, str(tmp_path / f"{n}.parquet")) for i, n in enumerate(names)], "s string, f int, path string"), ["s"], "f", "path")
+    got = {tuple(r)[1:] for r in cat("none", "whole", "cut", "thrift").collect()}
+    assert got == {(0, None, None, 0, 0), (1, "a", "a", 2, 2), (2, None, None, None, None), (3, None, None, None, None)}
+    with pytest.raises(Exception, match="missing.parquet"):
+        cat("whole", "missing").collect()
+    for n in ("tasks", "trials", "documents", "trial_files", "pipeline_results", "pack_limits"):
+        shutil.copy(f"{data}/{n}.parquet", tmp_path / f"{n}.parquet")
+    assert p6_footers(spark, str(tmp_path)).count() == p6_footers(spark, data).count() > 0
+    os.chmod(tmp_path / "trials.parquet", 0o644)
+    (tmp_path / "trials.parquet").write_text("broken")
+    with pytest.raises(Exception, match="table trials"):
+        p6_footers(spark, str(tmp_path)).collect()
+
+
 def test_consistent_table_reads_odd_values(spark):
     forms = {
         "agent_started_at": 1741064767123, "agent_ended_at": "03/04/2025 05:06:07 PM", "trial_started_at": "Tue Mar  4 17:06:07 2025", "trial_ended_at": "20250304-170607",
