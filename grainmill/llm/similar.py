@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainmill.operators.setjoin import near_sets, sketch_width, word_counts
+from grainmill.operators.setjoin import SMALL, near_pairs, near_sets, sent, sketch_width, tile_pairs, word_counts  # noqa: F401
 from grainmill.session import cut_lineage
 
 def word_set(text: Column) -> Column:
@@ -40,7 +40,7 @@ def word_classes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFra
 
 def similar_classes(classes: DataFrame, t: float, tile: int = 2048, sketch: int | None = None) -> DataFrame:
     """rep_a < rep_b, similarity: all pairs of classes with similarity >= t. ``sketch``: counters of the word sketch, by default by the number of classes."""
-    counts = classes.sparkSession.sparkContext.broadcast(word_counts(classes.select(F.explode("words").alias("w")), sketch or sketch_width(classes.count())))
+    counts = sent(classes.sparkSession, word_counts(classes.select(F.explode("words").alias("w")), sketch or sketch_width(classes.count())))
     pairs = near_sets(classes.select("rep", "words"), None, counts, t, tile)
     a = classes.select(F.col("rep").alias("rep_a"), F.col("words").alias("wa"))
     b = classes.select(F.col("rep").alias("rep_b"), F.col("words").alias("wb"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from grainmill.functions.scalars import jaccard
 from grainmill.operators.ranks import at_ranks, middle_ranks
-from grainmill.operators.setjoin import PARTS, near_sets, sketch_width, word_counts
+from grainmill.operators.setjoin import PARTS, hashes, near_rows, near_sets, place, sent, sketch, sketch_width, where_counted, word_and_copy_counts, word_counts
 from grainmill.session import cut_lineage
 
 
@@ -44,6 +44,24 @@ def length_stats(df: DataFrame, x: str) -> DataFrame:
     return whole.join(ranked, "g", "left").select("least", "greatest", "mean", F.col("hi").cast("long").alias("upper_median"), median.alias("median"), "n")
 
 
+def _copies_apart(rows: DataFrame, n_rows: int):
+    """(the words' and the copies' counters as ``sent``, number of the words' counters, rows with, rows without a copy) of rows with ``hashes`` and ``copy``.
+
+    The first hold all rows that have a copy and few others, told by the sketch; the second have none.
+    """
+    width = sketch_width(n_rows)
+    counts = sent(rows.sparkSession, word_and_copy_counts(rows, width))
+    at = (F.pmod("copy", F.lit(width)) + width).cast("int")
+    return counts, width, where_counted(rows, at, counts, 2), where_counted(rows.select("rep", "side", "hashes", "copy"), at, counts, 0, 1).drop("copy")
+
+
+def listed(rows: DataFrame, key: str, pairs: DataFrame, ends: Sequence[str]) -> DataFrame:
+    """Rows whose key is an end of a pair, and few others: the keys reach the tasks as a sketch of bounded size, so the rest of the texts doesn't travel."""
+    width = sketch_width(pairs.count())
+    keys = pairs.select(F.explode(F.array(*ends)).alias("k")).select(place("k", width).alias("i"), F.lit(1).alias("n"))
+    return where_counted(rows, place(key, width), sent(rows.sparkSession, sketch(keys, width, 1)), 1)
+
+
 def prefix_pairs(sets: DataFrame, key: str, words: str, t: float, part: int = 2048) -> DataFrame:
     """key_a < key_b, similarity: pairs of rows whose word arrays (distinct) have Jaccard similarity >= t.
 
@@ -55,7 +73,7 @@ def prefix_pairs(sets: DataFrame, key: str, words: str, t: float, part: int = 20
     base = base.withColumn("g", F.substring(F.unhex(F.sha2(F.array_join("w", " "), 256)), 1, 16))
     cls = base.groupBy("g").agg(F.first("w").alias("words"), F.count("*").alias("m"))
     cls = cut_lineage(cls.select(F.monotonically_increasing_id().alias("rep"), "g", "words", "m"))
-    counts = sets.sparkSession.sparkContext.broadcast(word_counts(cls.select(F.explode("words").alias("w")), sketch_width(cls.count())))
+    counts = sent(sets.sparkSession, word_counts(cls.select(F.explode("words").alias("w")), sketch_width(cls.count())))
     near = near_sets(cls.select("rep", "words"), None, counts, t, part)
     side = lambda x: cls.select(F.col("rep").alias(f"rep_{x}"), F.col("g").alias(f"k{x}"), F.col("words").alias(f"w{x}"))
     near = near.join(side("a"), "rep_a").join(side("b"), "rep_b")
@@ -69,30 +87,36 @@ def prefix_pairs(sets: DataFrame, key: str, words: str, t: float, part: int = 20
 
 
 def best_match(new: DataFrame, new_key: str, corpus: DataFrame, corpus_key: str, text: str, words, t: float, part: int = 2048) -> DataFrame:
-    """new_key, corpus_key, similarity, how: an exact copy (by digest) first, else the most similar corpus row >= t (ties: smallest key).
+    """new_key, corpus_key, similarity, how: an exact copy (by digest) first, else the most similar corpus row >= t (ties: smallest key). Keys are integers, unique in their table.
 
-    Copies on either side stand for one text until the end. Texts meet on rare words of their prefixes,
-    in bounded cells, and are written once as they are: word lists are made where they are read.
+    Copies on either side stand for one text until the end. Texts meet on rare words of their prefixes, in
+    bounded cells; they travel only if they have a copy or are candidates, and word lists are made where they are read.
     """
-    digest = F.unhex(F.sha2(F.col(text), 256))
-    n = new.select(F.col(new_key).alias("nk"), F.col(text).alias("x"), digest.alias("h")).where(F.col("h").isNotNull())
-    c = corpus.select(F.col(corpus_key).alias("ck"), F.col(text).alias("x"), digest.alias("h")).where(F.col("h").isNotNull())
-    both = c.withColumn("asked", F.lit(False)).unionByName(n.select(F.lit(None).cast(dict(c.dtypes)["ck"]).alias("ck"), "x", "h", F.lit(True).alias("asked")))
-    texts = both.groupBy("h").agg(F.min("ck").alias("ck"), F.bool_or("asked").alias("asked"), F.bool_and("asked").alias("fresh"), F.first("x").alias("x"))
-    texts = cut_lineage(texts.select(F.monotonically_increasing_id().alias("rep"), "h", "ck", "asked", "fresh", "x"))
-    exact = texts.where("asked and not fresh").select("h", "ck", F.lit(1.0).alias("similarity"), F.lit("exact").alias("how"))
-    known, rest = texts.where("ck is not null"), texts.where("fresh")
-    sets = lambda d: d.select("rep", words(F.col("x")).alias("words"))
-    counts = new.sparkSession.sparkContext.broadcast(word_counts(sets(texts).select(F.explode("words").alias("w")), sketch_width(texts.count())))
-    near = near_sets(sets(rest), sets(known), counts, t, part)
-    hits = near.join(rest.select(F.col("rep").alias("rep_a"), "h", F.col("x").alias("xa")), "rep_a").join(known.select(F.col("rep").alias("rep_b"), "ck", F.col("x").alias("xb")), "rep_b")
+    kinds = dict(new.dtypes)[new_key], dict(corpus.dtypes)[corpus_key]
+    one = lambda d, key, side: d.where(F.col(text).isNotNull()).select(F.col(key).cast("long").alias("rep"), F.lit(side).alias("side"), F.col(text).alias("x"))
+    n, c = one(new, new_key, 0), one(corpus, corpus_key, 1)
+    word_hashes = hashes(words(F.col("x"))).alias("hashes")
+    rows = n.unionByName(c).select("rep", "side", word_hashes, F.xxhash64("x").alias("copy"), "x")
+    counts, width, some, alone = _copies_apart(rows, new.count() + corpus.count())
+    some = some.select("rep", "side", "x", F.unhex(F.sha2("x", 256)).alias("h"))
+    of = lambda side: F.min(F.when(F.col("side") == side, F.col("rep")))
+    texts = cut_lineage(some.groupBy("h").agg(of(1).alias("ck"), of(0).alias("nk"), F.first("x").alias("x")))
+    # a text of both sides is answered, and known to the others
+    every = alone.unionByName(texts.select(F.coalesce("ck", "nk").alias("rep"), F.col("ck").isNotNull().cast("int").alias("side"), word_hashes))
+    near = cut_lineage(near_rows(every, counts, width, t, True, part))
+    hits = near.join(listed(n, "rep", near, ["rep_a"]).select(F.col("rep").alias("rep_a"), F.col("x").alias("xa")), "rep_a")
+    hits = hits.join(listed(c, "rep", near, ["rep_b"]).select(F.col("rep").alias("rep_b"), F.col("x").alias("xb")), "rep_b")
     hits = hits.withColumn("similarity", jaccard(words(F.col("xa")), words(F.col("xb")))).where(F.col("similarity") >= t)
-    best = hits.groupBy("h").agg(F.max(F.struct("similarity", (-F.col("ck")).alias("neg"))).alias("m"))
-    close = best.select("h", (-F.col("m.neg")).alias("ck"), F.col("m.similarity").alias("similarity"), F.lit("similar").alias("how"))
-    # copies of one new text are spread over parts when they take its match
-    spread = exact.unionByName(close).withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    rows = n.select("nk", "h", F.pmod(F.xxhash64("nk"), F.lit(PARTS)).cast("int").alias("p")).join(spread, ["h", "p"])
-    return rows.select(F.col("nk").alias(new_key), F.col("ck").alias(corpus_key), "similarity", "how")
+    best = hits.groupBy("rep_a").agg(F.max(F.struct("similarity", (-F.col("rep_b")).alias("neg"))).alias("m"))
+    close = cut_lineage(best.select(F.col("rep_a").alias("nk"), (-F.col("m.neg")).alias("ck"), F.col("m.similarity").alias("similarity"), F.lit("similar").alias("how")))
+    exact = texts.where("ck is not null and nk is not null").select("h", "ck", F.lit(1.0).alias("similarity"), F.lit("exact").alias("how"))
+    shared = texts.where("ck is null").select("h", "nk").join(close, "nk").select("h", "ck", "similarity", "how", "nk")
+    # copies of one new text are spread over parts when they take its match; its first row has it already
+    spread = exact.withColumn("nk", F.lit(None).cast("long")).unionByName(shared).withColumnRenamed("nk", "has").withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    copies = some.where("side = 0").select(F.col("rep").alias("nk"), "h", F.pmod(F.xxhash64("rep"), F.lit(PARTS)).cast("int").alias("p"))
+    copies = copies.join(spread, ["h", "p"]).where("has is null or has != nk")
+    got = close.unionByName(copies.select(*close.columns))
+    return got.select(F.col("nk").cast(kinds[0]).alias(new_key), F.col("ck").cast(kinds[1]).alias(corpus_key), "similarity", "how")
 
 
 def content_digest(files: DataFrame, key: str, path: str, content: str) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainmill.session import table
+from grainmill.session import cut_lineage, table
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -591,7 +591,8 @@ def test_logs(spark, d):
 def instruction_revisions(spark, d):
     """Change regions, sentence by sentence, between a new instruction and the earlier one it copies."""
     t = table(spark, d, "tasks").select("task_key", F.regexp_replace("instruction", r"\. ", ".\n").alias("text"))
-    pairs = instruction_match(spark, d).where("how = 'similar'").select("new_key", "old_key")
+    pairs = cut_lineage(instruction_match(spark, d).where("how = 'similar'").select("new_key", "old_key"))
+    t = diversity.listed(t, "task_key", pairs, ["new_key", "old_key"])
     both = pairs.join(t.select(F.col("task_key").alias("new_key"), F.col("text").alias("after")), "new_key").join(t.select(F.col("task_key").alias("old_key"), F.col("text").alias("before")), "old_key")
     return codefeatures.diff_rows(both, ["new_key", "old_key"], "before", "after")
 

@@ -59,3 +59,27 @@ def test_similarity_joins_write_little(spark, name, tmp_path):
     finally:
         sc.setCheckpointDir(before) if before else None
     assert 0 < written < (4 if t == "topic_entries" else 2) * texts, written / texts
+
+
+def _shuffled(spark, df):
+    """Bytes that writing a frame shuffles."""
+    sc = spark.sparkContext
+    at = sc._jsc.sc()
+    stages = lambda: {s.stageId(): s.shuffleWriteBytes() for s in _each(at.statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList()))}
+    before = set(stages())
+    df().write.format("noop").mode("overwrite").save()
+    at.listenerBus().waitUntilEmpty(30_000)
+    return sum(n for k, n in stages().items() if k not in before)
+
+
+def _each(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+@pytest.mark.parametrize("name, column, most", [("instruction_revisions", "instruction", 0.8)])
+def test_similarity_joins_shuffle_little(spark, name, column, most):
+    """Texts without a partner don't travel, nor do rows of frequent words that reach none."""
+    t, d = ("topic_entries" if column == "topic" else "tasks"), "/root/testdata/sf0.1"
+    texts = spark.read.parquet(f"{d}/{t}.parquet").selectExpr(f"sum(octet_length({column}))").first()[0]
+    moved = _shuffled(spark, lambda: QUERIES[name](spark, d))
+    assert 0 < moved < most * texts, moved / texts
