@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from grainmill.functions.scalars import jaccard
 from grainmill.operators.ranks import at_ranks, middle_ranks
-from grainmill.operators.setjoin import PARTS, hashes, near_rows, near_sets, place, sent, sketch, sketch_width, where_counted, word_and_copy_counts, word_counts
+from grainmill.operators.setjoin import PARTS, hashes, near_rows, place, sent, sketch, sketch_width, where_counted, word_and_copy_counts
 from grainmill.session import cut_lineage
 
 
@@ -63,26 +63,30 @@ def listed(rows: DataFrame, key: str, pairs: DataFrame, ends: Sequence[str]) ->
 
 
 def prefix_pairs(sets: DataFrame, key: str, words: str, t: float, part: int = 2048) -> DataFrame:
-    """key_a < key_b, similarity: pairs of rows whose word arrays (distinct) have Jaccard similarity >= t.
+    """key_a < key_b, similarity: pairs of rows whose word arrays (distinct) have Jaccard similarity >= t. ``key`` is a unique integer.
 
-    Equal sets collapse to classes first; classes meet on a rare word of their prefixes, in bounded
-    cells, where a bit test drops most; what is left is verified and classes' members are joined back.
-    Rows without words are in no pair.
+    Equal sets collapse to the row of the smallest key first; sets meet on a rare word of their prefixes, in
+    bounded cells, where a bit test drops most; what is left is verified and classes' members are joined back.
+    Words travel only of rows that have a copy or are candidates. Rows without words are in no pair.
     """
-    base = sets.where(F.size(words) > 0).select(F.col(key).alias("k"), F.sort_array(words).alias("w"))
-    base = base.withColumn("g", F.substring(F.unhex(F.sha2(F.array_join("w", " "), 256)), 1, 16))
-    cls = base.groupBy("g").agg(F.first("w").alias("words"), F.count("*").alias("m"))
-    cls = cut_lineage(cls.select(F.monotonically_increasing_id().alias("rep"), "g", "words", "m"))
-    counts = sent(sets.sparkSession, word_counts(cls.select(F.explode("words").alias("w")), sketch_width(cls.count())))
-    near = near_sets(cls.select("rep", "words"), None, counts, t, part)
-    side = lambda x: cls.select(F.col("rep").alias(f"rep_{x}"), F.col("g").alias(f"k{x}"), F.col("words").alias(f"w{x}"))
-    near = near.join(side("a"), "rep_a").join(side("b"), "rep_b")
-    pairs = near.withColumn("similarity", jaccard(F.col("wa"), F.col("wb"))).where(F.col("similarity") >= t).select("ka", "kb", "similarity")
-    ma, mb = base.select(F.col("k").alias("a"), F.col("g").alias("ka")), base.select(F.col("k").alias("b"), F.col("g").alias("kb"))
-    ends = F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b")
-    across = pairs.join(ma, "ka").join(mb, "kb").select(*ends, "similarity")
-    many = cls.where("m > 1").select(F.col("g").alias("ka"))
-    within = ma.join(many, "ka", "left_semi").join(mb, F.col("ka") == F.col("kb")).where("a < b").select(*ends, F.lit(1.0).alias("similarity"))
+    kind = dict(sets.dtypes)[key]
+    base = sets.where(F.size(words) > 0).select(F.col(key).cast("long").alias("rep"), F.col(words).alias("w"))
+    rows = base.select("rep", F.lit(0).alias("side"), hashes("w").alias("hashes"), F.xxhash64(F.sort_array("w")).alias("copy"), "w")
+    counts, width, some, alone = _copies_apart(rows, sets.count())
+    some = some.select("rep", "w", F.substring(F.unhex(F.sha2(F.array_join(F.sort_array("w"), " "), 256)), 1, 16).alias("g"))
+    cls = cut_lineage(some.groupBy("g").agg(F.min("rep").alias("rep"), F.first("w").alias("w"), F.count("*").alias("m")))
+    every = alone.unionByName(cls.select("rep", F.lit(0).alias("side"), hashes("w").alias("hashes")))
+    near = cut_lineage(near_rows(every, counts, width, t, False, part))
+    texts = listed(base, "rep", near, ["rep_a", "rep_b"])
+    side = lambda x: texts.select(F.col("rep").alias(f"rep_{x}"), F.col("w").alias(f"w{x}"))
+    pairs = near.join(side("a"), "rep_a").join(side("b"), "rep_b").withColumn("similarity", jaccard(F.col("wa"), F.col("wb"))).where(F.col("similarity") >= t)
+    # members of the classes of several rows, written once, as words are cut anew to find them; any other class is its row
+    members = cut_lineage(some.select(F.col("rep").alias("k"), "g").join(cls.where("m > 1").select("g", "rep"), "g").select("k", "rep"))
+    ma, mb = (members.select(F.col("rep").alias(f"rep_{x}"), F.col("k").alias(x)) for x in ("a", "b"))
+    ends = F.least("a", "b").cast(kind).alias(f"{key}_a"), F.greatest("a", "b").cast(kind).alias(f"{key}_b")
+    pairs = pairs.select("rep_a", "rep_b", "similarity").join(ma, "rep_a", "left").join(mb, "rep_b", "left")
+    across = pairs.select(F.coalesce("a", "rep_a").alias("a"), F.coalesce("b", "rep_b").alias("b"), "similarity").select(*ends, "similarity")
+    within = ma.join(mb, F.col("rep_a") == F.col("rep_b")).where("a < b").select(*ends, F.lit(1.0).alias("similarity"))
     return across.unionByName(within)
 
 

@@ -76,7 +76,7 @@ def _each(seq):
     return [seq.apply(i) for i in range(seq.size())]
 
 
-@pytest.mark.parametrize("name, column, most", [("instruction_revisions", "instruction", 0.8)])
+@pytest.mark.parametrize("name, column, most", [("instruction_revisions", "instruction", 0.8), ("topic_pairs", "topic", 1.5)])
 def test_similarity_joins_shuffle_little(spark, name, column, most):
     """Texts without a partner don't travel, nor do rows of frequent words that reach none."""
     t, d = ("topic_entries" if column == "topic" else "tasks"), "/root/testdata/sf0.1"
