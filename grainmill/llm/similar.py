@@ -11,8 +11,8 @@
    tiles, numpy exclusive-or and bit counts at a time; tile pairs whose set sizes lie too far apart
    are skipped. What passes is verified on the words themselves, so the result is exact. Block rows
    carry the bit vectors, not the words.
-4. Blocks that may exceed ``tile`` sets are cut into (size, salt) tiles and every tile pair within
-   the radius is a task of its own; no block gathers in one task.
+4. Blocks that may exceed ``tile`` sets are cut into cells of a range of set sizes and a salt, and every
+   pair of cells within reach is a block of its own; no block gathers in one task.
 """
 
 from __future__ import annotations
